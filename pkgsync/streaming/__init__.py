@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The migration reads finite inputs only -- a catalogue, listings, the target's
+version states and the ledger of earlier runs -- and every step is a batch
+join or aggregate over them.  There is no unbounded source, no event time and
+no late data, so there is no Structured Streaming job to build.  A re-run picks
+up only the work still open through the ledger (``plans.migration.resume_plan``),
+which is what an incremental trigger would give.
+"""
