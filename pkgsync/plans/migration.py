@@ -102,3 +102,125 @@ def plan_summary(plan_df: DataFrame) -> DataFrame:
 def write_plan(plan_df: DataFrame, path: str) -> None:
     """Dry-run sink -- the plan is recorded, nothing else is touched."""
     plan_df.write.mode("overwrite").partitionBy("repository").parquet(path)
+
+
+# --- actions (L1) -----------------------------------------------------------------------
+
+def actions(plan_df: DataFrame) -> DataFrame:
+    """L1: the plan as ordered action rows (``seq`` 0-based per version).
+
+    skip_ledger -> skip; skip_published -> set_published (ledger catches up);
+    reject -> reject; wipe_publish -> wipe, publish; publish -> publish.
+    Maven publishes add copy_metadata and set_status (the metadata file and
+    the status change that make a maven version Published).
+    """
+    d, t = F.col("decision"), F.col("package_type")
+    maven_tail = F.when(t == "maven", F.array(F.lit("copy_metadata"), F.lit("set_status"))).otherwise(F.array().cast("array<string>"))
+    steps = (
+        F.when(d == "skip_ledger", F.array(F.lit("skip")))
+        .when(d == "skip_published", F.array(F.lit("set_published")))
+        .when(d == "reject", F.array(F.lit("reject")))
+        .when(d == "wipe_publish", F.concat(F.array(F.lit("wipe"), F.lit("publish")), maven_tail))
+        .otherwise(F.concat(F.array(F.lit("publish")), maven_tail))
+    )
+    return plan_df.select(
+        "repository", "package_type", "package", "version", "decision",
+        F.posexplode(steps).alias("seq", "action"),
+    ).withColumn("seq", F.col("seq").cast("int"))
+
+
+# --- requests (L2) -------------------------------------------------------------------------
+
+def requested_plan(inputs: Inputs, requests: DataFrame) -> DataFrame:
+    """L2: plan for user requests (B17 -> D7 -> versions -> L1)."""
+    from ..operators import requests as RQ
+
+    scope = scope_repositories(inputs.repositories)
+    inv = in_scope(inputs.inventory, inputs.repositories)
+    parsed = RQ.parse_requests(requests)
+    matched = RQ.match_requests(parsed, inputs.ledger_packages, INV.packages(inv))
+    wanted = RQ.requested_versions(matched, INV.versions(inv), scope)
+    stats = versions_with_stats(inv)
+    wanted = wanted.join(stats, ["repository", "package_type", "package", "version"], "left").select(
+        "request_id", "repository", "package_type", "package", "version",
+        F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
+        F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
+    )
+    return R.decide(R.version_state(wanted, inputs.target_versions), inputs.ledger_versions)
+
+
+# --- resume (L7) ---------------------------------------------------------------------------
+
+def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFrame:
+    """H2: versions from the ledger for packages it marks fetched, from the
+    listing for every other package (anti join on the fetched flag).
+    ``scope``: in-scope repositories with their package type (small)."""
+    listed = INV.versions(inv)
+    if inputs.ledger_packages is None or inputs.ledger_versions is None:
+        return listed.withColumn("source", F.lit("listing"))
+    fetched = inputs.ledger_packages.where(F.col("all_versions_fetched") == 1).select("repository", "package").distinct()
+    from_ledger = (
+        inputs.ledger_versions.select("repository", "package", "version")
+        .join(fetched, ["repository", "package"], "left_semi")
+        .join(bounded_broadcast(scope.select("repository", "package_type")), "repository", "inner")
+        .withColumn("source", F.lit("ledger"))
+    )
+    fresh = listed.join(fetched, ["repository", "package"], "left_anti").withColumn("source", F.lit("listing"))
+    return fresh.unionByName(from_ledger.select(*fresh.columns)).distinct()
+
+
+def resume_plan(inputs: Inputs) -> DataFrame:
+    """Only the work still open after earlier runs.
+
+    K8 drops repositories the ledger marks all-published (before anything is
+    joined), K12 drops packages marked all-published, H2 takes versions from
+    the ledger where it has them, D5 drops versions published in the ledger;
+    what is left is planned against the target and only open decisions kept.
+    """
+    from ..operators import ledger as LG
+
+    scope = scope_repositories(inputs.repositories)
+    if inputs.ledger_repositories is not None:
+        scope = LG.open_repositories(scope, inputs.ledger_repositories)
+    inv = inputs.inventory.join(bounded_broadcast(scope.select("repository")), "repository", "left_semi")
+    src = version_source(inputs, inv, scope)
+    if inputs.ledger_packages is not None:
+        done = inputs.ledger_packages.where(F.col("all_versions_published") == 1).select("repository", "package")
+        src = src.join(done, ["repository", "package"], "left_anti")
+    if inputs.ledger_versions is not None:
+        src = R.pending_versions(src, inputs.ledger_versions)
+    stats = versions_with_stats(inv)
+    src = src.join(stats, ["repository", "package_type", "package", "version"], "left").select(
+        "repository", "package_type", "package", "version", "source",
+        F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
+        F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
+    )
+    planned = R.decide(R.version_state(src, inputs.target_versions), None)
+    return planned.where(F.col("decision") != "skip_published")
+
+
+# --- post-check (L6) ------------------------------------------------------------------------
+
+def post_check(plan_df: DataFrame, fresh_target: DataFrame) -> DataFrame:
+    """After the copy, a published version must show Published in a fresh
+    target snapshot; otherwise it is a failure with the missing-version text.
+    The result feeds the ledger (J7 for published, J8/J9 for failures)."""
+    from ..operators import ledger as LG
+
+    tried = R.to_copy(plan_df).select("repository", "package_type", "package", "version")
+    st = R.version_state(tried, fresh_target)
+    ok = F.col("state_code") == R.STATE_PUBLISHED
+    text = F.replace(
+        F.replace(F.lit(LG.MISSING_ERROR), F.lit("{package}"), F.col("package")), F.lit("{version}"), F.col("version")
+    )
+    return st.select(
+        "repository", "package_type", "package", "version",
+        ok.alias("published"),
+        F.when(ok, F.lit(0)).otherwise(F.lit(1)).alias("publish_failed"),
+        F.when(ok, F.lit("")).otherwise(text).alias("publish_error"),
+    )
+
+
+def with_waves(plan_df: DataFrame, waves: DataFrame) -> DataFrame:
+    """F1 on the plan: wave number of each version's package."""
+    return plan_df.join(waves.select("repository", "package", "wave"), ["repository", "package"], "left")
