@@ -78,12 +78,21 @@ def clean(spark: SparkSession, root: str) -> None:
         empty_table(spark, kind).write.mode("overwrite").parquet(f"{root}/{kind}")
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by_repository: bool = True) -> None:
-    """Store an updated table under a new path; repository partitions keep
-    per-repository reads (K8 pruning, ``repository_plan``) cheap."""
-    w = df.write.mode("errorifexists")
+def write_snapshot(df: DataFrame, path: str, partition_by_repository: bool = True,
+                   num_partitions: int | None = None) -> None:
+    """Store an updated table under a new path (never over the one being read).
+
+    Repository folders keep per-repository reads (K8 pruning,
+    ``repository_plan``) cheap; a range partitioning on the key first makes
+    each task write a contiguous slice, so a repository holding most rows is
+    written by many tasks and no task writes into every folder."""
     if partition_by_repository:
-        w = w.partitionBy("repository")
+        keys = [c for c in ("repository", "package", "version") if c in df.columns]
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *keys)
+        w = df.write.mode("errorifexists").partitionBy("repository")
+    else:
+        w = df.write.mode("errorifexists")
     w.parquet(path)
 
 

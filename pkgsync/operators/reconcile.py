@@ -120,6 +120,20 @@ def pending_versions(versions: DataFrame, ledger_versions: DataFrame) -> DataFra
 DECISIONS = ("skip_ledger", "skip_published", "reject", "wipe_publish", "publish")
 
 
+def mark_ledger_published(versions: DataFrame, ledger_versions: DataFrame | None) -> DataFrame:
+    """D5 as a flag: ``ledger_published`` = the ledger marks the version published.
+
+    Left join on (repository, package, version); the ledger side is reduced to
+    distinct published keys first, on the same key, so both sides of the join
+    are partitioned alike.
+    """
+    if ledger_versions is None:
+        return versions.withColumn("ledger_published", F.lit(False))
+    led = published_in_ledger(ledger_versions).withColumn("_led", F.lit(True))
+    out = versions.join(led, ["repository", "package", "version"], "left")
+    return out.withColumn("ledger_published", F.coalesce("_led", F.lit(False))).drop("_led")
+
+
 def decide(state: DataFrame, ledger_versions: DataFrame | None = None) -> DataFrame:
     """L1: one decision per version.
 
@@ -129,14 +143,15 @@ def decide(state: DataFrame, ledger_versions: DataFrame | None = None) -> DataFr
       *before* any wipe, so an unfinished version with a refused name is kept;
     * ``wipe_publish``   -- present but unfinished: delete, then publish;
     * ``publish``        -- missing.
+
+    ``state`` carries ``ledger_published`` already (``mark_ledger_published``)
+    unless ``ledger_versions`` is given here.
     """
-    out = state.withColumn("forbidden", C.is_forbidden_name("package", "version"))
-    if ledger_versions is not None:
-        led = published_in_ledger(ledger_versions).withColumn("ledger_published", F.lit(True))
-        out = out.join(led, ["repository", "package", "version"], "left")
-        out = out.withColumn("ledger_published", F.coalesce("ledger_published", F.lit(False)))
-    else:
-        out = out.withColumn("ledger_published", F.lit(False))
+    out = state
+    if ledger_versions is not None or "ledger_published" not in state.columns:
+        out = mark_ledger_published(out.drop("ledger_published") if "ledger_published" in out.columns else out,
+                                    ledger_versions)
+    out = out.withColumn("forbidden", C.is_forbidden_name("package", "version"))
     decision = (
         F.when(F.col("ledger_published"), F.lit("skip_ledger"))
         .when(F.col("state_code") == STATE_PUBLISHED, F.lit("skip_published"))

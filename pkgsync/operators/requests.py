@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 
 def parse_requests(requests: DataFrame) -> DataFrame:
@@ -55,7 +54,7 @@ def requested_versions(matched: DataFrame, versions: DataFrame, repositories: Da
     ``one_version`` entries name their version; ``all_versions`` entries expand
     to every listed version of the package (equi-join on repository, package).
     Only found packages of supported repositories; the package type comes from
-    the catalogue (small broadcast).
+    ``repositories`` (the caller's size-checked scope table).
     """
     ok = matched.where(F.col("found"))
     one = ok.where(F.col("kind") == "one_version").select("request_id", "repository", "package", "version")
@@ -64,5 +63,4 @@ def requested_versions(matched: DataFrame, versions: DataFrame, repositories: Da
         .join(versions.select("repository", "package", "version"), ["repository", "package"], "inner")
     )
     req = one.unionByName(allv.select("request_id", "repository", "package", "version"))
-    types = bounded_broadcast(repositories)
-    return req.join(types, "repository", "inner")
+    return req.join(repositories, "repository", "inner")

@@ -40,27 +40,39 @@ def scope_repositories(repositories: DataFrame, scope: list[str] | None = None)
     return rep
 
 
-def in_scope(inv: DataFrame, repositories: DataFrame, scope: list[str] | None = None) -> DataFrame:
+def in_scope(inv: DataFrame, repositories: DataFrame, scope: list[str] | None = None,
+             scope_df: DataFrame | None = None) -> DataFrame:
     """Inventory rows of in-scope repositories (small broadcast semi join; with a
-    partitioned inventory and a literal list the filter also prunes directories)."""
+    partitioned inventory and a literal list the filter also prunes directories).
+    ``scope_df``: an already size-checked scope table to reuse."""
     if scope is not None:
         inv = inv.where(F.col("repository").isin(list(scope)))
-    reps = bounded_broadcast(scope_repositories(repositories, scope).select("repository"))
-    return inv.join(reps, "repository", "left_semi")
+    reps = scope_df if scope_df is not None else bounded_broadcast(scope_repositories(repositories, scope))
+    return inv.join(reps.select("repository"), "repository", "left_semi")
 
 
-def versions_with_stats(inv: DataFrame) -> DataFrame:
+def versions_with_stats(inv: DataFrame, types: DataFrame | None = None) -> DataFrame:
     """E2 plus per-version file counts and bytes in **one** aggregation, so the
-    files are reduced to versions map-side before anything is shuffled."""
+    files are reduced to versions map-side before anything is shuffled.
+
+    With ``types`` (repository -> package_type, one row per repository,
+    already size-checked for broadcast by the caller) the
+    aggregation key is exactly (repository, package, version) -- the ledger's
+    key -- so the ledger join that follows reuses this partitioning instead of
+    re-shuffling every version; the type comes back through a broadcast join,
+    which keeps the partitioning.  Without it the type is a grouping key.
+    """
     copy = F.col("copy")
-    return (
-        inv.where(F.col("version").isNotNull())
-        .groupBy("repository", "package_type", "package", "version")
-        .agg(
-            F.count_if(copy).cast("bigint").alias("n_files"),
-            F.coalesce(F.sum(F.when(copy, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
-        )
-    )
+    stats = [
+        F.count_if(copy).cast("bigint").alias("n_files"),
+        F.coalesce(F.sum(F.when(copy, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
+    ]
+    v = inv.where(F.col("version").isNotNull())
+    if types is None:
+        return v.groupBy("repository", "package_type", "package", "version").agg(*stats)
+    agg = v.groupBy("repository", "package", "version").agg(*stats)
+    return agg.join(types.select("repository", "package_type"), "repository", "inner").select(
+        "repository", "package_type", "package", "version", "n_files", "copy_bytes")
 
 
 def with_endpoint(df: DataFrame, endpoints: DataFrame | None, host: str = DRYRUN_HOST) -> DataFrame:
@@ -71,12 +83,18 @@ def with_endpoint(df: DataFrame, endpoints: DataFrame | None, host: str = DRYRUN
 
 
 def plan(inputs: Inputs, scope: list[str] | None = None, use_ledger: bool = True) -> DataFrame:
-    """One row per version in scope with its state and decision."""
-    inv = in_scope(inputs.inventory, inputs.repositories, scope)
-    vers = versions_with_stats(inv)
-    state = R.version_state(vers, inputs.target_versions)
+    """One row per version in scope with its state and decision.
+
+    Order of the joins: versions (aggregated on the ledger key) -> ledger
+    (co-partitioned, no exchange on the version side) -> target state (one
+    shuffle on the five-column target key) -> decision.
+    """
+    scope_df = bounded_broadcast(scope_repositories(inputs.repositories, scope))
+    inv = in_scope(inputs.inventory, inputs.repositories, scope, scope_df)
+    vers = versions_with_stats(inv, scope_df)
     ledger = inputs.ledger_versions if use_ledger else None
-    return R.decide(state, ledger)
+    marked = R.mark_ledger_published(vers, ledger)
+    return R.decide(R.version_state(marked, inputs.target_versions))
 
 
 def plan_files(plan_df: DataFrame, inv: DataFrame) -> DataFrame:
@@ -132,70 +150,101 @@ def actions(plan_df: DataFrame) -> DataFrame:
 # --- requests (L2) -------------------------------------------------------------------------
 
 def requested_plan(inputs: Inputs, requests: DataFrame) -> DataFrame:
-    """L2: plan for user requests (B17 -> D7 -> versions -> L1)."""
+    """L2: plan for user requests (B17 -> D7 -> versions -> L1).
+
+    A request list is small next to the inventory: its distinct (repository,
+    package) keys are broadcast behind a size check and semi-joined into the
+    inventory and ledger scans, so only the files of requested packages are
+    aggregated.  Beyond the bound the same semi join runs as a shuffle join.
+    """
     from ..operators import requests as RQ
 
-    scope = scope_repositories(inputs.repositories)
-    inv = in_scope(inputs.inventory, inputs.repositories)
+    scope = bounded_broadcast(scope_repositories(inputs.repositories))
     parsed = RQ.parse_requests(requests)
-    matched = RQ.match_requests(parsed, inputs.ledger_packages, INV.packages(inv))
-    wanted = RQ.requested_versions(matched, INV.versions(inv), scope)
-    stats = versions_with_stats(inv)
-    wanted = wanted.join(stats, ["repository", "package_type", "package", "version"], "left").select(
+    keys = bounded_broadcast(parsed.select("repository", "package").distinct())
+    inv = in_scope(inputs.inventory, inputs.repositories, scope_df=scope).join(keys, ["repository", "package"], "left_semi")
+    led_pk = None
+    if inputs.ledger_packages is not None:
+        led_pk = inputs.ledger_packages.join(keys, ["repository", "package"], "left_semi")
+    matched = RQ.match_requests(parsed, led_pk, INV.packages(inv))
+    stats = versions_with_stats(inv, scope)
+    wanted = RQ.requested_versions(matched, stats, scope)
+    wanted = wanted.join(stats.drop("package_type"), ["repository", "package", "version"], "left").select(
         "request_id", "repository", "package_type", "package", "version",
         F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
         F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
     )
-    return R.decide(R.version_state(wanted, inputs.target_versions), inputs.ledger_versions)
+    marked = R.mark_ledger_published(wanted, inputs.ledger_versions)
+    return R.decide(R.version_state(marked, inputs.target_versions))
 
 
 # --- resume (L7) ---------------------------------------------------------------------------
 
-def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFrame:
+def package_flags(ledger_packages: DataFrame) -> DataFrame:
+    """One row per ledger package: ``fetched`` (K6) and ``done``."""
+    return ledger_packages.groupBy("repository", "package").agg(
+        F.bool_or(F.col("all_versions_fetched") == 1).alias("fetched"),
+        F.bool_or(F.col("all_versions_published") == 1).alias("done"),
+    )
+
+
+def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame, drop_done: bool = False) -> DataFrame:
     """H2: versions from the ledger for packages it marks fetched, from the
-    listing for every other package (anti join on the fetched flag).
-    ``scope``: in-scope repositories with their package type (small)."""
+    listing for every other package.
+
+    One join of each side to the package flags on (repository, package) routes
+    the versions (and, with ``drop_done``, drops packages marked all-published,
+    K12).  The two branches are disjoint by package; ledger versions are unique
+    per key (``ledger.current``), so no DISTINCT is needed.
+    ``scope``: in-scope repositories with their package type (small, size-checked).
+    """
     listed = INV.versions(inv)
     if inputs.ledger_packages is None or inputs.ledger_versions is None:
         return listed.withColumn("source", F.lit("listing"))
-    fetched = inputs.ledger_packages.where(F.col("all_versions_fetched") == 1).select("repository", "package").distinct()
+    flags = package_flags(inputs.ledger_packages)
+    fetched, done = F.coalesce(F.col("fetched"), F.lit(False)), F.coalesce(F.col("done"), F.lit(False))
+    keep = ~done if drop_done else F.lit(True)
+    fresh = (
+        listed.join(flags, ["repository", "package"], "left")
+        .where(~fetched & keep)
+        .select("repository", "package_type", "package", "version", F.lit("listing").alias("source"))
+    )
     from_ledger = (
         inputs.ledger_versions.select("repository", "package", "version")
-        .join(fetched, ["repository", "package"], "left_semi")
-        .join(bounded_broadcast(scope.select("repository", "package_type")), "repository", "inner")
-        .withColumn("source", F.lit("ledger"))
+        .join(scope.select("repository", "package_type"), "repository", "inner")
+        .join(flags, ["repository", "package"], "inner")
+        .where(fetched & keep)
+        .select("repository", "package_type", "package", "version", F.lit("ledger").alias("source"))
     )
-    fresh = listed.join(fetched, ["repository", "package"], "left_anti").withColumn("source", F.lit("listing"))
-    return fresh.unionByName(from_ledger.select(*fresh.columns)).distinct()
+    return fresh.unionByName(from_ledger)
 
 
 def resume_plan(inputs: Inputs) -> DataFrame:
     """Only the work still open after earlier runs.
 
     K8 drops repositories the ledger marks all-published (before anything is
-    joined), K12 drops packages marked all-published, H2 takes versions from
-    the ledger where it has them, D5 drops versions published in the ledger;
-    what is left is planned against the target and only open decisions kept.
+    joined), H2 takes versions from the ledger where it has them and K12 drops
+    packages marked all-published (one join to the package flags), D5 drops
+    versions published in the ledger; what is left is planned against the
+    target and only open decisions kept.
     """
     from ..operators import ledger as LG
 
     scope = scope_repositories(inputs.repositories)
     if inputs.ledger_repositories is not None:
         scope = LG.open_repositories(scope, inputs.ledger_repositories)
-    inv = inputs.inventory.join(bounded_broadcast(scope.select("repository")), "repository", "left_semi")
-    src = version_source(inputs, inv, scope)
-    if inputs.ledger_packages is not None:
-        done = inputs.ledger_packages.where(F.col("all_versions_published") == 1).select("repository", "package")
-        src = src.join(done, ["repository", "package"], "left_anti")
+    scope = bounded_broadcast(scope)
+    inv = inputs.inventory.join(scope.select("repository"), "repository", "left_semi")
+    src = version_source(inputs, inv, scope, drop_done=True)
     if inputs.ledger_versions is not None:
         src = R.pending_versions(src, inputs.ledger_versions)
-    stats = versions_with_stats(inv)
-    src = src.join(stats, ["repository", "package_type", "package", "version"], "left").select(
+    stats = versions_with_stats(inv, scope)
+    src = src.join(stats.drop("package_type"), ["repository", "package", "version"], "left").select(
         "repository", "package_type", "package", "version", "source",
         F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
         F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
     )
-    planned = R.decide(R.version_state(src, inputs.target_versions), None)
+    planned = R.decide(R.version_state(R.mark_ledger_published(src, None), inputs.target_versions))
     return planned.where(F.col("decision") != "skip_published")
 
 

@@ -21,6 +21,7 @@ from .operators import ledger as LG
 from .operators import reconcile as R
 from .operators import requests as RQ
 from .operators import transfer as TR
+from .operators.joins import bounded_broadcast
 from .plans import migration as M
 from .session import apply_conf, checkpoint_root, local_dir, scratch_path
 from .sources import dumps as DU
@@ -572,7 +573,7 @@ def q_ledger_current(spark, sf_dir):
 @query("package_source")
 def q_package_source(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return M.version_source(c.inputs(), c.scoped(), M.scope_repositories(c.fx_repositories))
+    return M.version_source(c.inputs(), c.scoped(), bounded_broadcast(M.scope_repositories(c.fx_repositories)))
 
 
 # === 2.9 arrays, maps, JSON ================================================================
