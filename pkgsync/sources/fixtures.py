@@ -9,6 +9,9 @@ versions are unfinished, which requests malformed, ...); they never thin it out.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Base tables each fixture reads.
@@ -163,30 +166,43 @@ class Fixtures:
     """Lazily built fixture DataFrames for one session and one scale-factor folder.
 
     Base tables are read with ``spark.read.parquet`` and registered as temp
-    views under their own names; fixture DataFrames are then plain ``spark.sql``
-    over those views, analysed eagerly, so later re-registration cannot change
-    a DataFrame already handed out.
+    views under names private to this instance (``<table>_<id>``); the fixture
+    SQL is the shared text with its table names rewritten to those views.
+    DataFrames are analysed eagerly, so a caller's own views and other
+    instances (another scale factor in the same session) never interfere.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._id = uuid.uuid4().hex[:10]
+        names = "|".join(list(BASE_TABLES) + list(FIXTURES))
+        self._names = re.compile(rf"\b({names})\b")
+        self._base_done = False
+
+    def _view(self, name: str) -> str:
+        return f"{name}_{self._id}"
+
+    def _sql(self, text: str) -> str:
+        return self._names.sub(lambda m: self._view(m.group(1)), text)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _register_base(self) -> None:
-        for t in BASE_TABLES:
-            self.table(t).createOrReplaceTempView(t)
+        if not self._base_done:
+            for t in BASE_TABLES:
+                self.table(t).createOrReplaceTempView(self._view(t))
+            self._base_done = True
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._register_base()
             for n in closure([name]):
                 if n not in self._frames:
-                    df = self.spark.sql(FIXTURES[n][0])
-                    df.createOrReplaceTempView(n)
+                    df = self.spark.sql(self._sql(FIXTURES[n][0]))
+                    df.createOrReplaceTempView(self._view(n))
                     self._frames[n] = df
         return self._frames[name]
 
