@@ -155,21 +155,33 @@ def requested_plan(inputs: Inputs, requests: DataFrame) -> DataFrame:
     A request list is small next to the inventory: its distinct (repository,
     package) keys are broadcast behind a size check and semi-joined into the
     inventory and ledger scans, so only the files of requested packages are
-    aggregated.  Beyond the bound the same semi join runs as a shuffle join.
+    read past the scan.  One aggregation of those files on (repository,
+    package, version) -- version NULL for files that name no version -- gives
+    both the packages the source knows (D7) and the versions with their stats.
+    Beyond the size bound the same semi joins run as shuffle joins.
     """
     from ..operators import requests as RQ
 
     scope = bounded_broadcast(scope_repositories(inputs.repositories))
     parsed = RQ.parse_requests(requests)
     keys = bounded_broadcast(parsed.select("repository", "package").distinct())
-    inv = in_scope(inputs.inventory, inputs.repositories, scope_df=scope).join(keys, ["repository", "package"], "left_semi")
+    inv = (
+        in_scope(inputs.inventory, inputs.repositories, scope_df=scope)
+        .join(keys, ["repository", "package"], "left_semi")
+    )
+    copy = F.col("copy")
+    per_version = inv.groupBy("repository", "package", "version").agg(
+        F.count_if(copy).cast("bigint").alias("n_files"),
+        F.coalesce(F.sum(F.when(copy, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
+    )
+    src_packages = per_version.select("repository", "package").distinct()
+    stats = per_version.where(F.col("version").isNotNull())
     led_pk = None
     if inputs.ledger_packages is not None:
         led_pk = inputs.ledger_packages.join(keys, ["repository", "package"], "left_semi")
-    matched = RQ.match_requests(parsed, led_pk, INV.packages(inv))
-    stats = versions_with_stats(inv, scope)
+    matched = RQ.match_requests(parsed, led_pk, src_packages)
     wanted = RQ.requested_versions(matched, stats, scope)
-    wanted = wanted.join(stats.drop("package_type"), ["repository", "package", "version"], "left").select(
+    wanted = wanted.join(stats, ["repository", "package", "version"], "left").select(
         "request_id", "repository", "package_type", "package", "version",
         F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
         F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
