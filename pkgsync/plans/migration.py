@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import filters as C
 from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
@@ -34,7 +35,14 @@ class Inputs:
 
 def scope_repositories(repositories: DataFrame, scope: list[str] | None = None) -> DataFrame:
     """Supported LOCAL repositories in scope (C1, C2; D1 for a list)."""
-    rep = R.supported_repositories(repositories).where("supported").select("repository", "package_type")
+    # Plain predicates on non-key columns only: Catalyst then sees a selective
+    # filter and prunes the repository partitions of the inventory dynamically
+    # (a predicate on the key itself, such as ``repository <> 'TOTAL'``, is
+    # copied onto the scan and stops that).  The synthetic TOTAL row drops out
+    # anyway: its type is not LOCAL and it has no package type.
+    cat = INV.catalogue(repositories)
+    rep = cat.where((F.col("repo_type") == "LOCAL") & C.is_supported_type("package_type"))
+    rep = rep.select("repository", "package_type")
     if scope is not None:
         rep = rep.where(F.col("repository").isin(list(scope)))
     return rep
