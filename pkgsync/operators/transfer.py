@@ -36,6 +36,40 @@ def checksums(artifacts: DataFrame) -> DataFrame:
     return artifacts.withColumn("sha256", F.sha2(F.col("content"), 256)).drop("content")
 
 
+CHECKSUM_SCHEMA = "path string, length bigint, sha256 string, error string"
+
+
+def _checksum_batches(batches):
+    import pandas as pd
+
+    for pdf in batches:
+        out = []
+        for p in pdf["path"]:
+            try:
+                fs_, fp = _fs(p)
+                out.append(_sha_of(fs_, fp) + (None,))
+            except Exception as e:  # unreadable file -> error row, task goes on
+                out.append((None, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame({
+            "path": pdf["path"].values,
+            "length": pd.array([o[0] for o in out], dtype="Int64"),
+            "sha256": [o[1] for o in out],
+            "error": [o[2] for o in out],
+        })
+
+
+def streaming_checksums(paths: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """SHA-256 and length of each file, read in chunks inside a task.
+
+    For artifacts too large for one ``binaryFile`` row (which loads a whole
+    file, up to 2 GB): memory per task stays at one chunk.  Paths are
+    hash-partitioned so a repository with most files spreads over all tasks.
+    """
+    n = num_partitions or int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.select(F.regexp_replace("path", "^file:", "").alias("path")).repartition(n, "path") \
+        .mapInPandas(_checksum_batches, CHECKSUM_SCHEMA)
+
+
 def _fs(path: str):
     from pyarrow import fs as pafs
 

@@ -179,6 +179,17 @@ def q_artifact_checksums(spark, sf_dir):
     return TR.checksums(arts).select(F.col("doc_id").cast("bigint").alias("doc_id"), "length", "sha256")
 
 
+@query("artifact_checksums_streamed")
+def q_artifact_checksums_streamed(spark, sf_dir):
+    """A8 for large artifacts: paths listed without content, bytes hashed in chunks in tasks."""
+    c = _ctx(spark, sf_dir)
+    root = _write_documents_as_files(spark, c)
+    paths = TR.read_artifacts(spark, root, glob="*.txt").select("path")
+    out = TR.streaming_checksums(paths)
+    doc_id = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint")
+    return out.select(doc_id.alias("doc_id"), "length", "sha256")
+
+
 @query("copy_artifacts")
 def q_copy_artifacts(spark, sf_dir):
     """Copy every artifact file to a second root; one status row per file."""

@@ -59,7 +59,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     dir) and must be a shared filesystem.  Only when nothing is configured -- a
     local test session -- do we fall back to a fresh folder under /tmp.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        return root
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)

@@ -63,3 +63,11 @@ def test_catalogue_and_target_documents(spark):
     assert [(r["repo_key"], r["package_type"]) for r in rows] == [("a", "Maven"), ("TOTAL", None)]
     tgt = '{"repositories":[{"name":"a"},{"name":"b"}]}'
     assert [r["name"] for r in DU.parse_target_repositories(spark.createDataFrame([(tgt,)], "doc string")).collect()] == ["a", "b"]
+
+
+def test_streaming_checksums_equal_binary_file(spark):
+    docs, root = _write_docs(spark, 50)
+    arts = TR.read_artifacts(spark, root, with_content=True, glob="*.txt")
+    jvm = {r["path"].replace("file:", ""): (r["length"], r["sha256"]) for r in TR.checksums(arts).collect()}
+    streamed = {r["path"]: (r["length"], r["sha256"]) for r in TR.streaming_checksums(arts.select("path")).collect()}
+    assert streamed == jvm and len(streamed) == 50
