@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK = 8 * 1024 * 1024
+# Streams are opened with compression=None: bytes are copied as they are, even
+# for names such as .tar.gz that pyarrow would otherwise decompress.
 COPY_RESULT_SCHEMA = (
     "src_path string, dst_path string, length bigint, sha256 string, status string, error string"
 )
@@ -81,7 +83,7 @@ def _fs(path: str):
 def _sha_of(filesystem, path: str) -> tuple[int, str]:
     h = hashlib.sha256()
     n = 0
-    with filesystem.open_input_stream(path) as f:
+    with filesystem.open_input_stream(path, compression=None) as f:
         while True:
             b = f.read(CHUNK)
             if not b:
@@ -109,7 +111,7 @@ def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | No
         if parent:
             dfs.create_dir(parent, recursive=True)
         tmp = f"{dpath}.part-{uuid.uuid4().hex}"
-        with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(tmp) as fout:
+        with sfs.open_input_stream(spath, compression=None) as fin, dfs.open_output_stream(tmp, compression=None) as fout:
             while True:
                 b = fin.read(CHUNK)
                 if not b:
@@ -125,28 +127,41 @@ def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | No
         return None, None, "error", f"{type(e).__name__}: {e}"
 
 
-def _copy_batches(batches):
-    import pandas as pd
+def _copy_batches_keep(keep):
+    def run(batches):
+        import pandas as pd
 
-    for pdf in batches:
-        out = [_copy_one(s, d) for s, d in zip(pdf["src_path"], pdf["dst_path"])]
-        yield pd.DataFrame({
-            "src_path": pdf["src_path"].values,
-            "dst_path": pdf["dst_path"].values,
-            "length": pd.array([o[0] for o in out], dtype="Int64"),
-            "sha256": [o[1] for o in out],
-            "status": [o[2] for o in out],
-            "error": [o[3] for o in out],
-        })
+        for pdf in batches:
+            out = [_copy_one(s, d) for s, d in zip(pdf["src_path"], pdf["dst_path"])]
+            cols = {
+                "src_path": pdf["src_path"].values,
+                "dst_path": pdf["dst_path"].values,
+                "length": pd.array([o[0] for o in out], dtype="Int64"),
+                "sha256": [o[1] for o in out],
+                "status": [o[2] for o in out],
+                "error": [o[3] for o in out],
+            }
+            for k in keep:
+                cols[k] = pdf[k].values
+            yield pd.DataFrame(cols)
 
+    return run
 
-def copy_artifacts(plan: DataFrame, num_partitions: int | None = None) -> DataFrame:
+
+def copy_artifacts(plan: DataFrame, num_partitions: int | None = None, keep: list[str] | tuple = ()) -> DataFrame:
     """Copy ``src_path`` -> ``dst_path`` for each plan row; one result row per file.
 
     Rows are hash-partitioned by destination so one large repository is spread
     over all tasks.  Status: ``copied`` | ``skipped`` (already there, same bytes)
-    | ``checksum_mismatch`` | ``missing_source`` | ``error``.
+    | ``checksum_mismatch`` | ``missing_source`` | ``error``.  ``keep``: string
+    columns of the plan carried through to the result (e.g. the version key).
+
+    The result has side effects: materialise it once (write it) before using
+    it twice, or a second evaluation copies again (idempotent, but the status
+    would then read ``skipped``).
     """
     n = num_partitions or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = plan.select("src_path", "dst_path").repartition(n, "dst_path")
-    return rows.mapInPandas(_copy_batches, COPY_RESULT_SCHEMA)
+    keep = list(keep)
+    rows = plan.select("src_path", "dst_path", *keep).repartition(n, "dst_path")
+    schema = COPY_RESULT_SCHEMA + "".join(f", {k} string" for k in keep)
+    return rows.mapInPandas(_copy_batches_keep(keep), schema)
