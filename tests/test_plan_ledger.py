@@ -117,3 +117,21 @@ def test_ledger_current_latest_run(spark):
         "repository string, package string, version string, published int, publish_failed int, publish_error string, run_id int")
     got = {r["package"]: (r["published"], r["run_id"]) for r in LG.current(snaps, LG.VER_KEY).collect()}
     assert got == {"a": (1, 2), "b": (0, 1)}
+
+
+def test_ledger_create_clean_and_snapshot(spark):
+    from pkgsync.session import scratch_path
+
+    root = scratch_path(spark, "ledger")
+    LG.create_if_absent(spark, root)                       # A10
+    assert spark.read.parquet(f"{root}/versions").count() == 0
+    led = spark.createDataFrame([("r", "a", "1", 1, 0, ""), ("s", "b", "2", 0, 1, "e")], LG.LEDGER_VERSIONS)
+    led.write.mode("overwrite").parquet(f"{root}/versions")
+    LG.create_if_absent(spark, root)                       # existing tables are kept
+    assert spark.read.parquet(f"{root}/versions").count() == 2
+    snap = f"{root}/snap-1"
+    LG.write_snapshot(led, snap)
+    back = spark.read.parquet(snap).select(*[f.name for f in LG.LEDGER_VERSIONS.fields])
+    assert sorted(back.collect()) == sorted(led.collect())
+    LG.clean(spark, root)                                  # A11
+    assert all(spark.read.parquet(f"{root}/{k}").count() == 0 for k in LG.SCHEMAS)
