@@ -56,10 +56,6 @@ MISSING_ERROR = (
 )
 
 
-def _flag(c) -> F.Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # --- create / clean (A10, A11) ------------------------------------------------------
 
 def empty_table(spark: SparkSession, kind: str) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import filters as C
-from ..functions import paths as P
 from .inventory import catalogue, with_target_coordinates
 from .joins import bounded_broadcast
 from .ranking import index_within

@@ -23,7 +23,7 @@ from .operators import requests as RQ
 from .operators import transfer as TR
 from .operators.joins import bounded_broadcast
 from .plans import migration as M
-from .session import apply_conf, checkpoint_root, local_dir, scratch_path
+from .session import apply_conf, local_dir, scratch_path
 from .sources import dumps as DU
 from .sources.fixtures import Fixtures
 
