@@ -6,7 +6,9 @@ ledger update (D6, J3, J7-J11, E3-E6) -> write a new ledger snapshot.
 
 Every stage boundary is a written table under ``work_root`` (a shared folder),
 which cuts lineage: a lost executor re-runs only the stage it belonged to, and
-the side-effecting copy is never evaluated twice.
+the side-effecting copy is never evaluated twice.  A run restarted with the
+same ``run_id`` (driver lost) rewrites only its own folder: the copy skips
+files already verified, the ledger snapshot is derived again from the inputs.
 """
 
 from __future__ import annotations
@@ -129,7 +131,8 @@ def migrate(spark: SparkSession, inputs: M.Inputs, *, work_root: str, run_id: st
         "repository", "package", "version",
     )
     copies_path = f"{base}/copies"
-    TR.copy_artifacts(copy_plan, keep=["repository", "package", "version"]).write.parquet(copies_path)
+    # a restarted run overwrites its own results; finished copies then read "skipped"
+    TR.copy_artifacts(copy_plan, keep=["repository", "package", "version"]).write.mode("overwrite").parquet(copies_path)
     result.copies = copies_path
     responses = copy_responses(spark.read.parquet(copies_path))
 
@@ -141,9 +144,10 @@ def migrate(spark: SparkSession, inputs: M.Inputs, *, work_root: str, run_id: st
 
     lv, lp, lr = update_ledger(inputs, plan_df, responses, checked)
     ledger_path = f"{base}/ledger"
-    LG.write_snapshot(lv, f"{ledger_path}/versions")
-    LG.write_snapshot(lp, f"{ledger_path}/packages")
-    LG.write_snapshot(lr, f"{ledger_path}/repositories")
+    # the run's own folder: never an input of this run, so a restart may overwrite it
+    LG.write_snapshot(lv, f"{ledger_path}/versions", mode="overwrite")
+    LG.write_snapshot(lp, f"{ledger_path}/packages", mode="overwrite")
+    LG.write_snapshot(lr, f"{ledger_path}/repositories", mode="overwrite")
     result.ledger = ledger_path
     return result
 

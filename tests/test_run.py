@@ -87,3 +87,16 @@ def test_migrate_end_to_end_and_resume(spark):
     st = [r["status"] for r in spark.read.parquet(res2.copies).collect()]
     assert st == ["skipped"]
     assert spark.read.parquet(res2.plan).where(F.col("decision") == "skip_ledger").count() == 3
+
+
+def test_restart_same_run_id(spark):
+    src, inputs, target = _setup(spark)
+    dst = local_dir(scratch_path(spark, "dst"))
+    work = scratch_path(spark, "work")
+    first = RUN.migrate(spark, inputs, work_root=work, run_id="7", src_root=src, dst_root=dst, dry_run=False,
+                        fresh_target=lambda: target)
+    again = RUN.migrate(spark, inputs, work_root=work, run_id="7", src_root=src, dst_root=dst, dry_run=False,
+                        fresh_target=lambda: target)
+    assert again.ledger == first.ledger
+    assert {r["status"] for r in spark.read.parquet(again.copies).collect()} == {"skipped"}
+    assert RUN.read_ledger(spark, again.ledger)["versions"].count() == 5
