@@ -48,6 +48,15 @@ def check_requested_repositories(requested: DataFrame, repositories: DataFrame)
     return out.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
+def require_known(checked: DataFrame, sample: int = 20) -> None:
+    """Strict mode of D1: raise when a requested repository is unknown (the
+    source tool aborted the run).  One small job; at most ``sample`` names are
+    fetched for the message."""
+    bad = [r["repository"] for r in checked.where(~F.col("known")).select("repository").take(sample)]
+    if bad:
+        raise ValueError(f"unknown repositories: {', '.join(map(str, bad))}")
+
+
 def all_repositories_known(checked: DataFrame) -> DataFrame:
     """One row, ``all_known`` = every requested repository is in the catalogue."""
     return checked.agg(F.coalesce(F.bool_and("known"), F.lit(True)).alias("all_known"))

@@ -157,7 +157,28 @@ def actions(plan_df: DataFrame) -> DataFrame:
 
 # --- requests (L2) -------------------------------------------------------------------------
 
-def requested_plan(inputs: Inputs, requests: DataFrame) -> DataFrame:
+def require_valid_requests(inputs: Inputs, requests: DataFrame, sample: int = 20) -> None:
+    """Strict mode of L2 (2.14 #26): raise on an unknown repository, a
+    malformed or blank-version entry, or a package found neither in the ledger
+    nor in the source -- the cases where the source tool aborted.  Without it
+    such entries are rows with a ``kind`` / ``found`` flag."""
+    from ..operators import requests as RQ
+
+    R.require_known(R.check_requested_repositories(requests, inputs.repositories), sample)
+    parsed = RQ.parse_requests(requests)
+    bad = parsed.where(F.col("kind").isin("malformed", "blank_version")).select("request_id", "token").take(sample)
+    if bad:
+        raise ValueError("malformed requests: " + ", ".join(f"{r['request_id']}:{r['token']!r}" for r in bad))
+    keys = bounded_broadcast(parsed.where(F.col("kind") != "empty").select("repository", "package").distinct())
+    inv = inputs.inventory.join(keys, ["repository", "package"], "left_semi")
+    led = inputs.ledger_packages.join(keys, ["repository", "package"], "left_semi") if inputs.ledger_packages is not None else None
+    m = RQ.match_requests(parsed.where(F.col("kind") != "empty"), led, INV.packages(inv))
+    missing = m.where(~F.col("found")).select("repository", "package").take(sample)
+    if missing:
+        raise ValueError("packages not found: " + ", ".join(f"{r['repository']}/{r['package']}" for r in missing))
+
+
+def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) -> DataFrame:
     """L2: plan for user requests (B17 -> D7 -> versions -> L1).
 
     A request list is small next to the inventory: its distinct (repository,
@@ -170,6 +191,8 @@ def requested_plan(inputs: Inputs, requests: DataFrame) -> DataFrame:
     """
     from ..operators import requests as RQ
 
+    if strict:
+        require_valid_requests(inputs, requests)
     scope = bounded_broadcast(scope_repositories(inputs.repositories))
     parsed = RQ.parse_requests(requests)
     keys = bounded_broadcast(parsed.select("repository", "package").distinct())

@@ -135,3 +135,19 @@ def test_ledger_create_clean_and_snapshot(spark):
     assert sorted(back.collect()) == sorted(led.collect())
     LG.clean(spark, root)                                  # A11
     assert all(spark.read.parquet(f"{root}/{k}").count() == 0 for k in LG.SCHEMAS)
+
+
+def test_strict_requests_raise(spark):
+    import pytest
+
+    fx, inputs = _inputs(spark)
+    ok = fx.fx_requests.where(~F.col("packages").contains(":")).where(~F.col("packages").contains(" "))
+    M.requested_plan(inputs, ok, strict=True).count()          # every entry valid and known
+    bad_repo = ok.limit(1).withColumn("repository", F.lit("no-such-repo"))
+    with pytest.raises(ValueError, match="unknown repositories"):
+        M.requested_plan(inputs, bad_repo, strict=True)
+    with pytest.raises(ValueError, match="malformed"):
+        M.requested_plan(inputs, fx.fx_requests, strict=True)
+    missing = ok.limit(1).withColumn("packages", F.lit("no-such-package"))
+    with pytest.raises(ValueError, match="not found"):
+        M.requested_plan(inputs, missing, strict=True)
