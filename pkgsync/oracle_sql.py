@@ -574,6 +574,11 @@ FROM (SELECT doc_id, form, unnest(json_keys(form)) AS k FROM fx_form_metadata)
 WHERE k IN ('gpg_signature', 'content')""",
     "fx_form_metadata",
 )
+oracle(
+    "npm_publish_doc",
+    """SELECT doc_id, CAST(json_merge_patch(metadata, '{"_rev": null}') AS VARCHAR) AS publish_doc FROM fx_npm_metadata""",
+    "fx_npm_metadata",
+)
 oracle(
     "npm_single_version",
     """SELECT doc_id, version,

@@ -45,7 +45,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"copy_artifacts", "npm_publish_doc"}
+    assert rows_only == {"copy_artifacts"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
