@@ -258,6 +258,10 @@ oracle(
     "artifact_checksums",
     "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha256 FROM documents",
 )
+oracle(
+    "copy_artifacts",
+    "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha256, true AS ok FROM documents",
+)
 oracle(
     "artifact_checksums_streamed",
     "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length, sha256(text || chr(10)) AS sha256 FROM documents",
