@@ -268,7 +268,7 @@ def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame, drop_done:
     return fresh.unionByName(from_ledger)
 
 
-def resume_plan(inputs: Inputs) -> DataFrame:
+def resume_plan(inputs: Inputs, scope: list[str] | None = None) -> DataFrame:
     """Only the work still open after earlier runs.
 
     K8 drops repositories the ledger marks all-published (before anything is
@@ -279,11 +279,15 @@ def resume_plan(inputs: Inputs) -> DataFrame:
     """
     from ..operators import ledger as LG
 
-    scope = scope_repositories(inputs.repositories)
+    names = scope
+    scope = scope_repositories(inputs.repositories, names)
     if inputs.ledger_repositories is not None:
         scope = LG.open_repositories(scope, inputs.ledger_repositories)
     scope = bounded_broadcast(scope)
-    inv = inputs.inventory.join(scope.select("repository"), "repository", "left_semi")
+    inv = inputs.inventory
+    if names is not None:
+        inv = inv.where(F.col("repository").isin(list(names)))
+    inv = inv.join(scope.select("repository"), "repository", "left_semi")
     src = version_source(inputs, inv, scope, drop_done=True)
     if inputs.ledger_versions is not None:
         src = R.pending_versions(src, inputs.ledger_versions)
@@ -322,3 +326,32 @@ def post_check(plan_df: DataFrame, fresh_target: DataFrame) -> DataFrame:
 def with_waves(plan_df: DataFrame, waves: DataFrame) -> DataFrame:
     """F1 on the plan: wave number of each version's package."""
     return plan_df.join(waves.select("repository", "package", "wave"), ["repository", "package"], "left")
+
+
+def plan_mode(inputs: Inputs, mode: str = "all", repositories: list[str] | None = None,
+              requests: DataFrame | None = None, resume: bool = False, strict: bool = False) -> DataFrame:
+    """L5 mode selection, as the source tool's entry point offers it.
+
+    * ``all``          -- every supported LOCAL repository;
+    * ``repositories`` -- the named repositories (unknown names: ``strict``
+      raises, otherwise they simply plan nothing);
+    * ``packages``     -- the ``requests`` table (``repository, packages``).
+    ``resume`` keeps only open work (L7) for the first two modes.
+    """
+    if mode == "packages":
+        if requests is None:
+            raise ValueError("mode 'packages' needs a requests table")
+        return requested_plan(inputs, requests, strict=strict)
+    if mode == "repositories":
+        if not repositories:
+            raise ValueError("mode 'repositories' needs repository names")
+        if strict:
+            spark = inputs.repositories.sparkSession
+            named = spark.createDataFrame([(r,) for r in repositories], "repository string")
+            R.require_known(R.check_requested_repositories(named, inputs.repositories))
+        if resume:
+            return resume_plan(inputs, scope=list(repositories))
+        return plan(inputs, scope=list(repositories))
+    if mode == "all":
+        return resume_plan(inputs) if resume else plan(inputs)
+    raise ValueError(f"mode must be 'all', 'repositories' or 'packages', not {mode!r}")

@@ -151,3 +151,19 @@ def test_strict_requests_raise(spark):
     missing = ok.limit(1).withColumn("packages", F.lit("no-such-package"))
     with pytest.raises(ValueError, match="not found"):
         M.requested_plan(inputs, missing, strict=True)
+
+
+def test_plan_modes(spark):
+    import pytest
+
+    fx, inputs = _inputs(spark)
+    full = M.plan_mode(inputs, "all")
+    assert full.count() == M.plan(inputs).count()
+    some = M.plan_mode(inputs, "repositories", repositories=["repo-0", "repo-1"])
+    assert {r[0] for r in some.select("repository").distinct().collect()} <= {"repo-0", "repo-1"}
+    assert some.count() == full.where(F.col("repository").isin("repo-0", "repo-1")).count()
+    assert M.plan_mode(inputs, "packages", requests=fx.fx_requests).count() > 0
+    with pytest.raises(ValueError, match="unknown"):
+        M.plan_mode(inputs, "repositories", repositories=["nope"], strict=True)
+    resumed = M.plan_mode(inputs, "repositories", repositories=["repo-1"], resume=True)
+    assert resumed.where(F.col("repository") != "repo-1").count() == 0
