@@ -167,3 +167,28 @@ def test_plan_modes(spark):
         M.plan_mode(inputs, "repositories", repositories=["nope"], strict=True)
     resumed = M.plan_mode(inputs, "repositories", repositories=["repo-1"], resume=True)
     assert resumed.where(F.col("repository") != "repo-1").count() == 0
+
+
+def test_waves_split_a_hot_repository(spark):
+    """One repository holding a third of all packages (all maven packages of the
+    sf0.01 fixture, re-keyed): the wave index equals row_number, and the range
+    partitions it runs on stay balanced, i.e. the hot repository is split."""
+    from pyspark.sql import Window
+
+    fx = Fixtures(spark, "/root/testdata/sf0.01")
+    inv = INV.inventory(fx.fx_files.select("repository", "uri", "size_bytes"), fx.fx_repositories)
+    maven = F.col("package_type") == "maven"
+    pk = INV.packages(M.in_scope(inv, fx.fx_repositories)).select(
+        F.when(maven, F.lit("hot")).otherwise(F.col("repository")).alias("repository"),
+        F.when(maven, F.concat_ws("/", "repository", "package")).otherwise(F.col("package")).alias("package"),
+    )
+    n = pk.count()
+    hot = pk.where(F.col("repository") == "hot").count()
+    assert hot * 3 >= n
+    got = R.migration_waves(pk, 4)
+    want = pk.withColumn("position", (F.row_number().over(Window.partitionBy("repository").orderBy("package")) - 1)
+                         .cast("bigint"))
+    assert sorted(got.select("repository", "package", "position").collect()) == sorted(want.collect())
+    sizes = [r["count"] for r in pk.repartitionByRange(8, "repository", "package")
+             .groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 1.5 * n / 8          # no task holds the hot repository whole
