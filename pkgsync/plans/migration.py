@@ -15,7 +15,7 @@ from ..functions import filters as C
 from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 DRYRUN_HOST = "dryrun-endpoint.invalid"
 
@@ -105,15 +105,49 @@ def plan(inputs: Inputs, scope: list[str] | None = None, use_ledger: bool = True
     return R.decide(R.version_state(marked, inputs.target_versions))
 
 
-def plan_files(plan_df: DataFrame, inv: DataFrame) -> DataFrame:
+# A version with at least this many files is split over salt buckets in plan_files.
+HOT_VERSION_FILES = 50_000
+
+
+def plan_files(plan_df: DataFrame, inv: DataFrame, hot_files: int = HOT_VERSION_FILES,
+               salt_buckets: int | None = None) -> DataFrame:
     """Files to copy for each version the plan publishes.
 
-    Inner equi-join on (repository, package, version); a version with very many
-    files is a skewed key on the file side only, which AQE's skew-join splits.
+    Inner equi-join on (repository, package, version).  The plan knows each
+    version's file count (``n_files``); a version with ``hot_files`` files or
+    more is a hot key on the file side, so the join key gets a salt: the hot
+    version's files spread over ``salt_buckets`` buckets by a hash of their
+    path, and its one plan row is repeated once per bucket.  Every other key
+    keeps salt 0.  The hot-version list is at most ``total files / hot_files``
+    rows and is broadcast behind a size check (one bounded count, cheap when the
+    plan was written first as ``run.migrate`` does); beyond the bound the join
+    runs unsalted and AQE's skew join is left to split the partition.
     """
-    todo = R.to_copy(plan_df).select("repository", "package", "version", "decision", "namespace", "target_package")
+    keys = ["repository", "package", "version"]
+    cols = ["repository", "package", "version", "decision", "namespace", "target_package"]
+    todo_all = R.to_copy(plan_df)
     files = INV.version_files(inv)
-    return files.join(todo, ["repository", "package", "version"], "inner")
+    if "n_files" not in todo_all.columns:
+        return files.join(todo_all.select(*cols), keys, "inner")
+    n = salt_buckets or int(plan_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = todo_all.where(F.col("n_files") >= hot_files).select(*keys)
+    n_hot = hot.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() if n > 1 else 0
+    if n_hot == 0 or n_hot > DEFAULT_MAX_BROADCAST_ROWS:   # nothing hot, or left to AQE
+        return files.join(todo_all.select(*cols), keys, "inner")
+    hot_b = F.broadcast(hot).withColumn("_hot", F.lit(True))   # size checked just above
+    salted_files = (
+        files.join(hot_b, keys, "left")
+        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("uri"), F.lit(n).cast("bigint")))
+                    .otherwise(F.lit(0).cast("bigint")))
+        .drop("_hot")
+    )
+    salted_todo = (
+        todo_all.select(*cols).join(hot_b, keys, "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+                                       .otherwise(F.array(F.lit(0).cast("bigint")))))
+        .drop("_hot")
+    )
+    return salted_files.join(salted_todo, keys + ["_salt"], "inner").drop("_salt")
 
 
 def plan_summary(plan_df: DataFrame) -> DataFrame:

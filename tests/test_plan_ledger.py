@@ -192,3 +192,45 @@ def test_waves_split_a_hot_repository(spark):
     sizes = [r["count"] for r in pk.repartitionByRange(8, "repository", "package")
              .groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(sizes) < 1.5 * n / 8          # no task holds the hot repository whole
+
+
+def test_plan_files_salts_hot_versions(spark):
+    """A version holding a third of all copy files: salted join gives the same rows,
+    spread over the salt buckets instead of one task."""
+    fx = Fixtures(spark, "/root/testdata/sf0.01")
+    inv = INV.inventory(fx.fx_files.select("repository", "uri", "size_bytes"), fx.fx_repositories)
+    mv = F.col("package_type") == "maven"
+    inv = inv.select(F.when(mv, F.lit("repo-0")).otherwise(F.col("repository")).alias("repository"), "package_type",
+                     F.when(mv, F.concat_ws("/", "repository", "uri")).otherwise(F.col("uri")).alias("uri"),
+                     "size_bytes", "file_name",
+                     F.when(mv, F.lit("org/hot/lib")).otherwise(F.col("package")).alias("package"),
+                     F.when(mv & F.col("version").isNotNull(), F.lit("1.0")).otherwise(F.col("version")).alias("version"),
+                     "copy")
+    inputs = M.Inputs(inv, fx.fx_repositories, fx.fx_target)
+    plan = M.plan(inputs)
+    scoped = M.in_scope(inv, fx.fx_repositories)
+    plain = M.plan_files(plan, scoped, hot_files=10**12)
+    salted = M.plan_files(plan, scoped, hot_files=1000, salt_buckets=8)
+    cols = ["repository", "package", "version", "uri", "decision"]
+    a, b = sorted(plain.select(*cols).collect()), sorted(salted.select(*cols).collect())
+    assert a == b
+    hot_rows = [r for r in a if r["package"] == "org/hot/lib"]
+    assert len(hot_rows) * 3 >= len(a)
+    # as at scale (no broadcast of the plan side, no coalescing): the hot version's
+    # files land in several join partitions
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        salted = M.plan_files(plan, scoped, hot_files=1000, salt_buckets=8)
+        parts = (salted.where(F.col("package") == "org/hot/lib").groupBy(F.spark_partition_id().alias("p"))
+                 .count().collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 0.5 * len(hot_rows)
