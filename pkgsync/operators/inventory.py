@@ -82,17 +82,17 @@ def inventory(files: DataFrame, repositories: DataFrame | None = None, match: st
     return derive_coordinates(typed, match).select(*INVENTORY_COLUMNS)
 
 
-def store_inventory(inv: DataFrame, path: str, num_partitions: int | None = None) -> None:
+def store_inventory(inv: DataFrame, path: str) -> None:
     """Write the inventory once, partitioned by repository.
 
-    Range-partitioned on (repository, package) first: each task holds one
-    contiguous slice of the sorted key space, so it writes into one or a few
-    repository folders (no tasks x repositories small files), a very large
-    repository is cut into many slices written in parallel, and each file is
-    sorted by package (tight min/max statistics for package filters)."""
-    n = num_partitions or int(inv.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (inv.repartitionByRange(n, "repository", "package", "uri")
-     .sortWithinPartitions("repository", "package", "version")
+    Rebalanced on the repository first (``writes.by_repository``): a task
+    writes one repository folder, a very large repository is split by AQE
+    over many tasks, and each file is sorted by package and version (tight
+    min/max statistics; a package's files sit together, so the version
+    aggregate reduces map-side to about one row per version)."""
+    from .writes import by_repository
+
+    (by_repository(inv, ["repository", "package", "version"])
      .write.mode("overwrite").partitionBy("repository").parquet(path))
 
 

@@ -75,19 +75,19 @@ def clean(spark: SparkSession, root: str) -> None:
 
 
 def write_snapshot(df: DataFrame, path: str, partition_by_repository: bool = True,
-                   num_partitions: int | None = None, mode: str = "errorifexists") -> None:
+                   mode: str = "errorifexists") -> None:
     """Store an updated table under a new path (never over the one being read;
     ``mode="overwrite"`` only for a path owned by the same run, as on a restart).
 
     Repository folders keep per-repository reads (K8 pruning,
-    ``repository_plan``) cheap; a range partitioning on the key first makes
-    each task write a contiguous slice, so a repository holding most rows is
-    written by many tasks and no task writes into every folder."""
+    ``repository_plan``) cheap; rebalancing on the repository first
+    (``writes.by_repository``) means no task writes into every folder and a
+    repository holding most rows is written by many tasks."""
     if partition_by_repository:
+        from .writes import by_repository
+
         keys = [c for c in ("repository", "package", "version") if c in df.columns]
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *keys)
-        w = df.write.mode(mode).partitionBy("repository")
+        w = by_repository(df, keys).write.mode(mode).partitionBy("repository")
     else:
         w = df.write.mode(mode)
     w.parquet(path)

@@ -159,14 +159,16 @@ def plan_summary(plan_df: DataFrame) -> DataFrame:
     )
 
 
-def write_plan(plan_df: DataFrame, path: str, num_partitions: int | None = None) -> None:
+def write_plan(plan_df: DataFrame, path: str) -> None:
     """Dry-run sink -- the plan is recorded, nothing else is touched.
 
-    Range-partitioned on (repository, package, version) before the write, so
-    each task writes one contiguous slice into one or a few repository folders
-    and a repository holding most versions is written by many tasks."""
-    n = num_partitions or int(plan_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (plan_df.repartitionByRange(n, "repository", "package", "version")
+    Rebalanced on the repository before the write (``writes.by_repository``):
+    a task writes one repository folder, a repository holding most versions is
+    split over many tasks by AQE, and the plan is computed once (no sampling
+    pass as a range partitioning would need)."""
+    from ..operators.writes import by_repository
+
+    (by_repository(plan_df, ["repository", "package", "version"])
      .write.mode("overwrite").partitionBy("repository").parquet(path))
 
 

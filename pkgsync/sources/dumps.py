@@ -62,12 +62,12 @@ def read_listing_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_listing_lines(files: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    """Store a listing as JSON Lines, one directory per repository (range-partitioned
-    on (repository, uri) first: few folders per task, big repositories split)."""
-    n = num_partitions or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (files.select("repository", "uri", F.col("size_bytes").alias("size"), F.lit(False).alias("folder"))
-     .repartitionByRange(n, "repository", "uri")
+def write_listing_lines(files: DataFrame, path: str) -> None:
+    """Store a listing as JSON Lines, one directory per repository (rebalanced on
+    the repository first: one folder per task, big repositories split by AQE)."""
+    from ..operators.writes import by_repository
+
+    (by_repository(files.select("repository", "uri", F.col("size_bytes").alias("size"), F.lit(False).alias("folder")))
      .write.mode("overwrite").partitionBy("repository").json(path))
 
 
