@@ -5,7 +5,7 @@
    way a production run stores its inputs (inventory partitioned by repository);
 2. one untimed warm-up job, then each headline job runs over the stored tables
    and ends in a sink (``noop`` write, or a collect for small results); best of
-   ``BENCH_RUNS`` runs (default 3).
+   ``BENCH_RUNS`` runs (default 5).
 
 Prints one JSON line: {"metric", "value" (sum of job times), "unit", "queries", "sf", ...}.
 """
@@ -38,7 +38,7 @@ def noop(df):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cpus, max(cpus, 8), app="pkgsync-bench")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None

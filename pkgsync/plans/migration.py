@@ -113,24 +113,25 @@ def plan_files(plan_df: DataFrame, inv: DataFrame, hot_files: int = HOT_VERSION_
                salt_buckets: int | None = None) -> DataFrame:
     """Files to copy for each version the plan publishes.
 
-    Inner equi-join on (repository, package, version).  The plan knows each
-    version's file count (``n_files``); a version with ``hot_files`` files or
-    more is a hot key on the file side, so the join key gets a salt: the hot
+    Inner equi-join on (repository, package, version).  A version with
+    ``hot_files`` files to copy or more is a hot key on the file side, so the
+    join key gets a salt: the hot
     version's files spread over ``salt_buckets`` buckets by a hash of their
     path, and its one plan row is repeated once per bucket.  Every other key
     keeps salt 0.  The hot-version list is at most ``total files / hot_files``
-    rows and is broadcast behind a size check (one bounded count, cheap when the
-    plan was written first as ``run.migrate`` does); beyond the bound the join
-    runs unsalted and AQE's skew join is left to split the partition.
+    rows and is broadcast behind a size check (one bounded count over a
+    partial aggregate of the files); beyond the bound the join runs unsalted
+    and AQE's skew join is left to split the partition.
     """
     keys = ["repository", "package", "version"]
     cols = ["repository", "package", "version", "decision", "namespace", "target_package"]
     todo_all = R.to_copy(plan_df)
     files = INV.version_files(inv)
-    if "n_files" not in todo_all.columns:
-        return files.join(todo_all.select(*cols), keys, "inner")
     n = salt_buckets or int(plan_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = todo_all.where(F.col("n_files") >= hot_files).select(*keys)
+    # hot versions straight from the files (scan + partial aggregate), so the
+    # check never re-evaluates the plan's joins; salting a version the plan
+    # then skips costs nothing
+    hot = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_files).select(*keys)
     n_hot = hot.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() if n > 1 else 0
     if n_hot == 0 or n_hot > DEFAULT_MAX_BROADCAST_ROWS:   # nothing hot, or left to AQE
         return files.join(todo_all.select(*cols), keys, "inner")
