@@ -94,6 +94,13 @@ def _sha_of(filesystem, path: str) -> tuple[int, str]:
 
 
 def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | None]:
+    """Copy one file; the source is read once on the common path.
+
+    An existing destination of the same size is compared by SHA-256 and left
+    alone when equal.  Otherwise the bytes stream to a temporary name while the
+    source is hashed; the written file is hashed again and must match (length
+    and digest, and the length the listing reported) before the atomic rename.
+    """
     from pyarrow import fs as pafs
 
     try:
@@ -102,27 +109,31 @@ def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | No
         info = sfs.get_file_info(spath)
         if info.type != pafs.FileType.File:
             return None, None, "missing_source", f"no file at {src}"
-        src_len, src_sha = _sha_of(sfs, spath)
         dinfo = dfs.get_file_info(dpath)
-        if dinfo.type == pafs.FileType.File and dinfo.size == src_len:
-            if _sha_of(dfs, dpath) == (src_len, src_sha):
-                return src_len, src_sha, "skipped", None
+        if dinfo.type == pafs.FileType.File and dinfo.size == info.size:
+            src_sum = _sha_of(sfs, spath)
+            if _sha_of(dfs, dpath) == src_sum:
+                return src_sum[0], src_sum[1], "skipped", None
         parent = dpath.rsplit("/", 1)[0]
         if parent:
             dfs.create_dir(parent, recursive=True)
         tmp = f"{dpath}.part-{uuid.uuid4().hex}"
+        h, n = hashlib.sha256(), 0
         with sfs.open_input_stream(spath, compression=None) as fin, dfs.open_output_stream(tmp, compression=None) as fout:
             while True:
                 b = fin.read(CHUNK)
                 if not b:
                     break
+                h.update(b)
+                n += len(b)
                 fout.write(b)
+        src_sum = (n, h.hexdigest())
         got = _sha_of(dfs, tmp)
-        if got != (src_len, src_sha):
+        if got != src_sum or n != info.size:
             dfs.delete_file(tmp)
-            return got[0], got[1], "checksum_mismatch", f"expected {src_len} bytes {src_sha}"
+            return got[0], got[1], "checksum_mismatch", f"read {n} of {info.size} bytes, digest {src_sum[1]}"
         dfs.move(tmp, dpath)
-        return src_len, src_sha, "copied", None
+        return n, src_sum[1], "copied", None
     except Exception as e:  # one bad file must not fail the whole task
         return None, None, "error", f"{type(e).__name__}: {e}"
 
