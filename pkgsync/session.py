@@ -56,8 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir) and must be a shared filesystem.  Only when nothing is configured -- a
-    local test session -- do we fall back to a fresh folder under /tmp.
+    dir) and must be a shared filesystem; unset on a cluster is an error.  Only
+    a local session with nothing configured (tests) gets a fresh folder under /tmp.
     """
     try:
         sc = spark.sparkContext
@@ -72,6 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not str(sc.master).startswith("local"):
+                # executors on other machines would not see a local folder
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             root = tempfile.mkdtemp(prefix="pkgsync-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
