@@ -118,7 +118,7 @@ def upload_url(package_type: ColumnOrName, endpoint: ColumnOrName, package: Colu
     )
 
 
-def dryrun_endpoint(repository: ColumnOrName, host: str = "codeartifact-test-endpoint-dryrun.com") -> Column:
+def dryrun_endpoint(repository: ColumnOrName, host: str = "dryrun-endpoint.invalid") -> Column:
     """Endpoint used in dry-run plans: ``<host>/<repository>``."""
     return F.concat(_lit(host + "/"), _c(repository))
 
