@@ -73,7 +73,7 @@ def path_version(uri: ColumnOrName) -> Column:
 def maven_namespace(package: ColumnOrName) -> Column:
     """All but the last segment of a maven package ('' when there is none).
 
-    Drops the *last* segment (the reference removed the first segment equal to
+    Drops the *last* segment (the source tool removed the first segment equal to
     the last one, so ``foo/bar/foo`` became ``bar/foo``).
     """
     p = _c(package)
