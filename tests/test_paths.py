@@ -122,3 +122,11 @@ def test_form_fields_flatten_and_constants(spark):
     got = sorted((r["key"], r["value"]) for r in DOC.form_fields(df).collect())
     assert got == sorted([(":action", "file_upload"), ("protocol_version", "1"), ("name", "p"),
                           ("classifiers", "a"), ("classifiers", "b"), ("content", '["x","y"]')])
+
+
+def test_staging_names_do_not_collide(spark):
+    # 2.14 #22: equal basenames from different namespaces or repositories get different staging keys
+    df = spark.createDataFrame([("r", "org/a", "lib", "1.0"), ("r", "org/b", "lib", "1.0"), ("s", "org/a", "lib", "1.0")],
+                               "repository string, namespace string, package string, version string")
+    names = [r[0] for r in df.select(P.staging_name("repository", "namespace", "package", "version")).collect()]
+    assert len(set(names)) == 3 and all(n.endswith("lib-1.0") for n in names)
