@@ -10,11 +10,22 @@ a retried or re-run task finds finished files and skips them.
 from __future__ import annotations
 
 import hashlib
+import sys
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions below run in Python workers.  Pickle them by value, so a worker
+# needs only the standard library, pandas and pyarrow -- not this package on its
+# path (a cluster without the package installed, or a driver started elsewhere).
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # older cloudpickle: the package must then be on the workers' path
+    pass
+
 CHUNK = 8 * 1024 * 1024
 # Streams are opened with compression=None: bytes are copied as they are, even
 # for names such as .tar.gz that pyarrow would otherwise decompress.

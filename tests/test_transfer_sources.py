@@ -71,3 +71,29 @@ def test_streaming_checksums_equal_binary_file(spark):
     jvm = {r["path"].replace("file:", ""): (r["length"], r["sha256"]) for r in TR.checksums(arts).collect()}
     streamed = {r["path"]: (r["length"], r["sha256"]) for r in TR.streaming_checksums(arts.select("path")).collect()}
     assert streamed == jvm and len(streamed) == 50
+
+
+def test_worker_functions_need_no_package_on_the_worker(tmp_path):
+    """The mapInPandas functions are pickled by value: a Python process that
+    cannot import pkgsync still runs them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    f = tmp_path / "x.bin"
+    f.write_bytes(b"abc")
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps(TR._checksum_batches))
+    code = (
+        "import pickle, pandas as pd, sys; "
+        "assert 'pkgsync' not in sys.modules; "
+        f"fn = pickle.loads(open({str(blob)!r}, 'rb').read()); "
+        f"out = list(fn(iter([pd.DataFrame({{'path': [{str(f)!r}]}})]))); "
+        "print(out[0]['sha256'][0])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True,
+                         timeout=120)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert res.stdout.strip() == hashlib.sha256(b"abc").hexdigest()
