@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import inventory as INV
 from ..operators import ledger as LG
 from ..operators import reconcile as R
 from ..operators import transfer as TR
@@ -160,4 +159,4 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> dict[str, DataFrame]:
     return out
 
 
-__all__ = ["migrate", "update_ledger", "copy_responses", "read_ledger", "RunResult", "INV"]
+__all__ = ["migrate", "update_ledger", "copy_responses", "read_ledger", "RunResult"]
