@@ -9,7 +9,8 @@ from ..functions import paths as P
 
 NPM_VERSIONS_SCHEMA = "struct<name: string, versions: map<string, struct<dist: struct<tarball: string>>>>"
 FORM_SCHEMA = "map<string, array<string>>"
-# Fixed values of the upload protocol.
+# Fixed values that must equal the source tool's: upload form constants, the form keys kept
+# whole, the attachment content type and the reason of a version missing from its metadata.
 FORM_CONSTANTS = {":action": "file_upload", "protocol_version": "1"}
 FORM_KEEP_WHOLE = ("gpg_signature", "content")
 ATTACHMENT_CONTENT_TYPE = "application/octet-stream"
