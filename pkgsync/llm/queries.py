@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe_codec, exact_dedup, line_dedup, packing, quality_rules, token_files, toxicity
+from . import bpe_codec, exact_dedup, fm_dedup, line_dedup, packing, quality_rules, suffix_dedup, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +41,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op5_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=100).drop("kept")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +72,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op5_fm_dedup": op5_fm_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
