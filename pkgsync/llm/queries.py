@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe_codec, exact_dedup, fm_dedup, line_dedup, packing, quality_rules, suffix_dedup, token_files, toxicity
+from . import bpe_codec, exact_dedup, fm_dedup, jaccard_join, line_dedup, packing, quality_rules, suffix_dedup, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", F.when(F.col("component") < F.lit(2**62), F.col("component")).alias("component_id"))
+
+
 def op5_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=50).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -72,6 +77,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_fm_dedup": op5_fm_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
