@@ -196,10 +196,11 @@ def entry_pairs(entries: DataFrame, percent: int, every: bool, partitions: int)
     a time, at most about 2 * BLOCK classes.
     """
     def run(batches):
-        t = pa.Table.from_batches(list(batches))
-        sig, part, cls, n, label = (t[c].to_numpy() for c in ("sig", "part", "cls", "n", "label"))
-        if not len(sig):
+        given = [b for b in batches if b.num_rows]
+        if not given:
             return
+        t = pa.Table.from_batches(given)
+        sig, part, cls, n, label = (t[c].to_numpy() for c in ("sig", "part", "cls", "n", "label"))
         order = np.lexsort((cls, part, sig))
         sig, part, cls, n, label = (c[order] for c in (sig, part, cls, n.astype(np.int64), label))
         h = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)[order]
