@@ -8,8 +8,8 @@ library's BPE model encodes each new one (cut by the pattern) once, and numpy la
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 #: The split pattern of the vocabulary's own pre-tokenizer (a fixed value of that public vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text of this many characters is laid out at a time.
-STEP = 4_000_000
+STEP = 8_000_000
 
 
 def plain(text: str) -> bool:
@@ -39,9 +39,9 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Unsigned 32-bit ids of texts; the cache holds at most about ``most`` words."""
+    """Unsigned 32-bit ids of texts; the cache holds at most ``most`` matches of the pattern, besides a batch's own."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 600_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -50,28 +50,32 @@ class WordEncoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.model, self.size = self.tok.model, self.tok.get_vocab_size()
-        self.cut, self.alphabet, self.space = regex.compile(PATTERN).findall, byte_alphabet(), byte_alphabet()[32]
+        self.cut, self.alphabet = regex.compile(PATTERN).findall, byte_alphabet()
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self.matched: dict[str, bytes] = {}  # ids of the pattern's matches
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes() if text else b""
 
-    def learn(self, new: list[str]) -> None:
-        """Encode words, each after a space: the model gets the pattern's matches, in the vocabulary's alphabet."""
-        tokenize = self.model.tokenize
-        for s in range(0, len(new), 4000):
-            part = new[s:s + 4000]
-            text = "".join([" " + w for w in part])
-            matches = "\0".join(self.cut(text)).encode().decode("latin-1").translate(self.alphabet).split("\0")
-            ids: list[int] = []
-            starts: list[int] = []
-            for m in matches:
-                if m[0] == self.space:
-                    starts.append(4 * len(ids))
-                ids += [t.id for t in tokenize(m)]
-            raw = np.array(ids, "<u4").tobytes()
-            self.known.update(zip(part, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)])), strict=True))
+    def spelt(self, words: list[str]) -> tuple[bytes, np.ndarray]:
+        """Ids of words, each after a space: all their bytes, and where each word's begin and the last one's end.
+
+        The pattern's matches that are new go to the library's model, in the vocabulary's alphabet.
+        """
+        tokenize, matched = self.model.tokenize, self.matched
+        if len(matched) > self.most:
+            matched.clear()
+        matches = list(chain.from_iterable(self.cut("".join([" " + w for w in words[s:s + 20_000]])) for s in range(0, len(words), 20_000)))
+        if fresh := list(set(matches) - matched.keys()):
+            alphabet = "\0".join(fresh).encode().decode("latin-1").translate(self.alphabet).split("\0")
+            ids = [[t.id for t in tokenize(m)] for m in alphabet]
+            raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+            ends = list(accumulate([4 * len(i) for i in ids]))
+            matched.update(zip(fresh, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
+        found = list(map(matched.__getitem__, matches))
+        at = np.cumsum(np.fromiter(chain([0], map(len, found)), np.int64, len(found) + 1))
+        first = np.fromiter([m[0] == " " for m in matches], bool, len(matches))
+        return b"".join(found), np.append(at[:-1][first], at[-1])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
@@ -94,17 +98,14 @@ class WordEncoder:
         coded = words.flatten().dictionary_encode()
         codes, each = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         bounds = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())]).astype(np.int64)
-        if len(self.known) > self.most:
-            self.known = {}
-        get = self.known.get
-        if new := [w for w in each if w not in self.known]:
-            self.learn(new)
         # a text's first word has no space before it
-        firsts = self.tok.encode_batch_fast([texts[i].partition(" ")[0] for i in at], add_special_tokens=False)
-        raw = list(map(get, each)) + [np.array(e.ids, "<u4").tobytes() for e in firsts]
+        firsts = [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([texts[i].partition(" ")[0] for i in at], add_special_tokens=False)]
+        raw, places = self.spelt(each)
+        places = np.append(places, places[-1] + np.cumsum([len(r) for r in firsts]))
         codes = codes.copy()
         codes[bounds[:-1]] = len(each) + np.arange(len(at))
-        laid = pa.array(raw, pa.large_binary()).take(pa.array(codes))
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(raw + b"".join(firsts))])
+        laid = ids.take(pa.array(codes))
         _, offsets, values = laid.buffers()
         flat, cuts = np.frombuffer(values, "<u4"), np.frombuffer(offsets, np.int64)[bounds] >> 2
         for j, i in enumerate(at):
