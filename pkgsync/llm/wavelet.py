@@ -56,11 +56,11 @@ class WaveletMatrix:
         """The planes' bytes and each plane's number of zeros."""
         a, out, zeros = symbols, [], []
         for b in range(bits - 1, -1, -1):
-            bit = ((a >> a.dtype.type(b)) & a.dtype.type(1)).astype(bool)
+            bit = (a & a.dtype.type(1 << b)) != 0
             out.append(np.packbits(bit).tobytes())
-            low = a[~bit]
+            low = a.take(np.flatnonzero(~bit))  # positions cost less than a mask
             zeros.append(len(low))
-            a = np.concatenate([low, a[bit]])
+            a = np.concatenate([low, a.take(np.flatnonzero(bit))])
         return out, zeros
 
     @classmethod
@@ -121,7 +121,7 @@ class WaveletMatrix:
         for b, (p, z) in enumerate(zip(planes[::-1], zeros[::-1], strict=True)):
             bit = np.unpackbits(np.frombuffer(p, np.uint8), count=n).astype(bool)
             up = np.empty(n, dtype)
-            up[~bit] = a[:z]
-            up[bit] = a[z:] | dtype(1 << b)
+            up[np.flatnonzero(~bit)] = a[:z]
+            up[np.flatnonzero(bit)] = a[z:] | dtype(1 << b)
             a = up
         return a
