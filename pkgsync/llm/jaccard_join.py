@@ -12,8 +12,8 @@
 4. Candidates from the index are pruned by size and by sketch (the sum of the histograms' differences never exceeds
    the sets' difference) and then verified on the whole sets.
 
-Large groups of near copies: an index entry with many classes gives no pair list at first, but a spanning forest of
-its plausible pairs, nearest sketches first.  Verified links make components; then only plausible pairs that still
+Large groups of near copies: index entries with many classes are joined to groups and give no pair list at first, but
+a spanning forest of each group's plausible pairs, nearest sketches first.  Verified links make components; then only plausible pairs that still
 join two components are verified, so that the components are exact and no group is written out as all its pairs.
 """
 
@@ -68,7 +68,7 @@ def shingles(text: str, size: int) -> np.ndarray:
 def extension(size_class: int, percent: int) -> int:
     """E for classes whose smaller size is at least 2 ** size_class."""
     least = 1 << size_class
-    return max(0, min(max(4, -(-least * 3 // 40)), -(-least * percent // 100) - 1))
+    return max(0, min(max(4, least // 20), -(-least * percent // 100) - 1))
 
 
 def size_classes(n: int, percent: int) -> list[int]:
@@ -158,20 +158,24 @@ def most_different(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 PAIR = "x long, y long"
 
 
-def plausible(n: np.ndarray, h: np.ndarray, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i in rows, j > i) that sizes and sketches allow, and their sketch differences."""
+def plausible(n: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i < j that sizes and sketches allow, and their sketch differences; ``n`` ascends."""
     out = []
-    for i in rows:
-        j = np.arange(i + 1, len(n))
-        most = most_different(np.int64(n[i]), n[j], percent)
-        j, most = j[most >= 0], most[most >= 0]
-        gap = np.abs(h[i] - h[j]).sum(axis=1)
-        ok = gap <= most
-        out.append((np.full(ok.sum(), i), j[ok], gap[ok]))
+    ends = np.searchsorted(n, 100 * n // percent, "right")
+    coarse = h.reshape(len(h), 8, -1).sum(axis=2, dtype=np.int16)
+    for i, end in enumerate(ends):
+        if end <= i + 1:
+            continue
+        most = most_different(n[i], n[i + 1:end], percent)
+        j = np.flatnonzero(np.abs(coarse[i + 1:end] - coarse[i]).sum(axis=1) <= most)
+        gap = np.abs(h[i + 1 + j] - h[i]).sum(axis=1)
+        ok = gap <= most[j]
+        if ok.any():
+            out.append((np.full(ok.sum(), i), j[ok] + i + 1, gap[ok]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
 
 
-def forest(size: int, i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.ndarray) -> list[int]:
+def forest(i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.ndarray) -> list[int]:
     """Kruskal: indices of the pairs of a spanning forest, smallest gaps first; equal labels are joined already."""
     root = {int(x): int(x) for x in np.unique(label)}
 
@@ -189,48 +193,51 @@ def forest(size: int, i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.n
     return taken
 
 
-def entry_pairs(entries: DataFrame, percent: int, every: bool, partitions: int) -> DataFrame:
-    """Plausible pairs of large index entries: a spanning forest of each, or with ``every`` all that join two labels.
+def group_pairs(groups: DataFrame, percent: int, every: bool, partitions: int) -> DataFrame:
+    """Plausible pairs of groups of classes: a spanning forest of each, or with ``every`` all that join two labels.
 
-    ``entries``: sig, part (a pair of an entry's blocks), cls, n, sketch, label.  A task sees one part of an entry at
-    a time, at most about 2 * BLOCK classes.
+    ``groups``: lead, part (a pair of a group's blocks), cls, n, sketch, label.  A task sees one part of a group at a
+    time, at most about 2 * BLOCK classes.
     """
     def run(batches):
         given = [b for b in batches if b.num_rows]
         if not given:
             return
         t = pa.Table.from_batches(given)
-        sig, part, cls, n, label = (t[c].to_numpy() for c in ("sig", "part", "cls", "n", "label"))
-        order = np.lexsort((cls, part, sig))
-        sig, part, cls, n, label = (c[order] for c in (sig, part, cls, n.astype(np.int64), label))
+        lead, part, cls, n, label = (t[c].to_numpy() for c in ("lead", "part", "cls", "n", "label"))
+        order = np.lexsort((cls, n, part, lead))
+        lead, part, cls, n, label = (c[order] for c in (lead, part, cls, n.astype(np.int64), label))
         h = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)[order]
-        cuts = np.flatnonzero((sig[1:] != sig[:-1]) | (part[1:] != part[:-1])) + 1
+        cuts = np.flatnonzero((lead[1:] != lead[:-1]) | (part[1:] != part[:-1])) + 1
         found: set[tuple[int, int]] = set()
-        for s, e in zip([0, *cuts], [*cuts, len(sig)], strict=True):
+        for s, e in zip([0, *cuts], [*cuts, len(lead)], strict=True):
             if e - s < 2 or (label[s:e] == label[s]).all():
                 continue
-            i, j, gap = plausible(n[s:e], h[s:e].astype(np.int16), np.arange(e - s), percent)
+            i, j, gap = plausible(n[s:e], h[s:e].astype(np.int16), percent)
             i, j = i + s, j + s
-            if every:
-                k = np.flatnonzero(label[i] != label[j])
-            else:
-                k = forest(e - s, i, j, gap, label)
-            found.update(zip(cls[i[k]].tolist(), cls[j[k]].tolist(), strict=True))
+            k = np.flatnonzero(label[i] != label[j]) if every else forest(i, j, gap, label)
+            x, y = np.minimum(cls[i[k]], cls[j[k]]), np.maximum(cls[i[k]], cls[j[k]])
+            found.update(zip(x.tolist(), y.tolist(), strict=True))
         if found:
             x, y = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
 
-    return entries.repartition(partitions, "sig", "part").mapInArrow(run, PAIR).distinct()
+    return groups.repartition(partitions, "lead", "part").mapInArrow(run, PAIR).distinct()
 
 
-def blocks(entries: DataFrame) -> DataFrame:
-    """Large entries in parts: classes go to blocks by hash, each pair of blocks is a part, so every pair of classes
-    meets in one part and no part is large."""
-    size = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("nb", F.ceil(F.col("m") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int")
-    both = entries.join(size, "sig").withColumn("own", own)
+def large_groups(entries: DataFrame) -> DataFrame:
+    """Large index entries with the same smallest class (its *lead*) as one group, in parts.
+
+    Near copies share many entries and mostly the lead, so their pairs are looked at once instead of once per entry.
+    Classes of a group go to blocks by hash, each pair of blocks is a part: every pair meets in a part, and no part
+    is large.
+    """
+    leads = entries.groupBy("sig").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    groups = entries.join(leads, "sig").select("lead", "cls").distinct()
+    sizes = groups.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    both = groups.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     return (both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("sig", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).alias("part"), "cls"))
+            .select("lead", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).alias("part"), "cls"))
 
 
 def small_pairs(entries: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -282,21 +289,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "x").join(y, "y").where(link("tx", "ty")).select("x", "y")
 
 
-def linked_classes(docs: DataFrame, members: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+def linked_classes(docs: DataFrame, members: DataFrame, nodes: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of the linked classes: ``node``, ``label``; classes without a link have no row."""
     spark = docs.sparkSession
     partitions = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     index = settle(signatures(nodes, percent))
-    info = nodes.select("cls", "n", "sketch")
-    large = settle(blocks(index.where("not small").select("sig", "cls")).join(info, "cls"))
+    large = settle(large_groups(index.where("not small").select("sig", "cls")).join(info, "cls"))
     unlabelled = large.withColumn("label", F.col("cls"))
-    pairs = settle(small_pairs(index.where("small"), info, percent).unionByName(entry_pairs(unlabelled, percent, False, partitions)).distinct())
+    pairs = settle(small_pairs(index.where("small"), info, percent).unionByName(group_pairs(unlabelled, percent, False, partitions)).distinct())
     sets = settle(class_sets(docs, members, pairs, size))
     links = settle(verified(pairs, sets, percent))
     labels = components(links)
-    # what may still join two components; every class of such a pair is in the forest of its entry, and so in `sets`
+    # what may still join two components; every class of such a pair is in the forest of its group, and so in `sets`
     labelled = large.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls")).drop("node")
-    rest = settle(entry_pairs(labelled, percent, True, partitions).join(pairs, ["x", "y"], "left_anti"))
+    rest = settle(group_pairs(labelled, percent, True, partitions).join(pairs, ["x", "y"], "left_anti"))
     if rest.isEmpty():
         return labels
     more = settle(verified(rest, sets, percent))
@@ -316,8 +322,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     own = documents(docs, id_col, text_col)
     base = settle(class_rows(own.select("sid", "text"), size, percent))
     members = base.where("n > 0").select("sid", "cls")
-    nodes = settle(base.where(F.size("tokens") > 0).groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "tokens")]))
-    labels = linked_classes(own.select("sid", "text"), members, nodes, size, percent)
+    able = base.where(F.size("tokens") > 0)
+    nodes = able.groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    info = able.groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    labels = linked_classes(own.select("sid", "text"), members, nodes, info, size, percent)
     first = members.groupBy("cls").agg(F.min("sid").alias("least"))
     named = first.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls"))
     # the smallest document of each component, given back to its classes; then to the documents, copies salted
