@@ -67,9 +67,10 @@ def runs(symbols: np.ndarray, width: int, k: int) -> list[tuple[int, np.ndarray,
     return [(s, *block_runs(symbols[s:min(s + BLOCK, n) + width - 1], width, k)) for s in range(0, n, BLOCK)]
 
 
-#: One run: its document, first window, number of windows, the anchor's distance from the first window, and hashes.
-RUN = "sid long, first long, n int, back int, key long, content long, copy boolean"
-RUN_SCHEMA = pa.schema([("sid", pa.int64()), ("first", pa.int64()), ("n", pa.int32()), ("back", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("copy", pa.bool_())])
+#: One run: its document, first window, number of windows, and hashes of its anchor's k-gram and of its content.  A
+#: copy, known as one already, has no content.
+RUN = "sid long, first long, n int, key long, content long"
+RUN_SCHEMA = pa.schema([("sid", pa.int64()), ("first", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("content", pa.int64())])
 
 
 def run_rows(docs: DataFrame, width: int, k: int, symbols: Callable[[str], tuple[np.ndarray, bytes, int]], within: bool) -> DataFrame:
@@ -84,12 +85,12 @@ def run_rows(docs: DataFrame, width: int, k: int, symbols: Callable[[str], tuple
                     hashed = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip(((offset + first) * size).tolist(), ((offset + last + width) * size).tolist(), strict=True)]
                     back = anchor - first
                     content = np.array(hashed, np.uint64).view(np.int64) ^ back  # equal symbols, anchored alike
-                    parts.append((np.full(len(first), sid), offset + first, last - first + 1, back, key, content))
+                    parts.append((np.full(len(first), sid), offset + first, last - first + 1, key, content))
             if not parts:
                 continue
-            sid, first, n, back, key, content = (np.concatenate(c) for c in zip(*parts, strict=True))
+            sid, first, n, key, content = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.lexsort((first, sid, content, key))
-            sid, first, n, back, key, content = (c[order] for c in (sid, first, n, back, key, content))
+            sid, first, n, key, content = (c[order] for c in (sid, first, n, key, content))
             fresh = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
             head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
             copy = ~fresh if within else sid > sid[head]
@@ -106,20 +107,20 @@ def run_rows(docs: DataFrame, width: int, k: int, symbols: Callable[[str], tuple
             keep = np.concatenate([np.flatnonzero(~copy), c])
             spread = np.where(copy, mix((sid ^ first).astype(np.uint64)).view(np.int64), key)  # copies need no company
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep]) for x in (sid, first, n.astype(np.int32), back.astype(np.int32), spread, content, copy)], schema=RUN_SCHEMA)
+                [*(pa.array(x[keep]) for x in (sid, first, n.astype(np.int32), spread)), pa.array(content[keep], mask=copy[keep])], schema=RUN_SCHEMA)
 
     return docs.mapInArrow(run, RUN)
 
 
 def marks(docs: DataFrame, width: int, k: int, symbols, within: bool, partitions: int) -> DataFrame:
-    """Copies and candidates: ``sid``, ``first``, ``n``, ``back``, ``key``, ``copy``.
+    """Copies and candidates: ``sid``, ``first``, ``n``, ``key``, ``copy``.
 
     A copy's windows all stand earlier (with ``within`` also in the same document); a candidate's k-gram stands in
     another content (without ``within``, in another document).  Rows of one key are sorted and streamed through a
     window, not collected.
     """
     rows = run_rows(docs, width, k, symbols, within)
-    keyed = rows.repartition(partitions, "key")
+    keyed = rows.repartition(partitions, "key").withColumn("copy", F.col("content").isNull())
     group = Window.partitionBy("key", "copy", "content").orderBy("sid", "first")
     whole = Window.partitionBy("key", "copy")
     found = (keyed.withColumn("head", F.first("sid").over(group)).withColumn("number", F.row_number().over(group))
@@ -127,8 +128,7 @@ def marks(docs: DataFrame, width: int, k: int, symbols, within: bool, partitions
              .withColumn("docs", F.min("sid").over(whole) != F.max("sid").over(whole)))
     again = F.col("number") > 1 if within else F.col("sid") > F.col("head")
     wanted = F.col("many") if within else F.col("many") & F.col("docs")
-    return (found.withColumn("copy", F.col("copy") | again).where(F.col("copy") | wanted)
-            .select("sid", "first", "n", "back", "key", "copy"))
+    return found.withColumn("copy", F.col("copy") | again).where(F.col("copy") | wanted).select("sid", "first", "n", "key", "copy")
 
 
 PIECE = "key long, sid long, first long, n int, content binary"
