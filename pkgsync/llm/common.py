@@ -6,6 +6,7 @@ table, whatever their names, can't clash with working columns.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -57,11 +58,21 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, by a reliable checkpoint in the shared ``spark.checkpoint.dir``."""
+    """Compute once and cut the lineage, by a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    Spark removes the shuffle files behind a checkpoint when the driver's garbage is collected, so that is asked for
+    here: a chain of settled steps then holds the files of about one step, not of all.
+    """
     checkpoint_root(df.sparkSession)
+    tidy(df)
     return df.checkpoint(eager=True)
 
 
+def tidy(df: DataFrame) -> None:
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def partitions_for(docs: DataFrame, mb: float, text_col: str = "text", least: int = 1) -> int:
     """Partitions of about ``mb`` MB of text each: grows with the input, so a task's share does not."""
     row = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long")).alias("n")).first()

@@ -289,11 +289,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "x").join(y, "y").where(link("tx", "ty")).select("x", "y")
 
 
-def linked_classes(docs: DataFrame, members: DataFrame, nodes: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
+def linked_classes(docs: DataFrame, members: DataFrame, index: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of the linked classes: ``node``, ``label``; classes without a link have no row."""
     spark = docs.sparkSession
     partitions = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    index = settle(signatures(nodes, percent))
     large = settle(large_groups(index.where("not small").select("sig", "cls")).join(info, "cls"))
     unlabelled = large.withColumn("label", F.col("cls"))
     pairs = settle(small_pairs(index.where("small"), info, percent).unionByName(group_pairs(unlabelled, percent, False, partitions)).distinct())
@@ -320,12 +319,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     by 64-bit hashes.
     """
     own = documents(docs, id_col, text_col)
-    base = settle(class_rows(own.select("sid", "text"), size, percent))
+    heavy = settle(class_rows(own.select("sid", "text"), size, percent))
+    base = settle(heavy.drop("tokens"))
+    nodes = heavy.where(F.size("tokens") > 0).groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    index = settle(signatures(nodes, percent))
+    del heavy, nodes  # the prefixes go with the next checkpoint
     members = base.where("n > 0").select("sid", "cls")
-    able = base.where(F.size("tokens") > 0)
-    nodes = able.groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    info = able.groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    labels = linked_classes(own.select("sid", "text"), members, nodes, info, size, percent)
+    info = base.where(F.col("n") >= links_from(percent)).groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    labels = linked_classes(own.select("sid", "text"), members, index, info, size, percent)
     first = members.groupBy("cls").agg(F.min("sid").alias("least"))
     named = first.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls"))
     # the smallest document of each component, given back to its classes; then to the documents, copies salted
