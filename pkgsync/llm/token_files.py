@@ -23,12 +23,12 @@ from .common import documents, partitions_for
 from .tokens import encoder
 from .wavelet import WaveletMatrix
 
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 FORMAT = "first_sid long, seq int, n_tokens long, n_docs long, doc_ids binary, doc_nulls binary, doc_lengths binary, zeros array<long>, planes array<binary>"
 
 
 def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id",
-                 text_col: str = "text", shard_tokens: int = SHARD_TOKENS, partition_mb: float = 12) -> None:
+                 text_col: str = "text", shard_tokens: int = SHARD_TOKENS, partition_mb: float = 24) -> None:
     """Encode all texts, in ascending order of id, into wavelet-matrix shards at ``out`` (a Parquet folder).
 
     Null text counts as empty (the end id alone); rows without an id come last, in the order of a hash of their
