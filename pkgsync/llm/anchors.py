@@ -93,7 +93,7 @@ def run_rows(docs: DataFrame, width: int, k: int, symbols: Callable[[str], tuple
             sid, first, n, key, content = (c[order] for c in (sid, first, n, key, content))
             fresh = np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1]))
             head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
-            copy = ~fresh if within else sid > sid[head]
+            copy = (sid > sid[head]) | (first > first[head]) if within else sid > sid[head]
             # neighbouring copies join to one row; they only need their place from now on
             c = np.flatnonzero(copy)
             c = c[np.lexsort((first[c], sid[c]))]
@@ -123,7 +123,7 @@ def marks(docs: DataFrame, width: int, k: int, symbols, within: bool, partitions
     keyed = rows.repartition(partitions, "key").withColumn("copy", F.col("content").isNull())
     group = Window.partitionBy("key", "copy", "content").orderBy("sid", "first")
     whole = Window.partitionBy("key", "copy")
-    found = (keyed.withColumn("head", F.first("sid").over(group)).withColumn("number", F.row_number().over(group))
+    found = (keyed.withColumn("head", F.first("sid").over(group)).withColumn("number", F.rank().over(group))
              .withColumn("many", F.min("content").over(whole) != F.max("content").over(whole))
              .withColumn("docs", F.min("sid").over(whole) != F.max("sid").over(whole)))
     again = F.col("number") > 1 if within else F.col("sid") > F.col("head")
@@ -185,6 +185,8 @@ def searched(given: DataFrame, partitions: int, search: Callable) -> DataFrame:
         sid, first, n = (t[c].to_numpy() for c in ("sid", "first", "n"))
         order = np.lexsort((first, sid))
         content = t["content"].to_pylist()
+        # a repeated row gives the same piece again
+        order = [i for i, last in zip(order, [-1, *order], strict=False) if last < 0 or sid[i] != sid[last] or first[i] != first[last] or content[i] != content[last]]
         content = [content[i] for i in order]
         sid, first, n = sid[order], first[order], n[order]
         known = np.array([not c for c in content], bool)

@@ -28,7 +28,7 @@ INSULTS = ["asshole", "bastard", "bitch", "cretin", "dumbass", "fool", "idiot",
            "imbécile", "imbécil", "estúpido", "crétin", "trottel", "arschloch", "dummkopf"]
 CONTEMPT = ["clown", "disgusting", "filth", "garbage", "pathetic", "repulsive", "ridiculous", "trash", "useless", "vermin", "worthless", "ekelhaft", "wertlos",
             "dégoûtant", "asqueroso", "inútil", "basura", "müll"]
-THREATS = ["burn", "die", "hate", "hurt", "kill", "murder", "shut"]
+THREATS = ["burn", "hate", "hurt", "kill", "murder", "shut"]
 #: At most this many labelled rows choose the lexicons' words.
 SAMPLE = 20_000
 #: Words of the learnt lexicons: at most so many, each in at least this share of the sampled documents, and in 5.
