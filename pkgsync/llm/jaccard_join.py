@@ -31,7 +31,7 @@ from .common import doc_key, documents, settle
 from .components import components
 
 #: Tokens in more prefixes than this are frequent; index entries of more classes than SMALL are large.
-FREQUENT, SMALL = 32, 8
+FREQUENT, SMALL = 128, 8
 #: Bytes of a sketch; classes of an index entry handled in one task against another such part.
 SKETCH, BLOCK = 64, 512
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -87,11 +87,13 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 def class_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """For (sid, text): ``sid``, ``n``, ``cls`` (hash of the set), ``sketch``, ``tokens`` (the longest prefix)."""
+    """For (sid, text): ``sid``, ``n``, ``cls`` (hash of the set), ``sketch``, ``tokens`` (the longest prefix; a task
+    gives it once for a class, so copies send nothing more)."""
     fields = pa.schema([("sid", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary()), ("tokens", pa.list_(pa.int64()))])
     least = links_from(percent)
 
     def run(batches):
+        given = set()
         for b in batches:
             ns, classes, sketches, prefixes = [], [], [], []
             for text in b["text"].to_pylist():
@@ -100,7 +102,9 @@ def class_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 ns.append(n)
                 classes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63)
                 sketches.append(sketch(s))
-                prefixes.append(s[:max(prefix_length(n, c, percent) for c in size_classes(n, percent))].view(np.int64) if n >= least else np.empty(0, np.int64))
+                new = n >= least and classes[-1] not in given
+                given.add(classes[-1])
+                prefixes.append(s[:max(prefix_length(n, c, percent) for c in size_classes(n, percent))].view(np.int64) if new else np.empty(0, np.int64))
             tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(p) for p in prefixes])), pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays([b["sid"], pa.array(ns, pa.int32()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), tokens], schema=fields)
 
@@ -115,16 +119,18 @@ def links_from(percent: int) -> int:
 def signatures(nodes: DataFrame, percent: int) -> DataFrame:
     """Index entries: ``sig``, ``cls``, ``small`` (a rare token of at most SMALL classes)."""
     rows = nodes.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
+    rows = rows.select("token", "cls", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("place"))
+    # a class that several tasks gave counts as often; that only adds entries
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("found")).where("found > 1")
-    shared = rows.join(counts, "token")
-    lists = shared.groupBy("cls", "n").agg(F.collect_list(F.struct("pos", "token", "found")).alias("t"))  # at most one prefix
+    # at most one prefix to a class; several tasks may have given it
+    lists = rows.join(counts, "token").groupBy("cls").agg(F.collect_set(F.struct("place", "token", "found")).alias("t"))
 
     def run(batches):
         for b in batches:
             out_sig, out_cls, out_small = [], [], []
-            for cls, n, t in zip(b["cls"].to_pylist(), b["n"].to_pylist(), b["t"], strict=True):
-                t = t.values
-                pos, token, found = (t.field(i).to_numpy() for i in range(3))
+            for cls, t in zip(b["cls"].to_pylist(), b["t"], strict=True):
+                place, token, found = (t.values.field(i).to_numpy() for i in range(3))
+                n, pos = int(place[0] >> 32), place & 0xFFFFFFFF
                 rare = found <= FREQUENT
                 sig, small = [token[rare]], [found[rare] <= SMALL]
                 for c in size_classes(n, percent):
@@ -321,9 +327,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     own = documents(docs, id_col, text_col)
     heavy = settle(class_rows(own.select("sid", "text"), size, percent))
     base = settle(heavy.drop("tokens"))
-    nodes = heavy.where(F.size("tokens") > 0).groupBy("cls").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    index = settle(signatures(nodes, percent))
-    del heavy, nodes  # the prefixes go with the next checkpoint
+    index = settle(signatures(heavy.where(F.size("tokens") > 0), percent))
+    del heavy  # the prefixes go with the next checkpoint
     members = base.where("n > 0").select("sid", "cls")
     info = base.where(F.col("n") >= links_from(percent)).groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     labels = linked_classes(own.select("sid", "text"), members, index, info, size, percent)
