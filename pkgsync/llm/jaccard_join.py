@@ -31,7 +31,7 @@ from .common import doc_key, documents, settle
 from .components import components
 
 #: Tokens in more prefixes than this are frequent; index entries of more classes than SMALL are large.
-FREQUENT, SMALL = 128, 8
+FREQUENT, SMALL = 32, 2
 #: Bytes of a sketch; classes of an index entry handled in one task against another such part.
 SKETCH, BLOCK = 64, 512
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -83,7 +83,7 @@ def prefix_length(n: int, size_class: int, percent: int) -> int:
 
 def sketch(tokens: np.ndarray) -> bytes:
     """Histogram of the tokens' low bits; counts stop at 255, which only lowers differences."""
-    return np.minimum(np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    return histogram(tokens, SKETCH).tobytes()
 
 
 def class_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -265,34 +265,61 @@ def small_pairs(entries: DataFrame, info: DataFrame, percent: int) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, members: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """The whole sets of the classes in pairs, each from its first document: ``cls``, ``tokens`` (binary)."""
+    """The whole sets of the classes in pairs, each from its first document: ``cls``, ``fine`` (a histogram of about as
+    many buckets as tokens), ``tokens`` (binary)."""
     need = pairs.select(F.col("x").alias("cls")).unionByName(pairs.select(F.col("y").alias("cls"))).distinct()
     first = members.join(need, "cls", "left_semi").groupBy("cls").agg(F.min("sid").alias("to"))
     texts = docs.join(first, F.col("sid") == F.col("to")).select("cls", "text").dropDuplicates(["cls"])
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b["cls"], pa.array([shingles(t, size).tobytes() for t in b["text"].to_pylist()], pa.binary())], names=["cls", "tokens"])
+            sets = [shingles(t, size) for t in b["text"].to_pylist()]
+            fine = [histogram(x, 1 << max(0, len(x) - 1).bit_length()).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([b["cls"], pa.array(fine, pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["cls", "fine", "tokens"])
 
-    return texts.mapInArrow(run, "cls long, tokens binary")
+    return texts.mapInArrow(run, "cls long, fine binary, tokens binary")
+
+
+def histogram(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Counts of the tokens' low bits, up to 255."""
+    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets link."""
-    x, y = (sets.select(F.col("cls").alias(k), F.col("tokens").alias(f"t{k}")) for k in "xy")
+    """The pairs whose whole sets link.
+
+    Histograms of about as many buckets as tokens come first: their differences rule out nearly all other pairs at an
+    eighth of the bytes, so whole sets travel for the likely links alone.
+    """
+    def both(pairs: DataFrame, column: str) -> DataFrame:
+        x, y = (sets.select(F.col("cls").alias(k), F.octet_length("tokens").alias(f"n{k}"), F.col(column).alias(f"c{k}")) for k in "xy")
+        return pairs.join(x, "x").join(y, "y")
+
+    @F.pandas_udf("boolean")
+    def near(nx, ny, cx, cy):
+        import pandas as pd
+
+        out = []
+        for a, b, p, q in zip(nx, ny, cx, cy, strict=True):
+            p, q = np.frombuffer(p, np.uint8).astype(np.int32), np.frombuffer(q, np.uint8).astype(np.int32)
+            least = min(len(p), len(q))  # the finer one folds to the other's buckets
+            p, q = (np.minimum(h.reshape(-1, least).sum(axis=0), 255) for h in (p, q))
+            out.append(np.abs(p - q).sum() <= most_different(np.int64(a // 8), np.int64(b // 8), percent))
+        return pd.Series(out, dtype=bool)
 
     @F.pandas_udf("boolean")
-    def link(tx, ty):
+    def link(cx, cy):
         import pandas as pd
 
         out = []
-        for p, q in zip(tx, ty, strict=True):
+        for p, q in zip(cx, cy, strict=True):
             a, b = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
             shared = len(np.intersect1d(a, b, assume_unique=True))
             out.append(100 * shared >= percent * (len(a) + len(b) - shared))
         return pd.Series(out, dtype=bool)
 
-    return pairs.join(x, "x").join(y, "y").where(link("tx", "ty")).select("x", "y")
+    likely = settle(both(pairs, "fine").where(near("nx", "ny", "cx", "cy")).select("x", "y"))
+    return both(likely, "tokens").where(link("cx", "cy")).select("x", "y")
 
 
 def linked_classes(docs: DataFrame, members: DataFrame, index: DataFrame, info: DataFrame, size: int, percent: int) -> DataFrame:
