@@ -3,22 +3,20 @@
 A byte-level BPE with the usual split pattern never merges across a single space that stands between two
 characters that aren't white space: the space opens the next match.  So a text falls into words there, and the ids
 of a text are the ids of its words, each with its space.  The words of a batch are dictionary-encoded by Arrow, the
-library's BPE model encodes each new one (cut by the pattern) once, and numpy lays out the ids.
+library encodes the new ones in long runs, whose ids fall apart again at the tokens that begin with a space, and
+numpy lays out the ids.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: The split pattern of the vocabulary's own pre-tokenizer (a fixed value of that public vocabulary).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Text of this many characters is laid out at a time.
-STEP = 8_000_000
+#: Text of this many characters is laid out at a time; words that go to the library at a time.
+STEP, RUN = 24_000_000, 20_000
 
 
 def plain(text: str) -> bool:
@@ -30,58 +28,49 @@ def plain(text: str) -> bool:
             and "\n " not in text and text[0] != " " and text[-1] != " ")
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in a byte-level vocabulary: itself where it is printable
-    in Latin-1, the others from 256 on in order.  NUL stays, as the separator here."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = [b for b in range(256) if b not in shown]
-    return {b: chr(b) if b in shown else chr(256 + rest.index(b)) for b in range(256)} | {0: "\0"}
-
-
 class WordEncoder:
-    """Unsigned 32-bit ids of texts; the cache holds at most ``most`` matches of the pattern, besides a batch's own."""
+    """Unsigned 32-bit ids of texts; the cache holds at most ``most`` words besides a batch's own."""
 
-    def __init__(self, path: str, most: int = 600_000):
-        import regex
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # strings of special tokens are ordinary text
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.model, self.size = self.tok.model, self.tok.get_vocab_size()
-        self.cut, self.alphabet = regex.compile(PATTERN).findall, byte_alphabet()
-        self.most = most
-        self.matched: dict[str, bytes] = {}  # ids of the pattern's matches
+        self.size, self.most = self.tok.get_vocab_size(), most
+        # the vocabulary shows a space as U+0120
+        self.spaced = np.array([(self.tok.id_to_token(i) or "")[:1] == "\u0120" for i in range(self.size)])
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes() if text else b""
 
-    def spelt(self, words: list[str]) -> tuple[bytes, np.ndarray]:
-        """Ids of words, each after a space: all their bytes, and where each word's begin and the last one's end.
-
-        The pattern's matches that are new go to the library's model, in the vocabulary's alphabet.
-        """
-        tokenize, matched = self.model.tokenize, self.matched
-        if len(matched) > self.most:
-            matched.clear()
-        matches = list(chain.from_iterable(self.cut("".join([" " + w for w in words[s:s + 20_000]])) for s in range(0, len(words), 20_000)))
-        if fresh := list(set(matches) - matched.keys()):
-            alphabet = "\0".join(fresh).encode().decode("latin-1").translate(self.alphabet).split("\0")
-            ids = [[t.id for t in tokenize(m)] for m in alphabet]
-            raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-            ends = list(accumulate([4 * len(i) for i in ids]))
-            matched.update(zip(fresh, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=True))
-        found = list(map(matched.__getitem__, matches))
-        at = np.cumsum(np.fromiter(chain([0], map(len, found)), np.int64, len(found) + 1))
-        first = np.fromiter([m[0] == " " for m in matches], bool, len(matches))
-        return b"".join(found), np.append(at[:-1][first], at[-1])
+    def spelt(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words, each after a space."""
+        if len(self.words) > self.most:
+            self.forget()
+        at = pc.index_in(words, value_set=self.words)
+        unknown = at.is_null()
+        new = words.filter(unknown)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[unknown.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+        self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, self.learn(new)])
+        return self.ids.take(pa.array(places))
+
+    def learn(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        runs = [" " + " ".join(words.slice(s, RUN).to_pylist()) for s in range(0, len(words), RUN)]
+        ids = np.concatenate([np.empty(0, "<u4"), *(np.frombuffer(self.whole(r), "<u4") for r in runs)])
+        return binaries(ids, np.append(np.flatnonzero(self.spaced[ids]), len(ids)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(texts)
         batch, size = [], 0
         for i, t in enumerate(texts):
-            if plain(t) and "\0" not in t:
+            if plain(t):
                 batch.append(i)
                 size += len(t)
                 if size > STEP:
@@ -95,23 +84,25 @@ class WordEncoder:
 
     def encode_plain(self, texts: list[str], at: list[int], out: list) -> None:
         words = pc.split_pattern(pa.array([texts[i] for i in at], pa.large_string()), " ")
-        coded = words.flatten().dictionary_encode()
-        codes, each = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         bounds = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())]).astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        each, codes = coded.dictionary, coded.indices.to_numpy().copy()
+        del words, coded
         # a text's first word has no space before it
-        firsts = [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([texts[i].partition(" ")[0] for i in at], add_special_tokens=False)]
-        raw, places = self.spelt(each)
-        places = np.append(places, places[-1] + np.cumsum([len(r) for r in firsts]))
-        codes = codes.copy()
+        firsts = [self.whole(texts[i].partition(" ")[0]) for i in at]
         codes[bounds[:-1]] = len(each) + np.arange(len(at))
-        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(raw + b"".join(firsts))])
-        laid = ids.take(pa.array(codes))
+        laid = pa.concat_arrays([self.spelt(each), pa.array(firsts, pa.large_binary())]).take(pa.array(codes))
         _, offsets, values = laid.buffers()
         flat, cuts = np.frombuffer(values, "<u4"), np.frombuffer(offsets, np.int64)[bounds] >> 2
         for j, i in enumerate(at):
             out[i] = flat[cuts[j]:cuts[j + 1]]
 
 
+def binaries(ids: np.ndarray, starts: np.ndarray) -> pa.LargeBinaryArray:
+    """Ids as one binary value from each start to the next."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64) * 4), pa.py_buffer(ids)])
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One encoder for each worker process and vocabulary file."""
