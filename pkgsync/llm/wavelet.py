@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 STEP = 64
+#: Symbols moved at a time when planes are built or merged: their positions stay in the processor's cache.
+BLOCK = 1 << 15
 ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
@@ -58,9 +60,14 @@ class WaveletMatrix:
         for b in range(bits - 1, -1, -1):
             bit = (a & a.dtype.type(1 << b)) != 0
             out.append(np.packbits(bit).tobytes())
-            low = a.take(np.flatnonzero(~bit))  # positions cost less than a mask
-            zeros.append(len(low))
-            a = np.concatenate([low, a.take(np.flatnonzero(bit))])
+            zeros.append(len(a) - int(np.count_nonzero(bit)))
+            moved, ends = np.empty_like(a), [0, zeros[-1]]
+            for s in range(0, len(a), BLOCK):
+                own, one = a[s:s + BLOCK], bit[s:s + BLOCK]
+                for k, at in enumerate((np.flatnonzero(~one), np.flatnonzero(one))):  # positions cost less than a mask
+                    moved[ends[k]:ends[k] + len(at)] = own.take(at)
+                    ends[k] += len(at)
+            a = moved
         return out, zeros
 
     @classmethod
@@ -120,8 +127,12 @@ class WaveletMatrix:
         a = np.zeros(n, dtype)
         for b, (p, z) in enumerate(zip(planes[::-1], zeros[::-1], strict=True)):
             bit = np.unpackbits(np.frombuffer(p, np.uint8), count=n).astype(bool)
-            up = np.empty(n, dtype)
-            up[np.flatnonzero(~bit)] = a[:z]
-            up[np.flatnonzero(bit)] = a[z:] | dtype(1 << b)
+            a[z:] |= dtype(1 << b)
+            up, ends = np.empty(n, dtype), [0, z]
+            for s in range(0, n, BLOCK):
+                to, one = up[s:s + BLOCK], bit[s:s + BLOCK]
+                for k, at in enumerate((np.flatnonzero(~one), np.flatnonzero(one))):
+                    to[at] = a[ends[k]:ends[k] + len(at)]
+                    ends[k] += len(at)
             a = up
         return a
