@@ -34,6 +34,8 @@ from .components import components
 FREQUENT, SMALL = 32, 2
 #: Bytes of a sketch; classes of an index entry handled in one task against another such part.
 SKETCH, BLOCK = 64, 512
+#: Classes that meet all others of a part in one step.
+ROWS = 16
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -165,38 +167,56 @@ PAIR = "x long, y long"
 
 
 def plausible(n: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs i < j that sizes and sketches allow, and their sketch differences; ``n`` ascends."""
+    """Pairs i < j that sizes and sketches allow, and their sketch differences; ``n`` ascends.
+
+    A few classes at a time meet all the others: sums of eight buckets first, then the pairs they leave by all buckets.
+    """
     out = []
     ends = np.searchsorted(n, 100 * n // percent, "right")
-    coarse = h.reshape(len(h), 8, -1).sum(axis=2, dtype=np.int16)
-    for i, end in enumerate(ends):
-        if end <= i + 1:
-            continue
-        most = most_different(n[i], n[i + 1:end], percent)
-        j = np.flatnonzero(np.abs(coarse[i + 1:end] - coarse[i]).sum(axis=1) <= most)
-        gap = np.abs(h[i + 1 + j] - h[i]).sum(axis=1)
-        ok = gap <= most[j]
-        if ok.any():
-            out.append((np.full(ok.sum(), i), j[ok] + i + 1, gap[ok]))
+    coarse = np.ascontiguousarray(h.reshape(len(h), 8, -1).sum(axis=2, dtype=np.int16).T)
+    for r in range(0, len(n), ROWS):
+        rows, others = slice(r, r + ROWS), slice(r, ends[r:r + ROWS].max())
+        near = np.abs(coarse[:, rows, None] - coarse[:, None, others]).sum(axis=0, dtype=np.int16)
+        both = n[rows, None] + n[others]
+        i, j = np.nonzero(near <= both - 2 * -(-percent * both // (100 + percent)))
+        i, j = i + r, j + r
+        ok = (j > i) & (j < ends[i])
+        i, j = i[ok], j[ok]
+        gap = np.abs(h[j] - h[i]).sum(axis=1, dtype=np.int16)
+        ok = gap <= most_different(n[i], n[j], percent)
+        out.append((i[ok], j[ok], gap[ok]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 3
 
 
-def forest(i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.ndarray) -> list[int]:
-    """Kruskal: indices of the pairs of a spanning forest, smallest gaps first; equal labels are joined already."""
-    root = {int(x): int(x) for x in np.unique(label)}
+def forest(i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Indices of the pairs of a spanning forest, smallest gaps first; equal labels are joined already.
 
-    def find(a):
-        while root[a] != a:
-            root[a] = a = root[root[a]]
-        return a
-
-    taken = []
-    for k in np.argsort(gap, kind="stable"):
-        a, b = find(int(label[i[k]])), find(int(label[j[k]]))
-        if a != b:
-            root[a] = b
-            taken.append(int(k))
-    return taken
+    Each tree takes its smallest pair to another one, all at once, until none is left, so rounds grow with the
+    logarithm of the classes.
+    """
+    k = np.argsort(gap, kind="stable")
+    _, tree = np.unique(np.concatenate([label[i[k]], label[j[k]]]), return_inverse=True)
+    a, b, taken = tree[:len(k)], tree[len(k):], [np.empty(0, np.int64)]
+    trees = int(tree.max(initial=-1)) + 1
+    while True:
+        apart = a != b
+        a, b, k = a[apart], b[apart], k[apart]
+        if not len(k):
+            return np.concatenate(taken)
+        first = np.full((2, trees), len(k))
+        for side, x in enumerate((a, b)):
+            first[side, x[::-1]] = np.arange(len(k))[::-1]  # the last one written, the smallest, stays
+        first = first.min(axis=0)
+        own = np.flatnonzero(first < len(k))
+        pick = first[own]
+        taken.append(k[np.unique(pick)])
+        parent = np.arange(trees)
+        parent[own] = a[pick] + b[pick] - own
+        mutual = own[(parent[parent[own]] == own) & (own < parent[own])]
+        parent[mutual] = mutual
+        while (parent != (up := parent[parent])).any():
+            parent = up
+        a, b = parent[a], parent[b]
 
 
 def group_pairs(groups: DataFrame, percent: int, every: bool, partitions: int) -> DataFrame:
