@@ -107,14 +107,19 @@ def maven_metadata_uri(uri: ColumnOrName) -> Column:
     return F.regexp_replace(_c(uri), r"/[^/]*$", "/maven-metadata.xml")
 
 
+def endpoint_folder(endpoint: ColumnOrName) -> Column:
+    """The endpoint with exactly one '/' at its end, so that a path can follow."""
+    return F.concat(F.regexp_replace(_c(endpoint), "/+$", ""), _lit("/"))
+
+
 def upload_url(package_type: ColumnOrName, endpoint: ColumnOrName, package: ColumnOrName,
                version: ColumnOrName, file_name: ColumnOrName) -> Column:
     """Upload URL by format."""
     t, e, p = _c(package_type), _c(endpoint), _c(package)
     return (
-        F.when(t == "maven", F.concat(e, p, _lit("/"), _c(version), _lit("/"), _c(file_name)))
+        F.when(t == "maven", F.concat(endpoint_folder(e), p, _lit("/"), _c(version), _lit("/"), _c(file_name)))
         .when(t == "pypi", e)
-        .when(t == "npm", F.concat(e, F.replace(p, _lit("/"), _lit("%2f"))))
+        .when(t == "npm", F.concat(endpoint_folder(e), F.replace(p, _lit("/"), _lit("%2f"))))
     )
 
 

@@ -52,7 +52,7 @@ def npm_set_tarball(docs: DataFrame, endpoint_col: str = "endpoint") -> DataFram
     p = parse_npm(docs)
     spec = F.element_at(F.col("_doc.versions"), F.col("version"))
     file_name = P.basename(P.npm_tarball_name("package", "version"))
-    url = F.concat(F.col(endpoint_col), F.col("package"), F.lit("/"), file_name)
+    url = F.concat(P.endpoint_folder(endpoint_col), F.col("package"), F.lit("/"), file_name)
     return p.withColumn("version_spec", F.when(spec.isNotNull(), spec.withField("dist.tarball", url))).drop("_doc")
 
 

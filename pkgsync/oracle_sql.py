@@ -339,9 +339,9 @@ FROM inv_scope WHERE copy AND package_type = 'maven'""",
 oracle(
     "upload_url",
     f"""SELECT repository, package_type, package, version, file_name,
-       CASE package_type WHEN 'maven' THEN endpoint || package || '/' || version || '/' || file_name
+       CASE package_type WHEN 'maven' THEN endpoint || '/' || package || '/' || version || '/' || file_name
                          WHEN 'pypi' THEN endpoint
-                         WHEN 'npm' THEN endpoint || replace(package, '/', '%2f') END AS upload_url
+                         WHEN 'npm' THEN endpoint || '/' || replace(package, '/', '%2f') END AS upload_url
 FROM (SELECT *, '{DRYRUN_HOST}/' || repository AS endpoint FROM inv_scope WHERE copy)""",
     "inv_scope",
 )
@@ -595,7 +595,7 @@ oracle(
     "npm_tarball",
     f"""SELECT doc_id, version,
        CASE WHEN list_contains(json_keys(metadata, '$.versions'), version)
-            THEN '{DRYRUN_HOST}/' || repository || package || '/' || split_part(package || '-' || version || '.tgz', '/', -1) END AS tarball
+            THEN '{DRYRUN_HOST}/' || repository || '/' || package || '/' || split_part(package || '-' || version || '.tgz', '/', -1) END AS tarball
 FROM fx_npm_metadata""",
     "fx_npm_metadata",
 )
