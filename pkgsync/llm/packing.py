@@ -1,10 +1,10 @@
 """Best-fit packing of token sequences by bin completion, a branch and bound over the histogram of lengths.
 
 The number of pieces of each length (at most ``capacity`` numbers, whatever the input) is all that the search needs.
-It takes the largest length left, enumerates fillings of the room beside it that no other filling dominates, and
-commits a filling for as many sequences at once as the counts allow.  A branch is cut when the waste it has made
-exceeds what the best known packing leaves; the first such packing (the incumbent) is best-fit decreasing, and every
-branch that ends in fewer sequences replaces it.  The pieces then find their places by their rank within their
+It takes the largest length left, enumerates all fillings of the room beside it that no other filling dominates, by
+length and copies, and commits a filling for as many sequences at once as the counts allow (later for fewer).  A branch
+is cut when the waste it has made exceeds what the best known packing leaves; the first such packing (the incumbent) is
+best-fit decreasing, and every branch that ends in fewer sequences replaces it.  The pieces then find their places by their rank within their
 length: counts by (length, task) give each task's first rank, so no task or driver ever holds the pieces together.
 """
 
@@ -25,8 +25,6 @@ from .tokens import encoder
 CAPACITY = 2048
 #: Nodes of the branch and bound; beyond them the best packing so far is returned (it is always complete).
 NODES = 6_000
-#: Fillings enumerated around one largest piece, and those of them that a node branches on.
-FILLINGS, BRANCHES = 400, 3
 
 #: A plan: (how many sequences, the lengths in each) in order.
 Plan = list[tuple[int, tuple[int, ...]]]
@@ -85,49 +83,61 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(counts: dict[int, int], lengths: list[int], room: int, allowed: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` from the pieces left, that waste at most ``allowed``; least waste first, then
-    fewest pieces (large pieces go early, small ones stay for later)."""
-    found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
+def fillings(counts: dict[int, int], lengths: list[int], room: int, allowed: int, budget: list[int]):
+    """All undominated fillings of ``room`` from the pieces left that waste at most ``allowed``, least waste first, then
+    longest pieces first (short ones stay for later); a filling is ((length, copies), ...).
 
-    def search(room: int, top: int, chosen: tuple[int, ...]) -> bool:
-        """Extend by pieces no longer than the last; true when the search may end."""
-        nonlocal steps
-        steps += 1
-        k = bisect_right(lengths, min(room, top)) - 1
-        extended = False
-        while k >= 0 and steps < FILLINGS:
-            x = lengths[k]
-            if counts.get(x, 0) > chosen.count(x):
-                extended = True
-                if x == room:
-                    found.append((0, chosen + (x,)))
-                    if len(found) >= 2 * BRANCHES:
-                        return True
-                elif len(chosen) < 12 and search(room - x, x, chosen + (x,)):
-                    return True
-                if len(chosen) >= 2 and found and found[-1][0] == 0:
-                    break
+    A filling is dominated when a piece that is left fits its waste, alone or in the place of a shorter one: another
+    filling then does all it does.  Sums that the lengths up to each one can reach (as bits) keep the search from lengths
+    that lead nowhere; a partial filling that ends nowhere all the same takes one from ``budget``.
+    """
+    reach, within = [1], (2 << room) - 1
+    for x in lengths:
+        sums, copies, step = reach[-1], min(counts[x], room // x), 1
+        while copies:
+            step = min(step, copies)
+            sums |= sums << step * x
+            copies, step = copies - step, 2 * step
+        sums &= within
+        reach.append(reach[-1] if sums == reach[-1] else sums)
+
+    def search(k: int, left: int, above: int, chosen: tuple, low: int, must: int, waste: int):
+        """Fill ``left`` exactly from lengths[low:k] and ``must``; ``above``: the shortest longer length with pieces left."""
+        ended = True
+        if left == must and (not low or (lengths[low] if k > low else above) - lengths[low - 1] > waste):
+            ended = False
+            yield chosen
+        while k > low and left > must and reach[k] >> left & 1:
             k -= 1
-        if not extended and room <= allowed:
-            found.append((room, chosen))
-        return False
-
-    search(room, room, ())
-    best = []
-    for waste, items in sorted(set(found), key=lambda f: (f[0], len(f[1]), [-x for x in f[1]])):
-        # dominated: one of its pieces could give way to a longer one that is left
-        swapped = waste and any((k := bisect_right(lengths, y + waste) - 1) >= 0 and lengths[k] > y and counts.get(lengths[k], 0) > items.count(lengths[k]) for y in items)
-        if not swapped:
-            best.append(items)
-    return best[:BRANCHES]
+            x = lengths[k]
+            if x <= left - must and above - x > waste:
+                for m in range(min(counts[x], (left - must) // x), 0, -1):
+                    if reach[k] >> left - m * x & 1 and budget[0] > 0:
+                        ended = False
+                        yield from search(k, left - m * x, x if m < counts[x] else above, (*chosen, (x, m)), low, must, waste)
+            above = x
+        if ended:
+            budget[0] -= 1
+
+    low = must = 0
+    for waste in range(min(allowed, room) + 1):
+        # pieces that fit the waste must all be in
+        while low < len(lengths) and lengths[low] <= waste:
+            must += lengths[low] * counts[lengths[low]]
+            low += 1
+        if must > room - waste:
+            return
+        if reach[-1] >> room - waste & 1:
+            short = tuple((x, counts[x]) for x in reversed(lengths[:low]))
+            for chosen in search(len(lengths), room - waste, 2 * room + 2, (), low, must, waste):
+                yield waste, chosen + short
 
 
 def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """Pack the counted lengths (1 to capacity) into as few sequences as the search finds.
 
-    Depth first; a node is what is left after the fillings chosen so far.  At most ``nodes`` nodes are opened.
+    Depth first; a node is a filling that is committed, or a partial one that ends nowhere.  Every undominated filling
+    is a branch, for as many sequences as the counts allow and later for fewer; only ``nodes`` ends the search early.
     """
     counts = {x: n for x, n in counts.items() if n}
     full = [(counts.pop(capacity), (capacity,))] if capacity in counts else []
@@ -137,40 +147,66 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     best = sum(n for n, _ in incumbent)
     least = lower_bound(counts, capacity)
     total = sum(x * n for x, n in counts.items())
-    stack: list = [(counts, sorted(counts), (), 0, 0, None)]  # left, lengths, (parent plan), sequences, waste, filling
-    while stack and best > least and nodes > 0:
-        left, lengths, plan, used, waste, _ = stack.pop()
-        allowed = (best - 1) * capacity - total - waste
-        if allowed < 0:
-            continue
-        nodes -= 1
-        if not left:
-            best, incumbent, node = used, [], plan
-            while node:
-                node, step = node
-                incumbent.append(step)
-            continue
-        large = lengths[-1]
+    left, lengths, budget = dict(counts), sorted(counts), [nodes]
+    path: list[list] = []  # fillings to come, that of this node, how many of it, its waste
+    used = waste = 0
+
+    def move(filling, n):
+        """Take ``n`` times the filling from what is left (give it back if below 0)."""
+        for x, k in filling:
+            if x not in left:
+                left[x] = 0
+                lengths.insert(bisect_left(lengths, x), x)
+            left[x] -= n * k
+            if not left[x]:
+                del left[x], lengths[bisect_left(lengths, x)]
+
+    def allowed():
+        return (best - 1) * capacity - total - waste
+
+    def branches():
+        """Every filling for as many sequences as may be, then every filling for fewer: (waste, filling, sequences)."""
+        large, before = lengths[-1], path[-1][1] if path else None
         own = dict(left)
         own[large] -= 1
-        options = fillings(own, lengths, capacity - large, allowed)
-        for items in reversed(options):
-            need: dict[int, int] = {large: 1}
-            for x in items:
-                need[x] = need.get(x, 0) + 1
-            n = min(left[x] // k for x, k in need.items())
-            spare = capacity - large - sum(items)
-            n = min(n, allowed // spare) if spare else n
-            if n < 1:
-                continue
-            after = dict(left)
-            gone = False
-            for x, k in need.items():
-                after[x] -= n * k
-                if not after[x]:
-                    del after[x]
-                    gone = True
-            stack.append((after, sorted(after) if gone else lengths, (plan, (n, (large, *items))), used + n, waste + n * spare, None))
+        room = capacity - large
+        fit = [x for x in lengths[:bisect_right(lengths, room)] if own[x]]
+        for fewer in (False, True):
+            for spare, filling in fillings(own, fit, room, allowed(), budget):
+                whole = ((large, 1), *filling)
+                if filling and filling[0][0] == large:
+                    whole = ((large, filling[0][1] + 1), *filling[1:])
+                if spare > allowed():
+                    break
+                n = min(left[x] // k for x, k in whole)
+                n = min(n, allowed() // spare) if spare else n
+                if whole != before:  # else it is tried there for more sequences
+                    for k in range(n - 1, 0, -1) if fewer else (n,):
+                        yield spare, whole, k
+
+    while best > least and budget[0] > 0:
+        if not left:
+            best, incumbent = used, [(n, tuple(x for x, k in filling for _ in range(k))) for _, filling, n, _ in path]
+        elif allowed() >= 0:
+            path.append([branches(), (), 0, 0])
+        # to the next branch, of this node or of one before it
+        while path:
+            options, filling, n, spare = path[-1]
+            if n:
+                move(filling, -n)
+                used, waste = used - n, waste - n * spare
+                path[-1][1:] = (), 0, 0
+            if (branch := next(options, None)) and branch[0] * branch[2] <= allowed():
+                spare, filling, n = branch
+                move(filling, n)
+                used, waste = used + n, waste + n * spare
+                path[-1][1:] = filling, n, spare
+                budget[0] -= 1
+                break
+            if not branch:
+                path.pop()
+        if not path:
+            break
     return full + incumbent
 
 

@@ -1,5 +1,7 @@
 """Packing, BPE codec and token files against the libraries' plain results."""
+import functools
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -67,6 +69,65 @@ def test_bin_completion_beats_best_fit_decreasing_or_equals_it():
     assert packing.bin_completion({}) == [] and packing.bin_completion({2048: 3}) == [(3, (2048,))]
 
 
+def packed(plan, capacity=packing.CAPACITY):
+    assert all(n > 0 and sum(items) <= capacity for n, items in plan)
+    got = Counter()
+    for n, items in plan:
+        for x in items:
+            got[x] += n
+    return got
+
+
+def test_bin_completion_fills_with_many_short_pieces():
+    # more than 13 pieces a sequence; best-fit decreasing needs one sequence more than the bound on some of them
+    r = random.Random(5)
+    better = 0
+    for k in range(30):
+        lengths = range(20, 201) if k % 2 else r.sample(range(20, 201), 6)
+        counts = Counter(r.choice(lengths) for _ in range(r.choice([400, 2000, 3000])))
+        plan = packing.bin_completion(dict(counts))
+        assert packed(plan) == counts
+        size, least = sum(n for n, _ in plan), packing.lower_bound(dict(counts), packing.CAPACITY)
+        first = sum(n for n, _ in packing.best_fit_decreasing(dict(counts), packing.CAPACITY))
+        assert size == least
+        better += size < first
+    assert better >= 3
+
+
+def test_fillings_are_all_undominated_ones():
+    r = random.Random(3)
+    for _ in range(150):
+        lengths = sorted(r.sample(range(2, 30), r.randint(1, 6)))
+        counts, room = {x: r.randint(1, 4) for x in lengths}, r.randint(30, 60)
+        want = set()
+        for copies in itertools.product(*(range(counts[x] + 1) for x in lengths)):
+            waste = room - sum(x * m for x, m in zip(lengths, copies, strict=True))
+            over = [x for x, m in zip(lengths, copies, strict=True) if m < counts[x]]
+            under = [0, *(x for x, m in zip(lengths, copies, strict=True) if m)]
+            if 0 <= waste <= 9 and not any(y < z <= y + waste for z in over for y in under):
+                want.add((waste, tuple((x, m) for x, m in zip(reversed(lengths), reversed(copies), strict=True) if m)))
+        got = list(packing.fillings(counts, lengths, room, 9, [10**6]))
+        assert set(got) == want and len(got) == len(want) and [w for w, _ in got] == sorted(w for w, _ in got)
+
+
+def test_bin_completion_finds_the_optimum():
+    @functools.cache
+    def optimum(pieces, rooms):
+        if not pieces:
+            return len(rooms)
+        x, best = pieces[0], optimum(pieces[1:], tuple(sorted((*rooms, 40 - pieces[0]))))
+        for k, room in enumerate(rooms):
+            if room >= x and room not in rooms[:k]:
+                best = min(best, optimum(pieces[1:], tuple(sorted((*rooms[:k], room - x, *rooms[k + 1:])))))
+        return best
+
+    r = random.Random(8)
+    for _ in range(60):
+        pieces = tuple(sorted((r.randint(5, 24) for _ in range(r.randint(3, 9))), reverse=True))
+        plan = packing.bin_completion(Counter(pieces), 40, 10**6)
+        assert packed(plan, 40) == Counter(pieces) and sum(n for n, _ in plan) == optimum(pieces, ())
+
+
 def test_bpe(docs, rows, empty):
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
     enc = bpe_codec.encoding(path, P.PATTERN)
