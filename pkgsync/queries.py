@@ -214,7 +214,7 @@ def q_ledger_clean(spark, sf_dir):
     """Wipe the ledger -> the versions table written empty and read back."""
     c = _ctx(spark, sf_dir)
     root = scratch_path(spark, "ledger")
-    LG.write_snapshot(c.fx_ledger_versions, f"{root}/versions-0")
+    LG.write_snapshot(c.fx_ledger_versions, f"{root}/versions")
     LG.clean(spark, root)
     return spark.read.schema(LG.LEDGER_VERSIONS).parquet(f"{root}/versions")
 

@@ -4,7 +4,11 @@ Every fixture is one SQL text that runs unchanged on Spark and on DuckDB, so the
 oracle side can chain the very same text as CTEs.  Fixtures stand for the inputs
 a migration reads (catalogue, listings, target states, ledger, requests, upload
 responses, npm and form metadata).  The modulo terms shape the data (which
-versions are unfinished, which requests malformed, ...); they never thin it out.
+versions are unfinished, which requests malformed, ...).  Requests and responses
+hold every row; target and ledger hold no docker rows (t = 3), a type that the
+source tool refuses, and the metadata of a format only the rows of that type.
+Requests of what the source has no file of (docker, and rows that are only
+metadata) name a version, so that whole-package requests are of known packages.
 """
 
 from __future__ import annotations
@@ -103,21 +107,29 @@ FROM fx_ledger_versions GROUP BY repository
     ),
     "fx_requests": (
         """
-SELECT l_orderkey * 10 + l_linenumber AS request_id, repository,
-       concat(name, CASE l_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN ':' WHEN 2 THEN concat(':', version, ':x') ELSE concat(':', version) END,
+SELECT request_id, repository,
+       concat(package,
+              CASE WHEN t = 3 OR t <> 1 AND l_orderkey % 97 = 0 THEN concat(':', version) WHEN l_orderkey % 5 = 0 THEN ''
+                   WHEN l_orderkey % 5 = 1 THEN ':' WHEN l_orderkey % 5 = 2 THEN concat(':', version, ':x') ELSE concat(':', version) END,
               CASE WHEN l_orderkey % 7 = 0 THEN concat(' ', scope, '-extra') ELSE '' END) AS packages
-FROM fx_base WHERE t = 1
+FROM (SELECT l_orderkey * 10 + l_linenumber AS request_id, repository, t, l_orderkey, scope, version,
+        CASE t WHEN 0 THEN concat(grp, '/', name) WHEN 2 THEN concat('@', scope, '/', name) ELSE name END AS package
+      FROM fx_base) x
 """,
         ("fx_base",),
     ),
     "fx_responses": (
         """
-SELECT l_orderkey * 10 + l_linenumber AS upload_id, repository, name AS package, version,
-       concat(name, '-', version, CASE l_returnflag WHEN 'A' THEN '.jar' WHEN 'N' THEN '.pom' ELSE '.war' END) AS file_name,
+SELECT l_orderkey * 10 + l_linenumber AS upload_id, repository,
+       CASE t WHEN 0 THEN concat(grp, '/', name) WHEN 2 THEN concat('@', scope, '/', name) ELSE name END AS package, version,
+       concat(name, '-', version, CASE t
+         WHEN 0 THEN CASE l_returnflag WHEN 'A' THEN '.jar' WHEN 'N' THEN '.pom' ELSE '.war' END
+         WHEN 1 THEN CASE l_returnflag WHEN 'A' THEN '.tar.gz' WHEN 'N' THEN '.whl' ELSE '.zip' END
+         WHEN 2 THEN '.tgz' ELSE '.json' END) AS file_name,
        CASE WHEN l_orderkey % 11 = 0 THEN 409 WHEN l_orderkey % 13 = 0 THEN 503 ELSE 200 END AS status_code,
        CASE WHEN l_orderkey % 11 = 0 THEN 'Conflict' WHEN l_orderkey % 13 = 0 THEN 'Service Unavailable' ELSE 'OK' END AS reason,
        concat('order ', CAST(l_orderkey AS STRING)) AS body
-FROM fx_base WHERE t = 0
+FROM fx_base
 """,
         ("fx_base",),
     ),

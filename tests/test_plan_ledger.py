@@ -234,3 +234,26 @@ def test_plan_files_salts_hot_versions(spark):
             else:
                 spark.conf.set(k, v)
     assert len(parts) >= 4 and max(r["count"] for r in parts) < 0.5 * len(hot_rows)
+
+
+def test_requests_and_responses_hold_every_type_with_the_ledger_key(spark):
+    fx, _ = _inputs(spark)
+    rows = fx.fx_base.count()
+    assert fx.fx_requests.count() == fx.fx_responses.count() == rows
+    failed = fx.fx_responses.where("status_code >= 400").select("repository", "package", "version", "file_name")
+    kinds = {(r[0].startswith("@"), "/" in r[0]) for r in failed.select("package").distinct().collect()}
+    assert kinds == {(True, True), (False, True), (False, False)}      # npm, maven, pypi
+    keys = failed.select("repository", "package", "version").distinct()
+    assert keys.join(fx.fx_ledger_versions, ["repository", "package", "version"], "left_semi").count() > 0
+    assert fx.fx_requests.where(F.col("packages").startswith("@")).count() > 0
+
+
+def test_ledger_marks_meet_rows_and_clean_wipes_what_was_written(spark, monkeypatch):
+    from pkgsync import queries as Q
+
+    fx, _ = _inputs(spark)
+    marked = Q.QUERIES["ledger_mark_errors"](spark, SF)
+    assert marked.where(F.col("publish_error").contains(", order ")).count() > 0
+    assert Q.QUERIES["ledger_clean"](spark, SF).count() == 0
+    monkeypatch.setattr(Q.LG, "clean", lambda *_: None)                # without the wipe the ledger is still there
+    assert Q.QUERIES["ledger_clean"](spark, SF).count() == fx.fx_ledger_versions.count()
