@@ -80,14 +80,19 @@ def group_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kept row of each group, with all its columns; of repeated rows one stays."""
+    """The kept row of each group, with all its columns; of repeated rows one stays.
+
+    A row is told by its id and the digest of its text, as one id may stand for several texts.
+    """
     from .common import doc_key
 
-    rows = group_rows(docs, id_col, text_col)
-    # only rows of groups with copies can go; a repeated kept row is told by its key
-    lost = rows.where(~F.col("kept")).select(F.col("sid").alias("__llm_lost")).distinct()
-    twice = rows.where("kept and group_size > 1").groupBy("sid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("sid").alias("__llm_twice"))
-    keyed = docs.withColumn("__llm_key", doc_key(id_col, text_col))
-    stay = keyed.join(lost, F.col("__llm_key") == F.col("__llm_lost"), "left_anti")
-    repeated = stay.join(twice, F.col("__llm_key") == F.col("__llm_twice"), "left_semi").dropDuplicates(["__llm_key"])
-    return stay.join(twice, F.col("__llm_key") == F.col("__llm_twice"), "left_anti").unionByName(repeated).drop("__llm_key")
+    rows = group_rows(docs, id_col, text_col).withColumnsRenamed({"sid": "__llm_sid", "digest": "__llm_digest"})
+    key = ["__llm_sid", "__llm_digest"]
+    # only rows of groups with copies can go
+    lost = rows.where(~F.col("kept")).select(*key).distinct()
+    twice = rows.where("kept and group_size > 1").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    keyed = docs.withColumns({"__llm_sid": doc_key(id_col, text_col),
+                              "__llm_digest": F.sha2(normalised(F.coalesce(F.col(text_col), F.lit(""))), 256)})
+    stay = keyed.join(lost, key, "left_anti")
+    repeated = stay.join(twice, key, "left_semi").dropDuplicates(key)
+    return stay.join(twice, key, "left_anti").unionByName(repeated).drop(*key)

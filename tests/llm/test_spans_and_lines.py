@@ -102,3 +102,11 @@ def test_line_dedup(docs, rows, empty):
     got = [(r.doc_id, r.llm_n_lines, r.llm_n_dropped, r.text) for r in line_dedup.drop_lines(docs).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert any(w[2] for w in want) and line_dedup.drop_lines(empty).count() == 0
+
+
+def test_exact_dedup_keeps_other_texts_of_a_repeated_id(spark):
+    from conftest import frame
+
+    rows = [(1, "alpha beta"), (7, "alpha beta"), (7, "only here"), (3, "x y z"), (3, "p q"), (8, "x y z"), (9, "p q"), (3, "x y z")]
+    kept = exact_dedup.drop_copies(frame(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "alpha beta"), (3, "p q"), (3, "x y z"), (7, "only here")]
