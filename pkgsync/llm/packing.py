@@ -136,7 +136,7 @@ def fillings(counts: dict[int, int], lengths: list[int], room: int, allowed: int
 def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """Pack the counted lengths (1 to capacity) into as few sequences as the search finds.
 
-    Depth first; a node is a filling that is committed, or a partial one that ends nowhere.  Every undominated filling
+    Depth first; a node is a filling that is committed or passed over, or a partial one that ends nowhere.  Every undominated filling
     is a branch, for as many sequences as the counts allow and later for fewer; only ``nodes`` ends the search early.
     """
     counts = {x: n for x, n in counts.items() if n}
@@ -180,9 +180,14 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
                     break
                 n = min(left[x] // k for x, k in whole)
                 n = min(n, allowed() // spare) if spare else n
-                if whole != before:  # else it is tried there for more sequences
-                    for k in range(n - 1, 0, -1) if fewer else (n,):
-                        yield spare, whole, k
+                tries = range(n - 1, 0, -1) if fewer else (n,)
+                if whole == before or not tries:  # it is tried there for more sequences, or was tried for one
+                    budget[0] -= 1
+                    if budget[0] <= 0:
+                        return
+                    continue
+                for k in tries:
+                    yield spare, whole, k
 
     while best > least and budget[0] > 0:
         if not left:
