@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe_codec, exact_dedup, fm_dedup, jaccard_join, line_dedup, packing, quality_rules, suffix_dedup, token_files, toxicity
+from . import (alignment, bpe_codec, exact_dedup, fm_dedup, jaccard_join, line_dedup, packing, prefix_bpe, quality_rules, suffix_dedup, token_files,
+               toxicity, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +74,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("llm_n_lines").alias("n_lines"), F.col("llm_n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.roundtrip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -84,4 +97,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_prefix_bpe": op13_prefix_bpe,
 }
