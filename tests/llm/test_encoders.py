@@ -1,4 +1,5 @@
 """Prefix BPE against the tokenizers library; alignment against brute force over all documents."""
+import bisect
 import hashlib
 import random
 from collections import Counter
@@ -102,8 +103,11 @@ def brute_document(text, pair):
     ea, eb = np.cumsum([0] + [len(pair.bytes_a[i]) for i in a]), np.cumsum([0] + [len(pair.bytes_b[i]) for i in b])
     links = [(a[i], b[j]) for i in range(len(a)) for j in np.flatnonzero(np.maximum(ea[i], eb[:-1]) < np.minimum(ea[i + 1], eb[1:]))]
     cuts = [0, *sorted(set(ea[1:].tolist()) & set(eb[1:].tolist()))]
-    groups = ";".join(",".join(str(t) for t, e in zip(a, ea[1:]) if s < e <= f) + "|" + ",".join(str(t) for t, e in zip(b, eb[1:]) if s < e <= f)
-                      for s, f in zip(cuts, cuts[1:]))
+    inside = [([], []) for _ in cuts]
+    for side, ids, stops in ((0, a, ea), (1, b, eb)):
+        for t, e in zip(ids, stops[1:].tolist()):
+            inside[bisect.bisect_left(cuts, e)][side].append(str(t))
+    groups = ";".join(",".join(x) + "|" + ",".join(y) for x, y in inside[1:])
     return len(a), len(b), len(cuts) - 1, links, groups
 
 
