@@ -27,8 +27,10 @@ from .common import documents
 from .segments import segments
 
 #: Segments, words and token pairs that a worker remembers; a full cache starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 NEVER = 1 << 60
+#: A word of Latin letters and the marks behind it: every pre-tokenizer cuts these two apart and nothing else.
+SIMPLE = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 
 
 def byte_letters() -> dict[str, int]:
@@ -129,7 +131,8 @@ class PrefixBPE:
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.bytes |= {i: t.encode() for t, i in self.added.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # by the letters of the library's words
+        self.simple: dict[str, bytes] = {}  # by the text itself
         self.spaced = Spaced(self)
 
     def edge(self, t: int, made: dict, side: int, edges: dict) -> tuple:
@@ -194,13 +197,16 @@ class PrefixBPE:
 
     def encode_segment(self, segment: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join([self.words.get(w) or self.learn(w) for w, _ in self.cut(segment)])
-
-    def learn(self, word: str) -> bytes:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        ids = self.encode_word(word.translate(self.letters).encode("latin-1"))
-        out = self.words[word] = b"".join([t.to_bytes(4, "little") for t in ids])
+        if found := SIMPLE.fullmatch(segment):
+            word, marks = found.groups()
+            out = self.simple.get(word) or self.learn(self.simple, word, word.encode())
+            return out + (self.simple.get(marks) or self.learn(self.simple, marks, marks.encode())) if marks else out
+        return b"".join([self.words.get(w) or self.learn(self.words, w, w.translate(self.letters).encode("latin-1")) for w, _ in self.cut(segment)])
+
+    def learn(self, known: dict[str, bytes], key: str, word: bytes) -> bytes:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        out = known[key] = b"".join([t.to_bytes(4, "little") for t in self.encode_word(word)])
         return out
 
     def stretches(self, text: str):
