@@ -176,6 +176,14 @@ FROM fx_responses WHERE status_code >= 400 GROUP BY repository, package, version
         "SELECT DISTINCT repository, package FROM fx_ledger_packages WHERE all_versions_fetched = 1",
         ("fx_ledger_packages",),
     ),
+    "npm_states": (
+        f"""SELECT *, '{DRYRUN_HOST}/' || repository || '/' || package || '/' || split_part(package || '-' || version || '.tgz', '/', -1) AS tarball,
+       CASE WHEN metadata IS NULL THEN 'no_metadata' WHEN NOT json_valid(metadata) THEN 'invalid_json'
+            WHEN coalesce(CAST(json_extract(metadata, '$.versions."' || version || '"') AS VARCHAR), '{{}}') = '{{}}' THEN 'missing_from_metadata'
+            WHEN json_extract(metadata, '$.versions."' || version || '".dist') IS NULL THEN 'no_dist' END AS reason
+FROM fx_npm_metadata""",
+        ("fx_npm_metadata",),
+    ),
     "waves": (
         """SELECT repository, package,
        CAST(row_number() OVER (PARTITION BY repository ORDER BY package) - 1 AS BIGINT) AS position,
@@ -248,10 +256,10 @@ oracle("tgt_repositories", "SELECT DISTINCT repository AS name FROM fx_target",
 oracle("tgt_versions", "SELECT repository, format, namespace, package, version, status FROM fx_target", "fx_target")
 oracle(
     "npm_documents",
-    """SELECT doc_id, repository, package, version, json_extract_string(metadata, '$.name') AS doc_name,
-       CAST(len(json_keys(metadata, '$.versions')) AS INTEGER) AS n_versions,
-       list_contains(json_keys(metadata, '$.versions'), version) AS has_version
-FROM fx_npm_metadata""",
+    """SELECT doc_id, repository, package, version, json_extract_string(j, '$.name') AS doc_name,
+       CAST(len(json_keys(j, '$.versions')) AS INTEGER) AS n_versions,
+       coalesce(list_contains(json_keys(j, '$.versions'), version), false) AS has_version
+FROM (SELECT *, CASE WHEN json_valid(metadata) THEN metadata END AS j FROM fx_npm_metadata)""",
     "fx_npm_metadata",
 )
 oracle(
@@ -498,9 +506,8 @@ WHERE repository NOT IN (SELECT repository FROM fx_ledger_repositories)""",
 )
 oracle(
     "npm_missing_metadata",
-    """SELECT doc_id, repository, package, version, 400 AS status_code, 'missing_from_metadata' AS reason
-FROM fx_npm_metadata WHERE NOT list_contains(json_keys(metadata, '$.versions'), version)""",
-    "fx_npm_metadata",
+    """SELECT doc_id, repository, package, version, 400 AS status_code, reason FROM npm_states WHERE reason IS NOT NULL""",
+    "npm_states",
 )
 oracle(
     "publish_failures",
@@ -564,40 +571,45 @@ oracle(
 )
 
 # === 2.9 arrays, maps, JSON ================================================================
+FORMS_OK = ("forms_ok", "SELECT * FROM fx_form_metadata WHERE json_valid(form) AND json_type(form) = 'OBJECT'")
 oracle(
     "form_fields",
-    """SELECT doc_id, ':action' AS key, 'file_upload' AS value FROM fx_form_metadata
-UNION ALL SELECT doc_id, 'protocol_version', '1' FROM fx_form_metadata
-UNION ALL
-SELECT doc_id, k, unnest(from_json(json_extract(form, '$."' || k || '"'), '["VARCHAR"]'))
-FROM (SELECT doc_id, form, unnest(json_keys(form)) AS k FROM fx_form_metadata)
-WHERE k NOT IN (':action', 'protocol_version', 'gpg_signature', 'content')
-UNION ALL
-SELECT doc_id, k, CAST(json_extract(form, '$."' || k || '"') AS VARCHAR)
-FROM (SELECT doc_id, form, unnest(json_keys(form)) AS k FROM fx_form_metadata)
-WHERE k IN ('gpg_signature', 'content')""",
+    """SELECT doc_id, unnest([':action', 'protocol_version', 'name', 'version', 'metadata_version', 'yanked', 'maintainer', 'classifiers', 'classifiers',
+                       'gpg_signature', 'content', 'requires']) AS key,
+       unnest(['file_upload', '1', package, version, '2.1', 'false', NULL, json_extract_string(form, '$.classifiers[0]'), NULL,
+               '["a","b"]', 'whole', '{"python":">=3"}']) AS value
+FROM forms_ok""",
+    "fx_form_metadata", extra=(FORMS_OK,),
+)
+oracle(
+    "form_rejects",
+    """SELECT doc_id, CASE WHEN form IS NULL THEN 'no_form' WHEN json_valid(form) THEN 'not_an_object' ELSE 'invalid_json' END AS reason
+FROM fx_form_metadata WHERE form IS NULL OR NOT json_valid(form) OR json_type(form) <> 'OBJECT'""",
     "fx_form_metadata",
 )
 oracle(
     "npm_publish_doc",
-    """SELECT doc_id, CAST(json_merge_patch(metadata, '{"_rev": null}') AS VARCHAR) AS publish_doc FROM fx_npm_metadata""",
+    """SELECT doc_id, CASE WHEN json_valid(metadata) THEN regexp_replace(metadata, '"_rev":"r[0-9]+",', '') END AS publish_doc FROM fx_npm_metadata""",
     "fx_npm_metadata",
 )
 oracle(
     "npm_single_version",
     """SELECT doc_id, version,
-       CAST(CASE WHEN list_contains(json_keys(metadata, '$.versions'), version) THEN 1 ELSE 0 END AS INTEGER) AS n_kept,
-       json_extract_string(metadata, '$.versions."' || version || '".dist.tarball') AS tarball
-FROM fx_npm_metadata""",
-    "fx_npm_metadata",
-)
-oracle(
-    "npm_tarball",
-    f"""SELECT doc_id, version,
-       CASE WHEN list_contains(json_keys(metadata, '$.versions'), version)
-            THEN '{DRYRUN_HOST}/' || repository || '/' || package || '/' || split_part(package || '-' || version || '.tgz', '/', -1) END AS tarball
-FROM fx_npm_metadata""",
-    "fx_npm_metadata",
+       CASE WHEN reason IS NULL
+            THEN replace(regexp_extract(metadata, '"versions":(.*),"time"', 1), '"0.0.0":{"dist":{"tarball":"http://old/0"}},', '') END AS versions_kept
+FROM npm_states""",
+    "npm_states",
+)
+oracle("npm_tarball", "SELECT doc_id, version, CASE WHEN reason IS NULL THEN tarball END AS tarball FROM npm_states", "npm_states")
+oracle(
+    "npm_document",
+    """SELECT doc_id, reason,
+       CASE WHEN reason IS NULL THEN substr(d, 1, length(d) - 1) || ',"_attachments":{"' || package || '-' || version
+            || '.tgz":{"content_type":"application/octet-stream","data":"' || to_base64(encode(package || ' ' || version))
+            || '","length":"' || CAST(strlen(package || ' ' || version) AS VARCHAR) || '"}}}' END AS document
+FROM (SELECT *, replace(replace(replace(regexp_replace(metadata, '"_rev":"r[0-9]+",', ''), '"0.0.0":{"dist":{"tarball":"http://old/0"}},', ''),
+                        '"http://old/' || version || '"', '"' || tarball || '"'), ',"_attachments":{}', '') AS d FROM npm_states)""",
+    "npm_states",
 )
 oracle(
     "npm_attachment",

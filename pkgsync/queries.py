@@ -508,7 +508,7 @@ def q_ledger_add_repositories(spark, sf_dir):
 
 @query("npm_missing_metadata")
 def q_npm_missing_metadata(spark, sf_dir):
-    return DOC.npm_missing_metadata(_ctx(spark, sf_dir).fx_npm_metadata)
+    return DOC.npm_missing_metadata(M.with_endpoint(_ctx(spark, sf_dir).fx_npm_metadata, None))
 
 
 @query("publish_failures")
@@ -599,6 +599,12 @@ def q_form_fields(spark, sf_dir):
     return DOC.form_fields(_ctx(spark, sf_dir).fx_form_metadata)
 
 
+@query("form_rejects")
+def q_form_rejects(spark, sf_dir):
+    """Forms that are missing, cut off or no object."""
+    return DOC.form_rejects(_ctx(spark, sf_dir).fx_form_metadata)
+
+
 @query("npm_publish_doc")
 def q_npm_publish_doc(spark, sf_dir):
     c = _ctx(spark, sf_dir)
@@ -607,18 +613,24 @@ def q_npm_publish_doc(spark, sf_dir):
 
 @query("npm_single_version")
 def q_npm_single_version(spark, sf_dir):
+    """I4: the text of ``versions`` with the one version, all its fields kept."""
     c = _ctx(spark, sf_dir)
-    d = DOC.npm_single_version(c.fx_npm_metadata)
-    return d.select("doc_id", "version", F.size("versions_kept").cast("int").alias("n_kept"),
-                    F.element_at("versions_kept", F.col("version"))["dist"]["tarball"].alias("tarball"))
+    return DOC.npm_single_version(M.with_endpoint(c.fx_npm_metadata, None)).select("doc_id", "version", "versions_kept")
 
 
 @query("npm_tarball")
 def q_npm_tarball(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    d = M.with_endpoint(c.fx_npm_metadata, None)
-    d = DOC.npm_set_tarball(d)
-    return d.select("doc_id", "version", F.col("version_spec.dist.tarball").alias("tarball"))
+    d = DOC.npm_set_tarball(M.with_endpoint(c.fx_npm_metadata, None))
+    return d.select("doc_id", "version", F.get_json_object("version_spec", "$.dist.tarball").alias("tarball"))
+
+
+@query("npm_document")
+def q_npm_document(spark, sf_dir):
+    """Whole publish documents, the tarball's bytes (here a short text) attached, or the reason there is none."""
+    c = _ctx(spark, sf_dir)
+    d = M.with_endpoint(c.fx_npm_metadata, None).withColumn("content", F.encode(F.concat("package", F.lit(" "), "version"), "UTF-8"))
+    return DOC.npm_publish_document(d, "content").select("doc_id", "document", "reason")
 
 
 @query("npm_attachment")

@@ -136,8 +136,14 @@ FROM fx_base
     "fx_npm_metadata": (
         """
 SELECT l_orderkey * 10 + l_linenumber AS doc_id, repository, concat('@', scope, '/', name) AS package, version,
-       concat('{"_rev":"r', CAST(l_orderkey AS STRING), '","name":"', name, '","versions":{"0.0.0":{"dist":{"tarball":"http://old/0"}}',
-              CASE WHEN l_orderkey % 9 = 0 THEN '' ELSE concat(',"', version, '":{"dist":{"tarball":"http://old/', version, '"}}') END, '}}') AS metadata
+       CASE WHEN l_orderkey % 29 = 0 THEN concat('{"_rev":"r', CAST(l_orderkey AS STRING))
+            WHEN l_orderkey % 31 = 0 THEN CAST(NULL AS STRING)
+            ELSE concat('{"_rev":"r', CAST(l_orderkey AS STRING), '","name":"', name, '","weight":1.0, "versions":{"0.0.0":{"dist":{"tarball":"http://old/0"}}',
+                   CASE l_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN concat(',"', version, '":{}') WHEN 2 THEN concat(',"', version, '":{"name":"', name, '"}')
+                        ELSE concat(',"', version, '":{"name":"', name, '","build":12345678901234567890123456789012345678901,"size":2.50, ',
+                                    '"dependencies":{"left":"^1.0"},"dist":{"shasum":"s', CAST(l_linenumber AS STRING), '","tarball":"http://old/', version, '"}}') END,
+                   '},"time":{"modified":98765432109876543210987654321098765432109}',
+                   CASE WHEN l_orderkey % 7 = 0 THEN ',"_attachments":{}' ELSE '' END, '}') END AS metadata
 FROM fx_base WHERE t = 2
 """,
         ("fx_base",),
@@ -145,7 +151,11 @@ FROM fx_base WHERE t = 2
     "fx_form_metadata": (
         """
 SELECT l_orderkey * 10 + l_linenumber AS doc_id, name AS package, version,
-       concat('{"name":["', name, '"],"version":["', version, '"],"classifiers":["Topic :: ', scope, '","Flag :: ', l_returnflag, '"]}') AS form
+       CASE WHEN l_orderkey % 13 = 0 THEN concat('{"name":["', name)
+            WHEN l_orderkey % 17 = 0 THEN '["a list"]'
+            WHEN l_orderkey % 19 = 0 THEN CAST(NULL AS STRING)
+            ELSE concat('{"name":["', name, '"],"version":"', version, '","metadata_version":2.1,"yanked":false,"maintainer":null,"classifiers":["Topic :: ', scope,
+                        '",null],"keywords":[],"gpg_signature":["a","b"],"content":"whole","requires":{"python":">=3"}}') END AS form
 FROM fx_base WHERE t = 1
 """,
         ("fx_base",),

@@ -109,21 +109,6 @@ def test_npm_attachment_is_one_line_base64(spark):
     assert r["length"] == str(len(data)) and r["content_type"] == "application/octet-stream"
 
 
-def test_npm_drop_rev_keeps_unknown_keys(spark):
-    doc = {"_rev": "r1", "name": "p", "custom": {"a": [1, 2]}, "versions": {"1.0": {"dist": {"tarball": "t"}}}}
-    df = spark.createDataFrame([(json.dumps(doc),)], "metadata string")
-    out = json.loads(DOC.npm_drop_rev(df).first()["publish_doc"])
-    assert "_rev" not in out and out["custom"] == {"a": [1, 2]} and out["versions"]["1.0"]["dist"]["tarball"] == "t"
-
-
-def test_form_fields_flatten_and_constants(spark):
-    form = json.dumps({"name": ["p"], "classifiers": ["a", "b"], "content": ["x", "y"], ":action": ["other"]})
-    df = spark.createDataFrame([(1, form)], "doc_id bigint, form string")
-    got = sorted((r["key"], r["value"]) for r in DOC.form_fields(df).collect())
-    assert got == sorted([(":action", "file_upload"), ("protocol_version", "1"), ("name", "p"),
-                          ("classifiers", "a"), ("classifiers", "b"), ("content", '["x","y"]')])
-
-
 def test_staging_names_do_not_collide(spark):
     # 2.14 #22: equal basenames from different namespaces or repositories get different staging keys
     df = spark.createDataFrame([("r", "org/a", "lib", "1.0"), ("r", "org/b", "lib", "1.0"), ("s", "org/a", "lib", "1.0")],
