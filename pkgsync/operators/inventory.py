@@ -15,7 +15,9 @@ from ..functions import filters as C
 from ..functions import paths as P
 from .joins import bounded_broadcast
 
-INVENTORY_COLUMNS = ("repository", "package_type", "uri", "size_bytes", "file_name", "package", "version", "copy")
+INVENTORY_COLUMNS = ("repository", "package_type", "uri", "size_bytes", "file_name", "package", "version", "copy", "slot")
+# A file's slot, by a hash of its path: a key to spread the files of one version (one bit each of a long).
+SLOTS = 64
 VERSION_KEY = ("repository", "package", "version")
 
 
@@ -73,7 +75,21 @@ def derive_coordinates(files: DataFrame, match: str = "contains") -> DataFrame:
         .when(t == "maven", v.isNotNull() & C.is_maven_version_file(uri, match))
         .otherwise(F.lit(False))
     )
-    return out.withColumn("copy", copy)
+    return out.withColumn("copy", copy).withColumn("slot", slot())
+
+
+def slot(uri: str = "uri") -> F.Column:
+    return F.pmod(F.xxhash64(uri), F.lit(SLOTS)).cast("tinyint")
+
+
+def with_slot(inv: DataFrame) -> DataFrame:
+    """The inventory with its slots, also one stored before there were any."""
+    return inv if "slot" in inv.columns else inv.withColumn("slot", slot())
+
+
+def slots_of(copy: str = "copy") -> F.Column:
+    """Aggregate: the slots that a version's files to copy fall into, as the bits of a long."""
+    return F.coalesce(F.bit_or(F.when(F.col(copy), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").cast("int")))), F.lit(0).cast("bigint"))
 
 
 def inventory(files: DataFrame, repositories: DataFrame | None = None, match: str = "contains") -> DataFrame:
@@ -129,8 +145,8 @@ def package_files(inv: DataFrame, package_type: str | None = None) -> DataFrame:
     return out.select("repository", "package_type", "package", "uri", "file_name", "size_bytes")
 
 
-def version_files(inv: DataFrame) -> DataFrame:
+def version_files(inv: DataFrame, *more: str) -> DataFrame:
     """A3 with a version: the files uploaded for each version."""
     return inv.where(F.col("copy")).select(
-        "repository", "package_type", "package", "version", "uri", "file_name", "size_bytes"
+        "repository", "package_type", "package", "version", "uri", "file_name", "size_bytes", *more
     )

@@ -48,13 +48,17 @@ def check_requested_repositories(requested: DataFrame, repositories: DataFrame)
     return out.withColumn("known", F.coalesce("known", F.lit(False)))
 
 
-def require_known(checked: DataFrame, sample: int = 20) -> None:
-    """Strict mode of D1: raise when a requested repository is unknown (the
-    source tool aborted the run).  One small job; at most ``sample`` names are
-    fetched for the message."""
-    bad = [r["repository"] for r in checked.where(~F.col("known")).select("repository").take(sample)]
-    if bad:
-        raise ValueError(f"unknown repositories: {', '.join(map(str, bad))}")
+def refuse_rows(rows: DataFrame, what: str, shown: int = 20) -> None:
+    """Raise when there are any rows: the message tells how many and shows the first values of the only column."""
+    n = rows.count()
+    if n:
+        some = ", ".join(sorted(str(r[0]) for r in rows.take(shown)))
+        raise ValueError(f"{what}: {some}" + (f" and {n - shown} more" if n > shown else ""))
+
+
+def require_known(checked: DataFrame) -> None:
+    """Strict mode of D1: raise when a requested repository is unknown (the source tool aborted the run)."""
+    refuse_rows(checked.where(~F.col("known")).select("repository"), "unknown repositories")
 
 
 def all_repositories_known(checked: DataFrame) -> DataFrame:

@@ -276,9 +276,15 @@ oracle(
 )
 oracle(
     "ledger_clean",
-    "SELECT repository, package, version, published, publish_failed, publish_error FROM fx_ledger_versions WHERE false",
+    """SELECT 'before' AS moment, repository, count(*) AS n_versions FROM fx_ledger_versions GROUP BY repository
+UNION ALL SELECT 'after', '', 0""",
     "fx_ledger_versions",
 )
+MERGED = ("merged", """SELECT l.repository, l.package, l.version, l.published, CASE WHEN e.repository IS NOT NULL THEN 1 ELSE l.publish_failed END AS publish_failed,
+       coalesce(e.error_text, l.publish_error) AS publish_error
+FROM fx_ledger_versions l LEFT JOIN errs e ON l.repository = e.repository AND l.package = e.package AND l.version = e.version""")
+oracle("ledger_merged", "SELECT * FROM merged", "fx_ledger_versions", "errs", extra=(MERGED,))
+oracle("ledger_delta", "SELECT * FROM merged EXCEPT ALL SELECT * FROM fx_ledger_versions", "fx_ledger_versions", "errs", extra=(MERGED,))
 oracle(
     "migration_plan",
     f"""SELECT {', '.join('p.' + c.strip() for c in PLAN_COLS.split(','))},
@@ -562,12 +568,13 @@ oracle(
     "package_source",
     """SELECT DISTINCT * FROM (
   SELECT repository, package_type, package, version, 'listing' AS source FROM vers0 v
-  WHERE NOT EXISTS (SELECT 1 FROM fetched f WHERE f.repository = v.repository AND f.package = v.package)
+  WHERE NOT EXISTS (SELECT 1 FROM fetched f WHERE f.repository = v.repository AND f.package = v.package) AND (repository NOT IN (SELECT repository FROM fx_ledger_repositories WHERE all_versions_fetched = 1)
+    OR EXISTS (SELECT 1 FROM fx_ledger_packages p WHERE p.repository = v.repository AND p.package = v.package))
   UNION ALL
   SELECT l.repository, s.package_type, l.package, l.version, 'ledger' AS source
   FROM fx_ledger_versions l JOIN scope_reps s ON l.repository = s.repository
   WHERE EXISTS (SELECT 1 FROM fetched f WHERE f.repository = l.repository AND f.package = l.package))""",
-    "vers0", "fetched", "fx_ledger_versions", "scope_reps",
+    "vers0", "fetched", "fx_ledger_versions", "fx_ledger_packages", "fx_ledger_repositories", "scope_reps",
 )
 
 # === 2.9 arrays, maps, JSON ================================================================
@@ -622,11 +629,11 @@ FROM documents""",
 oracle(
     "ledger_refresh",
     """SELECT repository,
-       CASE WHEN repository IN (SELECT repository FROM fx_requests) THEN 0 ELSE 1 END AS all_versions_fetched,
-       CASE WHEN repository IN (SELECT repository FROM fx_requests) THEN 0 ELSE all_versions_published END AS all_versions_published,
+       CASE WHEN repository IN (SELECT repository FROM fx_scope) THEN 0 ELSE 1 END AS all_versions_fetched,
+       CASE WHEN repository IN (SELECT repository FROM fx_scope) THEN 0 ELSE all_versions_published END AS all_versions_published,
        publish_failed
 FROM fx_ledger_repositories""",
-    "fx_ledger_repositories", "fx_requests",
+    "fx_ledger_repositories", "fx_scope",
 )
 LED_PK = ("led_pk", """SELECT * FROM fx_ledger_packages
 UNION ALL
@@ -723,8 +730,8 @@ oracle("fetched_packages", "SELECT repository, package FROM fx_ledger_packages W
 oracle(
     "fetched_repositories",
     """SELECT repository FROM fx_ledger_repositories
-WHERE repository IN (SELECT repository FROM fx_requests) OR all_versions_fetched = 1""",
-    "fx_ledger_repositories", "fx_requests",
+WHERE repository IN (SELECT repository FROM fx_scope) OR all_versions_fetched = 1""",
+    "fx_ledger_repositories", "fx_scope",
 )
 oracle(
     "open_repositories",
@@ -758,32 +765,53 @@ FROM (SELECT *, CASE decision
     "plan",
 )
 RQ_CTES = (
+    ("rq_pkg", """SELECT repository, package, bool_or(all_versions_fetched = 1) AS fetched, bool_or(all_versions_published = 1) AS done
+FROM fx_ledger_packages GROUP BY repository, package"""),
     ("rq_found", """SELECT p.* FROM parsed p
 WHERE EXISTS (SELECT 1 FROM pkgs s WHERE s.repository = p.repository AND s.package = p.package)
    OR EXISTS (SELECT 1 FROM fx_ledger_packages l WHERE l.repository = p.repository AND l.package = p.package)"""),
-    ("rq_vers0", """SELECT r.request_id, r.repository, s.package_type, r.package, r.version FROM (
-    SELECT request_id, repository, package, version FROM rq_found WHERE kind = 'one_version'
-    UNION ALL
-    SELECT f.request_id, f.repository, f.package, v.version FROM rq_found f
-    JOIN vers0 v ON f.repository = v.repository AND f.package = v.package WHERE f.kind = 'all_versions') r
-  JOIN scope_reps s ON r.repository = s.repository"""),
-    ("rq_vers", """SELECT r.*, coalesce(v.n_files, 0) AS n_files, coalesce(v.copy_bytes, 0) AS copy_bytes
-FROM rq_vers0 r LEFT JOIN vers v ON r.repository = v.repository AND r.package_type = v.package_type
- AND r.package = v.package AND r.version = v.version"""),
+    ("rq_whole", """SELECT w.repository, w.package, v.version
+FROM (SELECT DISTINCT repository, package FROM rq_found WHERE kind = 'all_versions') w
+LEFT JOIN rq_pkg f ON w.repository = f.repository AND w.package = f.package
+JOIN (SELECT repository, package, version, false AS from_ledger FROM vers0
+      UNION ALL SELECT repository, package, version, true FROM fx_ledger_versions) v
+  ON w.repository = v.repository AND w.package = v.package AND v.from_ledger = coalesce(f.fetched, false)
+WHERE NOT coalesce(f.done, false)"""),
+    ("rq_keys", """SELECT repository, package, version, bool_or(n) AS by_name, bool_or(NOT n) AS by_package
+FROM (SELECT repository, package, version, true AS n FROM rq_found WHERE kind = 'one_version'
+      UNION ALL SELECT *, false FROM rq_whole) GROUP BY repository, package, version"""),
+    ("rq_vers", """SELECT k.repository, s.package_type, k.package, k.version, by_name, by_package, coalesce(v.n_files, 0) AS n_files, coalesce(v.copy_bytes, 0) AS copy_bytes
+FROM rq_keys k JOIN scope_reps s ON k.repository = s.repository
+LEFT JOIN vers v ON k.repository = v.repository AND k.package = v.package AND k.version = v.version"""),
     ("rq_vcoord", _vcoord("rq_vers")),
     ("rq_state", _state("rq_vcoord")),
     ("rq_plan", _plan("rq_state")),
 )
-oracle("requested_plan", f"SELECT request_id, {PLAN_COLS} FROM rq_plan",
-       "parsed", "pkgs", "fx_ledger_packages", "vers0", "vers", "scope_reps", "tgt", "led_pub", extra=RQ_CTES)
+RQ_NEEDS = ("parsed", "pkgs", "fx_ledger_packages", "fx_ledger_versions", "vers0", "vers", "scope_reps", "tgt", "led_pub")
+oracle("requested_plan", f"SELECT {PLAN_COLS}, by_name, by_package FROM rq_plan", *RQ_NEEDS, extra=RQ_CTES)
+oracle(
+    "request_links",
+    """SELECT f.request_id, f.pos, k.repository, k.package, k.version FROM rq_found f JOIN rq_vers k
+  ON f.repository = k.repository AND f.package = k.package
+ AND CASE f.kind WHEN 'one_version' THEN f.version = k.version WHEN 'all_versions' THEN k.by_package ELSE false END""",
+    *RQ_NEEDS, extra=RQ_CTES,
+)
 REPO_CTES = (
-    ("rp_inv", "SELECT * FROM inv_scope WHERE repository IN (SELECT repository FROM fx_requests)"),
+    ("rp_inv", "SELECT * FROM inv_scope WHERE repository IN (SELECT repository FROM fx_scope)"),
     ("rp_vers", _vers("rp_inv")),
     ("rp_vcoord", _vcoord("rp_vers")),
     ("rp_state", _state("rp_vcoord")),
     ("rp_plan", _plan("rp_state")),
 )
-oracle("repository_plan", f"SELECT {PLAN_COLS} FROM rp_plan", "inv_scope", "fx_requests", "tgt", "led_pub", extra=REPO_CTES)
+oracle("repository_plan", f"SELECT {PLAN_COLS} FROM rp_plan", "inv_scope", "fx_scope", "tgt", "led_pub", extra=REPO_CTES)
+PC_CTES = (
+    ("tgt_fresh", """SELECT repository, format AS package_type, namespace AS target_namespace, package AS target_package, version,
+       bool_or(status = 'Published') AS target_published
+FROM fx_fresh_target GROUP BY ALL"""),
+    ("pc_tried", """SELECT repository, package_type, package, version, target_namespace, target_package FROM plan
+WHERE decision IN ('publish', 'wipe_publish')"""),
+    ("pc_state", _state("pc_tried", "tgt_fresh")),
+)
 oracle(
     "post_check",
     """SELECT repository, package_type, package, version, state_code = 0 AS published,
@@ -791,8 +819,8 @@ oracle(
        CASE WHEN state_code = 0 THEN '' ELSE 'Package ' || package || ' ' || version
             || ' was not found with status Published in the target after upload; the version may not be valid for the target''s format.'
        END AS publish_error
-FROM plan WHERE decision IN ('publish', 'wipe_publish')""",
-    "plan",
+FROM pc_state""",
+    "plan", "fx_fresh_target", extra=PC_CTES,
 )
 RESUME_CTES = (
     ("rs_scope", """SELECT * FROM scope_reps
@@ -802,6 +830,8 @@ WHERE repository NOT IN (SELECT repository FROM fx_ledger_repositories WHERE all
     ("rs_src", """SELECT DISTINCT * FROM (
   SELECT repository, package_type, package, version, 'listing' AS source FROM rs_vers0 v
   WHERE NOT EXISTS (SELECT 1 FROM fetched f WHERE f.repository = v.repository AND f.package = v.package)
+    AND (repository NOT IN (SELECT repository FROM fx_ledger_repositories WHERE all_versions_fetched = 1)
+         OR EXISTS (SELECT 1 FROM fx_ledger_packages p WHERE p.repository = v.repository AND p.package = v.package))
   UNION ALL
   SELECT l.repository, s.package_type, l.package, l.version, 'ledger' AS source
   FROM fx_ledger_versions l JOIN rs_scope s ON l.repository = s.repository

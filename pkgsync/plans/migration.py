@@ -1,7 +1,7 @@
 """Migration plan: which versions to publish, wipe, reject or skip, and which files to copy.
 
 ``plan`` is lazy; nothing runs until a sink (``write_plan``) or an action.
-Scope: ``None`` = every supported LOCAL repository, or a list of repository names.
+Scope: ``None`` = every supported LOCAL repository, or a list or table of repository names.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..functions import filters as C
 from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ..operators.joins import bounded_broadcast
 
 DRYRUN_HOST = "dryrun-endpoint.invalid"
 
@@ -33,8 +33,8 @@ class Inputs:
     endpoints: DataFrame | None = None  # repository, endpoint
 
 
-def scope_repositories(repositories: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """Supported LOCAL repositories in scope (C1, C2; D1 for a list)."""
+def scope_repositories(repositories: DataFrame, scope: list[str] | DataFrame | None = None) -> DataFrame:
+    """Supported LOCAL repositories in scope (C1, C2; D1 for a list or a table of names, column ``repository``)."""
     # Plain predicates on non-key columns only: Catalyst then sees a selective
     # filter and prunes the repository partitions of the inventory dynamically
     # (a predicate on the key itself, such as ``repository <> 'TOTAL'``, is
@@ -43,18 +43,20 @@ def scope_repositories(repositories: DataFrame, scope: list[str] | None = None)
     cat = INV.catalogue(repositories)
     rep = cat.where((F.col("repo_type") == "LOCAL") & C.is_supported_type("package_type"))
     rep = rep.select("repository", "package_type")
-    if scope is not None:
+    if isinstance(scope, DataFrame):
+        rep = rep.join(scope.select("repository"), "repository", "left_semi")
+    elif scope is not None:
         rep = rep.where(F.col("repository").isin(list(scope)))
     return rep
 
 
-def in_scope(inv: DataFrame, repositories: DataFrame, scope: list[str] | None = None,
+def in_scope(inv: DataFrame, repositories: DataFrame, scope: list[str] | DataFrame | None = None,
              scope_df: DataFrame | None = None) -> DataFrame:
     """Inventory rows of in-scope repositories (small broadcast semi join; with a
     partitioned inventory and a literal list the filter also prunes directories).
     ``scope_df``: an already size-checked scope table to reuse."""
-    if scope is not None:
-        inv = inv.where(F.col("repository").isin(list(scope)))
+    if isinstance(scope, list):
+        inv = inv.where(F.col("repository").isin(scope))
     reps = scope_df if scope_df is not None else bounded_broadcast(scope_repositories(repositories, scope))
     return inv.join(reps.select("repository"), "repository", "left_semi")
 
@@ -74,13 +76,14 @@ def versions_with_stats(inv: DataFrame, types: DataFrame | None = None) -> DataF
     stats = [
         F.count_if(copy).cast("bigint").alias("n_files"),
         F.coalesce(F.sum(F.when(copy, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
+        INV.slots_of().alias("slots"),
     ]
-    v = inv.where(F.col("version").isNotNull())
+    v = INV.with_slot(inv).where(F.col("version").isNotNull())
     if types is None:
         return v.groupBy("repository", "package_type", "package", "version").agg(*stats)
     agg = v.groupBy("repository", "package", "version").agg(*stats)
     return agg.join(types.select("repository", "package_type"), "repository", "inner").select(
-        "repository", "package_type", "package", "version", "n_files", "copy_bytes")
+        "repository", "package_type", "package", "version", "n_files", "copy_bytes", "slots")
 
 
 def with_endpoint(df: DataFrame, endpoints: DataFrame | None, host: str = DRYRUN_HOST) -> DataFrame:
@@ -90,7 +93,7 @@ def with_endpoint(df: DataFrame, endpoints: DataFrame | None, host: str = DRYRUN
     return df.join(bounded_broadcast(endpoints.select("repository", "endpoint")), "repository", "left")
 
 
-def plan(inputs: Inputs, scope: list[str] | None = None, use_ledger: bool = True) -> DataFrame:
+def plan(inputs: Inputs, scope: list[str] | DataFrame | None = None, use_ledger: bool = True) -> DataFrame:
     """One row per version in scope with its state and decision.
 
     Order of the joins: versions (aggregated on the ledger key) -> ledger
@@ -105,50 +108,20 @@ def plan(inputs: Inputs, scope: list[str] | None = None, use_ledger: bool = True
     return R.decide(R.version_state(marked, inputs.target_versions))
 
 
-# A version with at least this many files is split over salt buckets in plan_files.
-HOT_VERSION_FILES = 50_000
-
-
-def plan_files(plan_df: DataFrame, inv: DataFrame, hot_files: int = HOT_VERSION_FILES,
-               salt_buckets: int | None = None) -> DataFrame:
+def plan_files(plan_df: DataFrame, inv: DataFrame) -> DataFrame:
     """Files to copy for each version the plan publishes.
 
-    Inner equi-join on (repository, package, version).  A version with
-    ``hot_files`` files to copy or more is a hot key on the file side, so the
-    join key gets a salt: the hot
-    version's files spread over ``salt_buckets`` buckets by a hash of their
-    path, and its one plan row is repeated once per bucket.  Every other key
-    keeps salt 0.  The hot-version list is at most ``total files / hot_files``
-    rows and is broadcast behind a size check (one bounded count over a
-    partial aggregate of the files); beyond the bound the join runs unsalted
-    and AQE's skew join is left to split the partition.
+    Inner equi-join on (repository, package, version, slot).  A version of very many files would be a hot key, so each
+    file carries a slot (a stored column of the inventory, by a hash of its path) and the plan's own aggregate has noted
+    which slots a version's files fall into (``slots``, the bits of a long).  The plan row is repeated once for each of
+    them: never more often than the version has files, and a hot version's files spread over up to ``INV.SLOTS`` keys.
+    No size decides anything, and nothing is counted for it.
     """
-    keys = ["repository", "package", "version"]
-    cols = ["repository", "package", "version", "decision", "namespace", "target_package"]
-    todo_all = R.to_copy(plan_df)
-    files = INV.version_files(inv)
-    n = salt_buckets or int(plan_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # hot versions straight from the files (scan + partial aggregate), so the
-    # check never re-evaluates the plan's joins; salting a version the plan
-    # then skips costs nothing
-    hot = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_files).select(*keys)
-    n_hot = hot.limit(DEFAULT_MAX_BROADCAST_ROWS + 1).count() if n > 1 else 0
-    if n_hot == 0 or n_hot > DEFAULT_MAX_BROADCAST_ROWS:   # nothing hot, or left to AQE
-        return files.join(todo_all.select(*cols), keys, "inner")
-    hot_b = F.broadcast(hot).withColumn("_hot", F.lit(True))   # size checked just above
-    salted_files = (
-        files.join(hot_b, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("uri"), F.lit(n).cast("bigint")))
-                    .otherwise(F.lit(0).cast("bigint")))
-        .drop("_hot")
-    )
-    salted_todo = (
-        todo_all.select(*cols).join(hot_b, keys, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-                                       .otherwise(F.array(F.lit(0).cast("bigint")))))
-        .drop("_hot")
-    )
-    return salted_files.join(salted_todo, keys + ["_salt"], "inner").drop("_salt")
+    keys = ["repository", "package", "version", "slot"]
+    slots = F.filter(F.sequence(F.lit(0), F.lit(INV.SLOTS - 1)), lambda i: F.getbit("slots", i) == 1)
+    todo = R.to_copy(plan_df).select(
+        "repository", "package", "version", "decision", "namespace", "target_package", F.explode(slots.cast("array<tinyint>")).alias("slot"))
+    return INV.version_files(INV.with_slot(inv), "slot").join(todo, keys, "inner").drop("slot")
 
 
 def plan_summary(plan_df: DataFrame) -> DataFrame:
@@ -200,37 +173,63 @@ def actions(plan_df: DataFrame) -> DataFrame:
 
 # --- requests (L2) -------------------------------------------------------------------------
 
-def require_valid_requests(inputs: Inputs, requests: DataFrame, sample: int = 20) -> None:
+def require_valid_requests(inputs: Inputs, requests: DataFrame) -> None:
     """Strict mode of L2 (2.14 #26): raise on an unknown repository, a
     malformed or blank-version entry, or a package found neither in the ledger
     nor in the source -- the cases where the source tool aborted.  Without it
-    such entries are rows with a ``kind`` / ``found`` flag."""
+    such entries are rows with a ``kind`` / ``found`` flag.  The message tells how many there are and names a few."""
     from ..operators import requests as RQ
 
-    R.require_known(R.check_requested_repositories(requests, inputs.repositories), sample)
+    R.require_known(R.check_requested_repositories(requests, inputs.repositories))
     parsed = RQ.parse_requests(requests)
-    bad = parsed.where(F.col("kind").isin("malformed", "blank_version")).select("request_id", "token").take(sample)
-    if bad:
-        raise ValueError("malformed requests: " + ", ".join(f"{r['request_id']}:{r['token']!r}" for r in bad))
-    keys = bounded_broadcast(parsed.where(F.col("kind") != "empty").select("repository", "package").distinct())
-    inv = inputs.inventory.join(keys, ["repository", "package"], "left_semi")
-    led = inputs.ledger_packages.join(keys, ["repository", "package"], "left_semi") if inputs.ledger_packages is not None else None
-    m = RQ.match_requests(parsed.where(F.col("kind") != "empty"), led, INV.packages(inv))
-    missing = m.where(~F.col("found")).select("repository", "package").take(sample)
-    if missing:
-        raise ValueError("packages not found: " + ", ".join(f"{r['repository']}/{r['package']}" for r in missing))
+    R.refuse_rows(parsed.where(F.col("kind").isin("malformed", "blank_version")).select(F.concat_ws(":", "request_id", "token")), "malformed requests")
+    asked = parsed.where(F.col("kind") != "empty")
+    m = RQ.match_requests(asked, inputs.ledger_packages, INV.packages(inputs.inventory))
+    R.refuse_rows(m.where(~F.col("found")).select(F.concat_ws("/", "repository", "package")), "packages not found")
+
+
+# --- versions by key: listing, ledger and requests in one aggregate -------------------------
+
+VERSION_KEY = ["repository", "package", "version"]
+
+
+def version_facts(inv: DataFrame, ledger_versions: DataFrame | None = None, named: DataFrame | None = None) -> DataFrame:
+    """What is known of each (repository, package, version), by one aggregate over the rows of all sides.
+
+    Files (``in_source``, ``n_files``, ``copy_bytes``, ``slots``), ledger rows (``in_ledger``, ``ledger_published``) and
+    versions that requests name (``named``) are put under one another and grouped once: one shuffle, files combined
+    before it, no join between the sides.  Files without a version have a row with version NULL, which tells that the
+    source knows the package.
+    """
+    no, yes, key = F.lit(False), F.lit(True), [F.col(c) for c in VERSION_KEY]
+
+    def side(df, copy=no, size=F.lit(None).cast("bigint"), slot=F.lit(None).cast("tinyint"), source=no, ledger=no, published=no, by_name=no):
+        return df.select(*key, copy.alias("copy"), size.alias("size_bytes"), slot.alias("slot"), source.alias("in_source"),
+                         ledger.alias("in_ledger"), published.alias("ledger_published"), by_name.alias("named"))
+
+    rows = side(INV.with_slot(inv).where(F.col("package").isNotNull()), F.col("copy"), F.col("size_bytes"), F.col("slot"), source=yes)
+    if ledger_versions is not None:
+        rows = rows.unionByName(side(ledger_versions, ledger=yes, published=F.coalesce(F.col("published") == 1, no)))
+    if named is not None:
+        rows = rows.unionByName(side(named, by_name=yes))
+    return rows.groupBy(*VERSION_KEY).agg(
+        F.count_if("copy").cast("bigint").alias("n_files"),
+        F.coalesce(F.sum(F.when(F.col("copy"), F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
+        INV.slots_of().alias("slots"),
+        *[F.bool_or(c).alias(c) for c in ("in_source", "in_ledger", "ledger_published", "named")],
+    )
 
 
 def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) -> DataFrame:
-    """L2: plan for user requests (B17 -> D7 -> versions -> L1).
-
-    A request list is small next to the inventory: its distinct (repository,
-    package) keys are broadcast behind a size check and semi-joined into the
-    inventory and ledger scans, so only the files of requested packages are
-    read past the scan.  One aggregation of those files on (repository,
-    package, version) -- version NULL for files that name no version -- gives
-    both the packages the source knows (D7) and the versions with their stats.
-    Beyond the size bound the same semi joins run as shuffle joins.
+    """L2: plan for user requests (B17 -> D7 -> versions -> L1), each version once however many requests ask for it.
+
+    ``by_name`` / ``by_package`` tell whether some entry names the version or asks for all versions of its package;
+    ``request_links`` leads from requests to versions.  An entry counts when the ledger or the source knows its package
+    (D7).  All versions of a package are those of the ledger where it has fetched them all (K6) and none where it has
+    published them all (K12), else those of the listing.
+
+    One aggregate gives the versions (``version_facts``), one over its rows, the ledger's packages and the entries gives
+    what holds for a package; the first one's shuffle is reused.  Nothing is hinted or counted beforehand.
     """
     from ..operators import requests as RQ
 
@@ -238,30 +237,37 @@ def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) ->
         require_valid_requests(inputs, requests)
     scope = bounded_broadcast(scope_repositories(inputs.repositories))
     parsed = RQ.parse_requests(requests)
-    keys = bounded_broadcast(parsed.select("repository", "package").distinct())
-    inv = (
-        in_scope(inputs.inventory, inputs.repositories, scope_df=scope)
-        .join(keys, ["repository", "package"], "left_semi")
-    )
-    copy = F.col("copy")
-    per_version = inv.groupBy("repository", "package", "version").agg(
-        F.count_if(copy).cast("bigint").alias("n_files"),
-        F.coalesce(F.sum(F.when(copy, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
-    )
-    src_packages = per_version.select("repository", "package").distinct()
-    stats = per_version.where(F.col("version").isNotNull())
-    led_pk = None
+    one = parsed.where(F.col("kind") == "one_version")
+    facts = version_facts(in_scope(inputs.inventory, inputs.repositories, scope_df=scope), inputs.ledger_versions, one.select(*VERSION_KEY))
+
+    no = F.lit(False)
+
+    def about(df, source=no, ledger=no, fetched=no, done=no, whole=no):
+        return df.select("repository", "package", source.alias("_source"), ledger.alias("_ledger"), fetched.alias("_fetched"), done.alias("_done"), whole.alias("_whole"))
+
+    packages = about(facts, source=F.col("in_source")).unionByName(about(parsed.where(F.col("kind") == "all_versions"), whole=F.lit(True)))
     if inputs.ledger_packages is not None:
-        led_pk = inputs.ledger_packages.join(keys, ["repository", "package"], "left_semi")
-    matched = RQ.match_requests(parsed, led_pk, src_packages)
-    wanted = RQ.requested_versions(matched, stats, scope)
-    wanted = wanted.join(stats, ["repository", "package", "version"], "left").select(
-        "request_id", "repository", "package_type", "package", "version",
-        F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
-        F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
-    )
-    marked = R.mark_ledger_published(wanted, inputs.ledger_versions)
-    return R.decide(R.version_state(marked, inputs.target_versions))
+        packages = packages.unionByName(about(inputs.ledger_packages, ledger=F.lit(True), fetched=F.coalesce(F.col("all_versions_fetched") == 1, no),
+                                              done=F.coalesce(F.col("all_versions_published") == 1, no)))
+    packages = packages.groupBy("repository", "package").agg(*[F.bool_or(c).alias(c) for c in ("_source", "_ledger", "_fetched", "_done", "_whole")])
+    found = facts.where(F.col("version").isNotNull()).join(packages.where("_source or _ledger"), ["repository", "package"], "inner")
+    by_package = F.col("_whole") & ~F.col("_done") & F.when(F.col("_fetched"), F.col("in_ledger")).otherwise(F.col("in_source"))
+    wanted = found.withColumn("by_package", by_package).withColumnRenamed("named", "by_name").where("by_name or by_package")
+    rows = wanted.join(scope, "repository", "inner").select(
+        *VERSION_KEY, "package_type", "n_files", "copy_bytes", "slots", "ledger_published", "by_name", "by_package")
+    return R.decide(R.version_state(rows, inputs.target_versions))
+
+
+def request_links(plan_df: DataFrame, requests: DataFrame) -> DataFrame:
+    """From each request entry to the versions that ``requested_plan`` plans for it: ``request_id``, ``pos`` and the key."""
+    from ..operators import requests as RQ
+
+    parsed = RQ.parse_requests(requests)
+    named = parsed.where(F.col("kind") == "one_version").join(plan_df.where("by_name").select(*VERSION_KEY), VERSION_KEY, "inner")
+    whole = (parsed.where(F.col("kind") == "all_versions").drop("version")
+             .join(plan_df.where("by_package").select(*VERSION_KEY), ["repository", "package"], "inner"))
+    columns = ["request_id", "pos", *VERSION_KEY]
+    return named.select(*columns).unionByName(whole.select(*columns))
 
 
 # --- resume (L7) ---------------------------------------------------------------------------
@@ -274,66 +280,48 @@ def package_flags(ledger_packages: DataFrame) -> DataFrame:
     )
 
 
-def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame, drop_done: bool = False) -> DataFrame:
-    """H2: versions from the ledger for packages it marks fetched, from the
-    listing for every other package.
+def sourced_versions(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFrame:
+    """H2: each version with its ``source``: the ledger for packages it marks fetched (K6), the listing for others.
 
-    One join of each side to the package flags on (repository, package) routes
-    the versions (and, with ``drop_done``, drops packages marked all-published,
-    K12).  The two branches are disjoint by package; ledger versions are unique
-    per key (``ledger.current``), so no DISTINCT is needed.
-    ``scope``: in-scope repositories with their package type (small, size-checked).
+    In a repository that the ledger marks fetched (K7) only the ledger's packages count.  One aggregate over files and
+    ledger rows (``version_facts``), then the package and repository flags.  ``done``: the package is all-published (K12).
+    ``scope``: in-scope repositories with their package type (one row per repository, size-checked).
     """
-    listed = INV.versions(inv)
+    facts = version_facts(inv, inputs.ledger_versions).where(F.col("version").isNotNull())
+    rows = facts.join(scope.select("repository", "package_type"), "repository", "inner")
     if inputs.ledger_packages is None or inputs.ledger_versions is None:
-        return listed.withColumn("source", F.lit("listing"))
-    flags = package_flags(inputs.ledger_packages)
-    fetched, done = F.coalesce(F.col("fetched"), F.lit(False)), F.coalesce(F.col("done"), F.lit(False))
-    keep = ~done if drop_done else F.lit(True)
-    fresh = (
-        listed.join(flags, ["repository", "package"], "left")
-        .where(~fetched & keep)
-        .select("repository", "package_type", "package", "version", F.lit("listing").alias("source"))
-    )
-    from_ledger = (
-        inputs.ledger_versions.select("repository", "package", "version")
-        .join(scope.select("repository", "package_type"), "repository", "inner")
-        .join(flags, ["repository", "package"], "inner")
-        .where(fetched & keep)
-        .select("repository", "package_type", "package", "version", F.lit("ledger").alias("source"))
-    )
-    return fresh.unionByName(from_ledger)
+        return rows.where("in_source").withColumn("source", F.lit("listing")).withColumn("done", F.lit(False))
+    rows = rows.join(package_flags(inputs.ledger_packages).withColumn("_known", F.lit(True)), ["repository", "package"], "left")
+    if inputs.ledger_repositories is not None:
+        listed = inputs.ledger_repositories.where(F.col("all_versions_fetched") == 1).select("repository").distinct().withColumn("_listed", F.lit(True))
+        rows = rows.join(bounded_broadcast(listed), "repository", "left").where(F.col("_known") | F.col("_listed").isNull())
+    fetched = F.coalesce(F.col("fetched"), F.lit(False))
+    return (rows.where(F.when(fetched, F.col("in_ledger")).otherwise(F.col("in_source")))
+            .withColumn("source", F.when(fetched, F.lit("ledger")).otherwise(F.lit("listing")))
+            .withColumn("done", F.coalesce("done", F.lit(False))))
+
 
+def version_source(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFrame:
+    """H2 as a table: ``repository, package_type, package, version, source``."""
+    return sourced_versions(inputs, inv, scope).select("repository", "package_type", "package", "version", "source")
 
-def resume_plan(inputs: Inputs, scope: list[str] | None = None) -> DataFrame:
-    """Only the work still open after earlier runs.
 
-    K8 drops repositories the ledger marks all-published (before anything is
-    joined), H2 takes versions from the ledger where it has them and K12 drops
-    packages marked all-published (one join to the package flags), D5 drops
-    versions published in the ledger; what is left is planned against the
-    target and only open decisions kept.
+def resume_plan(inputs: Inputs, scope: list[str] | DataFrame | None = None) -> DataFrame:
+    """Only the work still open after earlier runs, in one pass over the inventory.
+
+    K8 drops repositories the ledger marks all-published before the scan (their folders are pruned); then one aggregate
+    gives listing and ledger versions with their files (H2, K6, K7), packages marked all-published (K12) and versions
+    published in the ledger (D5) drop out, and what is left is planned against the target; only open decisions are kept.
     """
     from ..operators import ledger as LG
 
-    names = scope
-    scope = scope_repositories(inputs.repositories, names)
+    reps = scope_repositories(inputs.repositories, scope)
     if inputs.ledger_repositories is not None:
-        scope = LG.open_repositories(scope, inputs.ledger_repositories)
-    scope = bounded_broadcast(scope)
-    inv = inputs.inventory
-    if names is not None:
-        inv = inv.where(F.col("repository").isin(list(names)))
-    inv = inv.join(scope.select("repository"), "repository", "left_semi")
-    src = version_source(inputs, inv, scope, drop_done=True)
-    if inputs.ledger_versions is not None:
-        src = R.pending_versions(src, inputs.ledger_versions)
-    stats = versions_with_stats(inv, scope)
-    src = src.join(stats.drop("package_type"), ["repository", "package", "version"], "left").select(
-        "repository", "package_type", "package", "version", "source",
-        F.coalesce("n_files", F.lit(0)).cast("bigint").alias("n_files"),
-        F.coalesce("copy_bytes", F.lit(0)).cast("bigint").alias("copy_bytes"),
-    )
+        reps = LG.open_repositories(reps, inputs.ledger_repositories)
+    reps = bounded_broadcast(reps)
+    inv = in_scope(inputs.inventory, inputs.repositories, scope if isinstance(scope, list) else None, reps)
+    src = sourced_versions(inputs, inv, reps).where(~F.col("done") & ~F.col("ledger_published")).select(
+        "repository", "package_type", "package", "version", "source", "n_files", "copy_bytes", "slots")
     planned = R.decide(R.version_state(R.mark_ledger_published(src, None), inputs.target_versions))
     return planned.where(F.col("decision") != "skip_published")
 

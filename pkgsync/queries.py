@@ -22,6 +22,7 @@ from .operators import reconcile as R
 from .operators import requests as RQ
 from .operators import transfer as TR
 from .operators.joins import bounded_broadcast
+from .operators.ledger_store import LedgerStore
 from .plans import migration as M
 from .session import apply_conf, local_dir, scratch_path
 from .sources import dumps as DU
@@ -211,12 +212,42 @@ def q_copy_artifacts(spark, sf_dir):
 
 @query("ledger_clean")
 def q_ledger_clean(spark, sf_dir):
-    """Wipe the ledger -> the versions table written empty and read back."""
+    """Versions per repository in the written ledger, and all that is left of them after the wipe."""
     c = _ctx(spark, sf_dir)
-    root = scratch_path(spark, "ledger")
+    root, before = scratch_path(spark, "ledger"), scratch_path(spark, "ledger-before")
     LG.write_snapshot(c.fx_ledger_versions, f"{root}/versions")
+    read = lambda: spark.read.schema(LG.LEDGER_VERSIONS).parquet(f"{root}/versions")
+    read().groupBy(F.lit("before").alias("moment"), "repository").agg(F.count(F.lit(1)).alias("n_versions")).write.parquet(before)
     LG.clean(spark, root)
-    return spark.read.schema(LG.LEDGER_VERSIONS).parquet(f"{root}/versions")
+    after = read().agg(F.lit("after").alias("moment"), F.lit("").alias("repository"), F.count(F.lit(1)).alias("n_versions"))
+    return spark.read.parquet(before).unionByName(after)
+
+
+def _store_after_failures(spark, sf_dir):
+    """A store whose first snapshot is the fixture's ledger and whose second has the failed uploads, and that snapshot."""
+    c = _ctx(spark, sf_dir)
+    store = LedgerStore(spark, scratch_path(spark, "store"))
+    store.create_if_absent({"versions": c.fx_ledger_versions, "packages": c.fx_ledger_packages, "repositories": c.fx_ledger_repositories})
+    old, errors = store.read(), LG.publish_errors(c.fx_responses)
+    return store, store.append({
+        "versions": LG.mark_errors(LG.mark_failed(old["versions"], errors), errors),
+        "packages": LG.mark_packages_published(old["packages"], LG.package_rollup(old["versions"])),
+        "repositories": LG.mark_repositories_failed(old["repositories"], errors),
+    })
+
+
+@query("ledger_delta")
+def q_ledger_delta(spark, sf_dir):
+    """what a run appends to the ledger store: only the version rows that it changed."""
+    store, snap = _store_after_failures(spark, sf_dir)
+    return store.part(snap.deltas[-1], "versions")
+
+
+@query("ledger_merged")
+def q_ledger_merged(spark, sf_dir):
+    """A10 / F2: the versions table read as base and delta merged."""
+    store, snap = _store_after_failures(spark, sf_dir)
+    return store.read(snap)["versions"]
 
 
 @query("migration_plan")
@@ -648,10 +679,9 @@ def q_npm_attachment(spark, sf_dir):
 
 @query("ledger_refresh")
 def q_ledger_refresh(spark, sf_dir):
-    """Refresh the repositories named in requests."""
+    """Refresh the repositories in scope."""
     c = _ctx(spark, sf_dir)
-    return LG.refresh_repositories(LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_ledger_repositories),
-                                   c.fx_requests.select("repository"))
+    return LG.refresh_repositories(LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_ledger_repositories), c.fx_scope)
 
 
 @query("ledger_mark_fetched")
@@ -745,7 +775,7 @@ def q_fetched_packages(spark, sf_dir):
 @query("fetched_repositories")
 def q_fetched_repositories(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    led = LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_requests.select("repository"))
+    led = LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_scope)
     return LG.with_flag(led, "all_versions_fetched").select("repository")
 
 
@@ -792,30 +822,36 @@ def q_migration_actions(spark, sf_dir):
     return M.actions(_ctx(spark, sf_dir).plan())
 
 
+REQUESTED_COLS = [*PLAN_COLS, "by_name", "by_package"]
+
+
 @query("requested_plan")
 def q_requested_plan(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    p = M.requested_plan(c.inputs(), c.fx_requests)
-    return p.select("request_id", *PLAN_COLS)
+    return M.requested_plan(c.inputs(), c.fx_requests).select(*REQUESTED_COLS)
+
+
+@query("request_links")
+def q_request_links(spark, sf_dir):
+    """L2: from each request entry to the versions planned for it."""
+    c = _ctx(spark, sf_dir)
+    path = scratch_path(spark, "requested")
+    M.write_plan(M.requested_plan(c.inputs(), c.fx_requests), path)
+    return M.request_links(spark.read.parquet(path), c.fx_requests)
 
 
 @query("repository_plan")
 def q_repository_plan(spark, sf_dir):
-    """L4: plan for the repositories named in requests (scope taken from data)."""
+    """L4: plan for named repositories (here a table of names)."""
     c = _ctx(spark, sf_dir)
-    named = c.fx_requests.select("repository").distinct()
-    inv = c.inventory().join(named, "repository", "left_semi")
-    inputs = c.inputs()
-    inputs.inventory = inv
-    return M.plan(inputs).select(*PLAN_COLS)
+    return M.plan(c.inputs(), scope=c.fx_scope).select(*PLAN_COLS)
 
 
 @query("post_check")
 def q_post_check(spark, sf_dir):
-    """Check the plan's published versions against a fresh target snapshot
-    (here: the target as it is, i.e. a dry run that copied nothing)."""
+    """Check the plan's published versions against a fresh target snapshot."""
     c = _ctx(spark, sf_dir)
-    return M.post_check(c.plan(), c.fx_target)
+    return M.post_check(c.plan(), c.fx_fresh_target)
 
 
 @query("resume_plan")

@@ -9,6 +9,10 @@ hold every row; target and ledger hold no docker rows (t = 3), a type that the
 source tool refuses, and the metadata of a format only the rows of that type.
 Requests of what the source has no file of (docker, and rows that are only
 metadata) name a version, so that whole-package requests are of known packages.
+The target lacks one repository and the ledger another; the ledger has two
+repositories all published and one of them marked so, some packages fetched or
+done, and only some repositories with a failure.  ``fx_scope`` names a third of
+the repositories, ``fx_fresh_target`` is the target after a run.
 """
 
 from __future__ import annotations
@@ -73,34 +77,56 @@ FROM (SELECT repository, version, l_orderkey,
         CASE t WHEN 0 THEN 'maven' WHEN 1 THEN 'pypi' ELSE 'npm' END AS format,
         CASE t WHEN 0 THEN replace(grp, '/', '.') WHEN 2 THEN scope ELSE '' END AS namespace,
         CASE t WHEN 1 THEN replace(lower(name), '_', '-') ELSE name END AS package
-      FROM fx_base WHERE t <> 3 AND l_orderkey % 3 <> 0) x
+      FROM fx_base WHERE t <> 3 AND l_orderkey % 3 <> 0 AND repository <> 'repo-8') x
 GROUP BY repository, format, namespace, package, version
 """,
         ("fx_base",),
     ),
+    "fx_fresh_target": (
+        """
+SELECT repository, format, namespace, package, version,
+       CASE WHEN min(l_orderkey) % 5 = 2 THEN 'Unfinished' ELSE 'Published' END AS status
+FROM (SELECT repository, version, l_orderkey,
+        CASE t WHEN 0 THEN 'maven' WHEN 1 THEN 'pypi' ELSE 'npm' END AS format,
+        CASE t WHEN 0 THEN replace(grp, '/', '.') WHEN 2 THEN scope ELSE '' END AS namespace,
+        CASE t WHEN 1 THEN replace(lower(name), '_', '-') ELSE name END AS package
+      FROM fx_base WHERE t <> 3 AND l_orderkey % 7 <> 0) x
+GROUP BY repository, format, namespace, package, version
+""",
+        ("fx_base",),
+    ),
+    "fx_scope": (
+        """
+SELECT concat('repo-', CAST(n_nationkey AS STRING)) AS repository FROM nation WHERE n_nationkey % 3 = 0
+""",
+        (),
+    ),
     "fx_ledger_versions": (
         """
 SELECT repository, package, version,
-       CASE WHEN min(l_orderkey) % 5 IN (0, 1) THEN 0 ELSE 1 END AS published,
-       CASE WHEN min(l_orderkey) % 5 = 0 THEN 1 ELSE 0 END AS publish_failed,
-       CASE WHEN min(l_orderkey) % 5 = 0 THEN '400, Bad Request, rejected' ELSE '' END AS publish_error
+       CASE WHEN repository IN ('repo-4', 'repo-13') THEN 1 WHEN min(l_orderkey) % 5 IN (0, 1) THEN 0 ELSE 1 END AS published,
+       CASE WHEN repository IN ('repo-4', 'repo-13') THEN 0 WHEN min(l_orderkey) % 5 = 0 THEN 1 ELSE 0 END AS publish_failed,
+       CASE WHEN repository IN ('repo-4', 'repo-13') THEN '' WHEN min(l_orderkey) % 5 = 0 THEN '400, Bad Request, rejected' ELSE '' END AS publish_error
 FROM (SELECT repository, version, l_orderkey,
         CASE t WHEN 0 THEN concat(grp, '/', name) WHEN 2 THEN concat('@', scope, '/', name) ELSE name END AS package
-      FROM fx_base WHERE t <> 3 AND l_orderkey % 2 = 0) x
+      FROM fx_base WHERE t <> 3 AND l_orderkey % 2 = 0 AND repository <> 'repo-12') x
 GROUP BY repository, package, version
 """,
         ("fx_base",),
     ),
     "fx_ledger_packages": (
         """
-SELECT repository, package, 1 AS all_versions_fetched, 0 AS all_versions_published
+SELECT repository, package,
+       CASE WHEN repository IN ('repo-4', 'repo-9') OR length(package) % 3 <> 0 THEN 1 ELSE 0 END AS all_versions_fetched,
+       CASE WHEN length(package) % 2 = 0 THEN min(published) ELSE 0 END AS all_versions_published
 FROM fx_ledger_versions GROUP BY repository, package
 """,
         ("fx_ledger_versions",),
     ),
     "fx_ledger_repositories": (
         """
-SELECT repository, 0 AS all_versions_fetched, 0 AS all_versions_published, max(publish_failed) AS publish_failed
+SELECT repository, CASE WHEN repository IN ('repo-1', 'repo-4') THEN 1 ELSE 0 END AS all_versions_fetched,
+       CASE WHEN repository = 'repo-4' THEN 1 ELSE 0 END AS all_versions_published, max(publish_failed) AS publish_failed
 FROM fx_ledger_versions GROUP BY repository
 """,
         ("fx_ledger_versions",),

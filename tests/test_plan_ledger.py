@@ -194,9 +194,9 @@ def test_waves_split_a_hot_repository(spark):
     assert max(sizes) < 1.5 * n / 8          # no task holds the hot repository whole
 
 
-def test_plan_files_salts_hot_versions(spark):
-    """A version holding a third of all copy files: salted join gives the same rows,
-    spread over the salt buckets instead of one task."""
+def test_plan_files_spread_a_hot_version(spark):
+    """A version holding a third of all copy files: the same rows as a plain join, spread over the slots, and the plan
+    reads each table no more often than the plain join."""
     fx = Fixtures(spark, "/root/testdata/sf0.01")
     inv = INV.inventory(fx.fx_files.select("repository", "uri", "size_bytes"), fx.fx_repositories)
     mv = F.col("package_type") == "maven"
@@ -209,11 +209,10 @@ def test_plan_files_salts_hot_versions(spark):
     inputs = M.Inputs(inv, fx.fx_repositories, fx.fx_target)
     plan = M.plan(inputs)
     scoped = M.in_scope(inv, fx.fx_repositories)
-    plain = M.plan_files(plan, scoped, hot_files=10**12)
-    salted = M.plan_files(plan, scoped, hot_files=1000, salt_buckets=8)
     cols = ["repository", "package", "version", "uri", "decision"]
-    a, b = sorted(plain.select(*cols).collect()), sorted(salted.select(*cols).collect())
-    assert a == b
+    plain = INV.version_files(scoped).join(R.to_copy(plan).select("repository", "package", "version", "decision"), ["repository", "package", "version"])
+    a = sorted(plain.select(*cols).collect())
+    assert sorted(M.plan_files(plan, scoped).select(*cols).collect()) == a
     hot_rows = [r for r in a if r["package"] == "org/hot/lib"]
     assert len(hot_rows) * 3 >= len(a)
     # as at scale (no broadcast of the plan side, no coalescing): the hot version's
@@ -224,8 +223,7 @@ def test_plan_files_salts_hot_versions(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        salted = M.plan_files(plan, scoped, hot_files=1000, salt_buckets=8)
-        parts = (salted.where(F.col("package") == "org/hot/lib").groupBy(F.spark_partition_id().alias("p"))
+        parts = (M.plan_files(plan, scoped).where(F.col("package") == "org/hot/lib").groupBy(F.spark_partition_id().alias("p"))
                  .count().collect())
     finally:
         for k, v in old.items():
@@ -233,7 +231,27 @@ def test_plan_files_salts_hot_versions(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert len(parts) >= 4 and max(r["count"] for r in parts) < 0.5 * len(hot_rows)
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 0.25 * len(hot_rows)
+    # the plan row is repeated at most once per file
+    rows = plan.where(F.col("n_files") > 0).select(F.bit_count("slots").alias("slots"), "n_files").collect()
+    assert all(1 <= r["slots"] <= min(r["n_files"], INV.SLOTS) for r in rows)
+
+
+def test_requested_plan_holds_each_version_once(spark):
+    """Also where a third of the requests ask for one package, by name and as a whole; the links lead to all of them."""
+    fx, inputs = _inputs(spark)
+    hot = fx.fx_ledger_packages.where("all_versions_fetched = 1 and all_versions_published = 0").orderBy("repository", "package").first()
+    many = fx.fx_requests.unionByName(spark.range(3000).select(
+        (-1 - F.col("id")).alias("request_id"), F.lit(hot["repository"]).alias("repository"), F.lit(hot["package"]).alias("packages")))
+    plan = M.requested_plan(inputs, many).cache()
+    assert plan.count() == plan.select("repository", "package", "version").distinct().count()
+    links = M.request_links(plan, many)
+    ledger = fx.fx_ledger_versions.where((F.col("repository") == hot["repository"]) & (F.col("package") == hot["package"])).select("version")
+    got = links.where(F.col("request_id") == -1).select("version")
+    assert sorted(got.collect()) == sorted(ledger.collect())                     # K6: from the ledger, not the listing
+    assert links.join(plan, ["repository", "package", "version"], "left_anti").count() == 0
+    done = fx.fx_ledger_packages.where("all_versions_published = 1").select("repository", "package")
+    assert done.count() > 0 and plan.where("by_package").join(done, ["repository", "package"], "left_semi").count() == 0   # K12
 
 
 def test_requests_and_responses_hold_every_type_with_the_ledger_key(spark):
@@ -254,6 +272,7 @@ def test_ledger_marks_meet_rows_and_clean_wipes_what_was_written(spark, monkeypa
     fx, _ = _inputs(spark)
     marked = Q.QUERIES["ledger_mark_errors"](spark, SF)
     assert marked.where(F.col("publish_error").contains(", order ")).count() > 0
-    assert Q.QUERIES["ledger_clean"](spark, SF).count() == 0
+    left = lambda: Q.QUERIES["ledger_clean"](spark, SF).where("moment = 'after'").first()["n_versions"]
+    assert left() == 0
     monkeypatch.setattr(Q.LG, "clean", lambda *_: None)                # without the wipe the ledger is still there
-    assert Q.QUERIES["ledger_clean"](spark, SF).count() == fx.fx_ledger_versions.count()
+    assert left() == fx.fx_ledger_versions.count()
