@@ -13,8 +13,9 @@
    the sets' difference) and then verified on the whole sets.
 
 Large groups of near copies: index entries with many classes are joined to groups and give no pair list at first, but
-a spanning forest of each group's plausible pairs, nearest sketches first.  Verified links make components; then only plausible pairs that still
-join two components are verified, so that the components are exact and no group is written out as all its pairs.
+a spanning forest of each group's plausible pairs, nearest sketches first.  Verified links make components; then only
+plausible pairs that still join two components are verified, inside the task that finds them, which gives back the links
+that join.  So the components are exact and no group is ever written out as all its pairs, linked or not.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from .components import components
 FREQUENT, SMALL = 32, 2
 #: Bytes of a sketch; classes of an index entry handled in one task against another such part.
 SKETCH, BLOCK = 64, 512
+#: Tokens of such a part; buckets of the histograms that pairs meet by before their sets; pairs compared in one step.
+TOKENS, FINE, STEP = 4_000_000, 1024, 4096
 #: Classes that meet all others of a part in one step.
 ROWS = 16
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -219,51 +222,125 @@ def forest(i: np.ndarray, j: np.ndarray, gap: np.ndarray, label: np.ndarray) ->
         a, b = parent[a], parent[b]
 
 
-def group_pairs(groups: DataFrame, percent: int, every: bool, partitions: int) -> DataFrame:
-    """Plausible pairs of groups of classes: a spanning forest of each, or with ``every`` all that join two labels.
+def parts_of(batches, names: list[str]):
+    """Rows of one (lead, part) at a time, as arrays, from batches sorted by these; ``sketch`` as a matrix."""
+    held, key = [], None
 
-    ``groups``: lead, part (a pair of a group's blocks), cls, n, sketch, label.  A task sees one part of a group at a
-    time, at most about 2 * BLOCK classes.
+    def part():
+        t = pa.Table.from_batches(held)
+        out = {c: t[c].to_numpy() for c in names if c not in ("sketch", "tokens")}
+        out["n"] = out["n"].astype(np.int64)
+        out["h"] = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+        if "tokens" in names:
+            out["tokens"] = [np.frombuffer(x.as_buffer(), np.uint64) for c in t["tokens"].chunks for x in c]
+        return out
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        lead, number = b["lead"].to_numpy(), b["part"].to_numpy()
+        cuts = (np.flatnonzero((lead[1:] != lead[:-1]) | (number[1:] != number[:-1])) + 1).tolist()
+        for s, e in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+            if held and (lead[s], number[s]) != key:
+                yield part()
+                held = []
+            key = lead[s], number[s]
+            held.append(b.slice(s, e - s))
+    if held:
+        yield part()
+
+
+def in_parts(groups: DataFrame, partitions: int) -> DataFrame:
+    return groups.repartition(partitions, "lead", "part").sortWithinPartitions("lead", "part", "n", "cls")
+
+
+def group_forests(groups: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """A spanning forest of each group's plausible pairs, nearest sketches first.
+
+    ``groups``: lead, part (a pair of a group's blocks), cls, n, sketch.  A task sees one part of a group at a time, at
+    most about 2 * BLOCK classes, and gives fewer pairs than these.
     """
     def run(batches):
-        given = [b for b in batches if b.num_rows]
-        if not given:
-            return
-        t = pa.Table.from_batches(given)
-        lead, part, cls, n, label = (t[c].to_numpy() for c in ("lead", "part", "cls", "n", "label"))
-        order = np.lexsort((cls, n, part, lead))
-        lead, part, cls, n, label = (c[order] for c in (lead, part, cls, n.astype(np.int64), label))
-        h = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)[order]
-        cuts = np.flatnonzero((lead[1:] != lead[:-1]) | (part[1:] != part[:-1])) + 1
-        found: set[tuple[int, int]] = set()
-        for s, e in zip([0, *cuts], [*cuts, len(lead)], strict=True):
-            if e - s < 2 or (label[s:e] == label[s]).all():
+        for t in parts_of(batches, ["cls", "n", "sketch"]):
+            i, j, gap = plausible(t["n"], t["h"], percent)
+            k = forest(i, j, gap, t["cls"])
+            x, y = t["cls"][i[k]], t["cls"][j[k]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+
+    return in_parts(groups, partitions).mapInArrow(run, PAIR).distinct()
+
+
+def open_classes(groups: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """Rows of the parts (with ``label``) that have a plausible pair to a class of another label in their part."""
+    names = ["lead", "part", "cls", "n", "label"]
+
+    def run(batches):
+        for t in parts_of(batches, [*names, "sketch"]):
+            if (t["label"] == t["label"][0]).all():
+                continue
+            i, j, _ = plausible(t["n"], t["h"], percent)
+            apart = t["label"][i] != t["label"][j]
+            k = np.unique(np.concatenate([i[apart], j[apart]]))
+            yield pa.RecordBatch.from_arrays([pa.array(t[c][k]) for c in names] + [pa.array([x.astype(np.uint8).tobytes() for x in t["h"][k]], pa.binary())],
+                                             names=[*names, "sketch"])
+
+    return in_parts(groups, partitions).mapInArrow(run, "lead long, part int, cls long, n long, label long, sketch binary")
+
+
+def joining_links(tokens: list[np.ndarray], n: np.ndarray, h: np.ndarray, label: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links, verified on whole sets, that join all labels that any links of these classes join: a spanning forest."""
+    i, j, gap = plausible(n, h, percent)
+    apart = label[i] != label[j]
+    i, j, gap = i[apart], j[apart], gap[apart]
+    order = np.argsort(gap, kind="stable")
+    fine = np.stack([histogram(t, FINE) for t in tokens]).astype(np.int16)
+    tree, links = dict.fromkeys(label.tolist()), []
+
+    def root(x):
+        while tree[x] is not None:
+            x = tree[x]
+        return x
+
+    for s in range(0, len(order), STEP):
+        a, b = i[order[s:s + STEP]], j[order[s:s + STEP]]
+        near = np.abs(fine[a] - fine[b]).sum(axis=1, dtype=np.int32) <= most_different(n[a], n[b], percent)
+        for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
+            p, q = root(int(label[x])), root(int(label[y]))
+            if p == q:
                 continue
-            i, j, gap = plausible(n[s:e], h[s:e].astype(np.int16), percent)
-            i, j = i + s, j + s
-            k = np.flatnonzero(label[i] != label[j]) if every else forest(i, j, gap, label)
-            x, y = np.minimum(cls[i[k]], cls[j[k]]), np.maximum(cls[i[k]], cls[j[k]])
-            found.update(zip(x.tolist(), y.tolist(), strict=True))
-        if found:
-            x, y = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
+            u, v = tokens[x], tokens[y]
+            at = np.searchsorted(u, v)
+            shared = int((u[np.minimum(at, len(u) - 1)] == v).sum())
+            if 100 * shared >= percent * (len(u) + len(v) - shared):
+                tree[max(p, q)] = min(p, q)
+                links.append((x, y))
+    return links
+
+
+def group_links(groups: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """Links of each part's classes, verified where their sets (``tokens``) meet, that join labels."""
+    def run(batches):
+        for t in parts_of(batches, ["cls", "n", "sketch", "label", "tokens"]):
+            found = joining_links(t["tokens"], t["n"], t["h"], t["label"], percent)
+            x, y = (t["cls"][[f[k] for f in found]] if found else np.empty(0, np.int64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
 
-    return groups.repartition(partitions, "lead", "part").mapInArrow(run, PAIR).distinct()
+    return in_parts(groups, partitions).mapInArrow(run, PAIR).distinct()
 
 
-def large_groups(entries: DataFrame) -> DataFrame:
+def large_groups(entries: DataFrame, info: DataFrame) -> DataFrame:
     """Large index entries with the same smallest class (its *lead*) as one group, in parts.
 
     Near copies share many entries and mostly the lead, so their pairs are looked at once instead of once per entry.
-    Classes of a group go to blocks by hash, each pair of blocks is a part: every pair meets in a part, and no part
-    is large.
+    Classes of a group go to blocks by hash (by their number and their tokens), each pair of blocks is a part: every
+    pair meets in a part, and no part is large.
     """
     leads = entries.groupBy("sig").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    groups = entries.join(leads, "sig").select("lead", "cls").distinct()
-    sizes = groups.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb"))
+    groups = entries.join(leads, "sig").select("lead", "cls").distinct().join(info, "cls")
+    sizes = groups.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / TOKENS)).cast("int").alias("nb"))
     both = groups.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     return (both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("lead", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).alias("part"), "cls"))
+            .select("lead", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).cast("int").alias("part"), "cls", F.col("n").cast("long").alias("n"), "sketch"))
 
 
 def small_pairs(entries: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -346,18 +423,18 @@ def linked_classes(docs: DataFrame, members: DataFrame, index: DataFrame, info:
     """Components of the linked classes: ``node``, ``label``; classes without a link have no row."""
     spark = docs.sparkSession
     partitions = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    large = settle(large_groups(index.where("not small").select("sig", "cls")).join(info, "cls"))
-    unlabelled = large.withColumn("label", F.col("cls"))
-    pairs = settle(small_pairs(index.where("small"), info, percent).unionByName(group_pairs(unlabelled, percent, False, partitions)).distinct())
+    large = settle(large_groups(index.where("not small").select("sig", "cls"), info))
+    pairs = settle(small_pairs(index.where("small"), info, percent).unionByName(group_forests(large, percent, partitions)).distinct())
     sets = settle(class_sets(docs, members, pairs, size))
     links = settle(verified(pairs, sets, percent))
     labels = components(links)
-    # what may still join two components; every class of such a pair is in the forest of its group, and so in `sets`
+    # what may still join two components: whole sets go to the parts of such pairs, and only links come back;
+    # every class of such a pair is in the forest of its group, and so in `sets`
     labelled = large.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls")).drop("node")
-    rest = settle(group_pairs(labelled, percent, True, partitions).join(pairs, ["x", "y"], "left_anti"))
+    rest = settle(open_classes(labelled, percent, partitions))
     if rest.isEmpty():
         return labels
-    more = settle(verified(rest, sets, percent))
+    more = settle(group_links(rest.join(sets.select("cls", "tokens"), "cls"), percent, partitions))
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
