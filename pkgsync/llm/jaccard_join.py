@@ -35,8 +35,8 @@ from .components import components
 FREQUENT, SMALL = 32, 2
 #: Bytes of a sketch; classes of an index entry handled in one task against another such part.
 SKETCH, BLOCK = 64, 512
-#: Tokens of such a part; buckets of the histograms that pairs meet by before their sets; pairs compared in one step.
-TOKENS, FINE, STEP = 4_000_000, 1024, 4096
+#: Tokens of such a part; most buckets of the histograms that pairs meet by before their sets; pairs compared in one step.
+TOKENS, FINE, STEP = 4_000_000, 4096, 4096
 #: Classes that meet all others of a part in one step.
 ROWS = 16
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
@@ -228,11 +228,12 @@ def parts_of(batches, names: list[str]):
 
     def part():
         t = pa.Table.from_batches(held)
-        out = {c: t[c].to_numpy() for c in names if c not in ("sketch", "tokens")}
+        out = {c: t[c].to_numpy() for c in names if c not in ("sketch", "tokens", "fine")}
         out["n"] = out["n"].astype(np.int64)
         out["h"] = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-        if "tokens" in names:
-            out["tokens"] = [np.frombuffer(x.as_buffer(), np.uint64) for c in t["tokens"].chunks for x in c]
+        for name, kind in (("tokens", np.uint64), ("fine", np.uint8)):
+            if name in names:
+                out[name] = [np.frombuffer(x.as_buffer(), kind) for c in t[name].chunks for x in c]
         return out
 
     for b in batches:
@@ -270,17 +271,37 @@ def group_forests(groups: DataFrame, percent: int, partitions: int) -> DataFrame
     return in_parts(groups, partitions).mapInArrow(run, PAIR).distinct()
 
 
+def finely_near(fine: list[np.ndarray], n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the pairs the histograms of ``class_sets`` allow; the finer one folds to the other's buckets."""
+    size = np.array([min(len(f), FINE) for f in fine])
+    least, ok, allowed = np.minimum(size[i], size[j]), np.zeros(len(i), bool), most_different(n[i], n[j], percent)
+    for b in np.unique(least):
+        at = np.flatnonzero(least == b)
+        rows, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        h = np.stack([np.minimum(fine[r].reshape(-1, b).sum(axis=0, dtype=np.int32), 255) for r in rows]).astype(np.int16)
+        x, y = place[:len(at)], place[len(at):]
+        for s in range(0, len(at), STEP):
+            some = slice(s, s + STEP)
+            ok[at[some]] = np.abs(h[x[some]] - h[y[some]]).sum(axis=1, dtype=np.int32) <= allowed[at[some]]
+    return ok
+
+
 def open_classes(groups: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """Rows of the parts (with ``label``) that have a plausible pair to a class of another label in their part."""
-    names = ["lead", "part", "cls", "n", "label"]
+    """Rows of the parts (with ``label``) that have a plausible pair to a class of another label in their part; where
+    the groups have ``fine``, one that these histograms allow too."""
+    names, finer = ["lead", "part", "cls", "n", "label"], ["fine"] if "fine" in groups.columns else []
 
     def run(batches):
-        for t in parts_of(batches, [*names, "sketch"]):
+        for t in parts_of(batches, [*names, "sketch", *finer]):
             if (t["label"] == t["label"][0]).all():
                 continue
             i, j, _ = plausible(t["n"], t["h"], percent)
             apart = t["label"][i] != t["label"][j]
-            k = np.unique(np.concatenate([i[apart], j[apart]]))
+            i, j = i[apart], j[apart]
+            if finer:
+                near = finely_near(t["fine"], t["n"], i, j, percent)
+                i, j = i[near], j[near]
+            k = np.unique(np.concatenate([i, j]))
             yield pa.RecordBatch.from_arrays([pa.array(t[c][k]) for c in names] + [pa.array([x.astype(np.uint8).tobytes() for x in t["h"][k]], pa.binary())],
                                              names=[*names, "sketch"])
 
@@ -293,7 +314,7 @@ def joining_links(tokens: list[np.ndarray], n: np.ndarray, h: np.ndarray, label:
     apart = label[i] != label[j]
     i, j, gap = i[apart], j[apart], gap[apart]
     order = np.argsort(gap, kind="stable")
-    fine = np.stack([histogram(t, FINE) for t in tokens]).astype(np.int16)
+    fine = [histogram(t, min(FINE, 1 << max(0, len(t) - 1).bit_length())) for t in tokens]
     tree, links = dict.fromkeys(label.tolist()), []
 
     def root(x):
@@ -301,19 +322,18 @@ def joining_links(tokens: list[np.ndarray], n: np.ndarray, h: np.ndarray, label:
             x = tree[x]
         return x
 
-    for s in range(0, len(order), STEP):
-        a, b = i[order[s:s + STEP]], j[order[s:s + STEP]]
-        near = np.abs(fine[a] - fine[b]).sum(axis=1, dtype=np.int32) <= most_different(n[a], n[b], percent)
-        for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
-            p, q = root(int(label[x])), root(int(label[y]))
-            if p == q:
-                continue
-            u, v = tokens[x], tokens[y]
-            at = np.searchsorted(u, v)
-            shared = int((u[np.minimum(at, len(u) - 1)] == v).sum())
-            if 100 * shared >= percent * (len(u) + len(v) - shared):
-                tree[max(p, q)] = min(p, q)
-                links.append((x, y))
+    i, j = i[order], j[order]
+    near = finely_near(fine, n, i, j, percent)
+    for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
+        p, q = root(int(label[x])), root(int(label[y]))
+        if p == q:
+            continue
+        u, v = tokens[x], tokens[y]
+        at = np.searchsorted(u, v)
+        shared = int((u[np.minimum(at, len(u) - 1)] == v).sum())
+        if 100 * shared >= percent * (len(u) + len(v) - shared):
+            tree[max(p, q)] = min(p, q)
+            links.append((x, y))
     return links
 
 
@@ -336,11 +356,12 @@ def large_groups(entries: DataFrame, info: DataFrame) -> DataFrame:
     pair meets in a part, and no part is large.
     """
     leads = entries.groupBy("sig").agg(F.min("cls").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    groups = entries.join(leads, "sig").select("lead", "cls").distinct().join(info, "cls")
+    groups = entries.join(leads, "sig").select("lead", "cls").distinct().join(info.select("cls", F.col("n").cast("long").alias("n")), "cls")
     sizes = groups.groupBy("lead").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / TOKENS)).cast("int").alias("nb"))
     both = groups.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     return (both.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("lead", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).cast("int").alias("part"), "cls", F.col("n").cast("long").alias("n"), "sketch"))
+            .select("lead", (F.least("own", "other") * F.col("nb") + F.greatest("own", "other")).cast("int").alias("part"), "cls", "n")
+            .join(info.select("cls", "sketch"), "cls"))
 
 
 def small_pairs(entries: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -428,10 +449,11 @@ def linked_classes(docs: DataFrame, members: DataFrame, index: DataFrame, info:
     sets = settle(class_sets(docs, members, pairs, size))
     links = settle(verified(pairs, sets, percent))
     labels = components(links)
-    # what may still join two components: whole sets go to the parts of such pairs, and only links come back;
-    # every class of such a pair is in the forest of its group, and so in `sets`
+    # what may still join two components: histograms go to the parts of such pairs, whole sets to what these leave,
+    # and only links come back; every class of such a pair is in the forest of its group, and so in `sets`
     labelled = large.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls")).drop("node")
     rest = settle(open_classes(labelled, percent, partitions))
+    rest = settle(open_classes(rest.join(sets.select("cls", "fine"), "cls"), percent, partitions))
     if rest.isEmpty():
         return labels
     more = settle(group_links(rest.join(sets.select("cls", "tokens"), "cls"), percent, partitions))

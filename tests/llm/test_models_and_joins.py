@@ -108,6 +108,40 @@ def test_jaccard_join(spark, docs, rows, empty, monkeypatch):
     assert jaccard_join.near_duplicates(empty).count() == 0
 
 
+def unlinked_copies(n, seed=9):
+    """Copies of 200 words with four changed: alike, but most pairs are below 0.8 in five-word shingles."""
+    r = random.Random(seed)
+    words = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(n):
+        t = list(words)
+        for k in r.sample(range(200), r.choice([2, 4, 4, 4])):
+            t[k] = f"x{r.randrange(10**9)}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def test_pairs_that_do_not_link_are_verified_in_their_part(spark, monkeypatch):
+    from conftest import frame
+
+    rows = unlinked_copies(90)
+    want = Counter(brute_components(rows, 5, 80))
+    assert len({c for _, _, c in want}) > 5
+    for block, tokens in ((512, 4_000_000), (16, 4_000_000), (512, 3_000)):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        monkeypatch.setattr(jaccard_join, "TOKENS", tokens)
+        got = jaccard_join.near_duplicates(frame(spark, rows), 5, 80).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component) for r in got) == want
+    # what a part gives back is a forest, however many pairs are alike
+    sets = [jaccard_join.shingles(t, 5) for _, t in unlinked_copies(300)]
+    order = sorted(range(300), key=lambda k: len(sets[k]))
+    sets = [sets[k] for k in order]
+    n, h = np.array([len(x) for x in sets]), np.stack([jaccard_join.histogram(x, jaccard_join.SKETCH) for x in sets]).astype(np.int16)
+    links = jaccard_join.joining_links(sets, n, h, np.arange(300), 80)
+    assert len(jaccard_join.plausible(n, h, 80)[0]) > 10_000 and len(links) < 300
+    assert all(len(np.intersect1d(sets[x], sets[y])) * 100 >= 80 * len(np.union1d(sets[x], sets[y])) for x, y in links)
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
 
