@@ -1,5 +1,6 @@
 """Token ids of texts by the ``tokenizers`` library, each distinct word encoded once.
 
+Strings of special tokens within a text become those tokens, as the library has it; such texts go to it whole.
 A byte-level BPE with the usual split pattern never merges across a single space that stands between two
 characters that aren't white space: the space opens the next match.  So a text falls into words there, and the ids
 of a text are the ids of its words, each with its space.  The words of a batch are dictionary-encoded by Arrow, the
@@ -35,7 +36,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # strings of special tokens are ordinary text
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.spaced_added = any(" " in a for a in self.added)  # words side by side could make one
         self.tok.no_padding()
         self.tok.no_truncation()
         self.size, self.most = self.tok.get_vocab_size(), most
@@ -70,7 +72,7 @@ class WordEncoder:
         out: list = [None] * len(texts)
         batch, size = [], 0
         for i, t in enumerate(texts):
-            if plain(t):
+            if plain(t) and not self.spaced_added and not any(a in t for a in self.added):
                 batch.append(i)
                 size += len(t)
                 if size > STEP:

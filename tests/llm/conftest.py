@@ -29,7 +29,8 @@ def corpus(seed=7, docs=60):
             text += "\nAll rights reserved \n"
         rows.append((i, text))
     rows += [(900, None), (901, ""), (902, " \n\t "), (903, "one"), (904, "ONE "), (905, "ab " * 300), (906, "x" * 5000), (907, "𝄞 é\x00  z  y\r\n"),
-             (908, " ".join(r.choice(words) for _ in range(9000))), (None, rows[3][1]), (909, rows[3][1] + " "), (5, rows[5][1])]
+             (908, " ".join(r.choice(words) for _ in range(9000))), (None, rows[3][1]), (909, rows[3][1] + " "), (5, rows[5][1]),
+             (910, "a <|endoftext|> b"), (911, "x<|endoftext|><|endoftext|>\nconfused <|endof text|>")]
     return rows
 
 

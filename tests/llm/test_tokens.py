@@ -21,7 +21,6 @@ def ids(rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for _, x in rows], add_special_tokens=False)]
 
 
