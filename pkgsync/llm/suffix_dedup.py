@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import joined_spans, repeated_windows
-from .common import doc_key, documents
+from .common import documents, keyed
 
 WIDTH, GRAM = 100, 32
 #: Suffixes of a batch; a level holds batches in powers of two.
@@ -131,7 +131,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 
     One row per input row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept`` (the
     remaining bytes) and ``kept_sha256``.  Null text counts as empty; texts below ``width`` bytes are left alone.
-    Rows without an id stand last, in an order of their texts.  Rows that repeat an id are one document: equal ones
+    Rows without an id stand, in an order of their texts, where ids from 2**62 on would.  Rows that repeat an id are one document: equal ones
     get the same result, and a window of either that repeats an earlier place is removed at that place in both.
     An empty table gives no rows; extra columns are left out.
     """
@@ -154,26 +154,34 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_sha256", pa.string())])
 
 
-def cut(raw: bytes, found: list | None, width: int) -> tuple[bytes, int, int]:
-    """Bytes that stay, how many go, and in how many maximal runs."""
+def cut(raw: bytes, found: list | None, width: int, whole: bool = False) -> tuple[bytes, int, int]:
+    """Bytes that stay, how many go, and in how many maximal runs; ``whole``: a character of which a run holds only some
+    bytes stays."""
     if not found:
         return raw, 0, 0
     starts = np.array([s["first"] for s in found])
     ends = np.minimum(starts + np.array([s["n"] for s in found]) - 1 + width, len(raw))
     starts, ends = joined_spans(starts[starts < len(raw)], ends[starts < len(raw)])
+    if whole:
+        inner = np.frombuffer(raw + b"a", np.uint8) & 0xC0 == 0x80  # a byte within a character
+        bounds = np.flatnonzero(~inner)
+        starts, ends = bounds[np.searchsorted(bounds, starts)], bounds[np.searchsorted(bounds, ends, "right") - 1]
+        # a run is at least ``width`` bytes long, so it holds a whole character if that is four or more
+        starts, ends = starts[starts < ends], ends[starts < ends]
     stay = np.concatenate([[0], ends]), np.append(starts, len(raw))
     return b"".join(raw[a:b] for a, b in zip(*stay, strict=True)), int((ends - starts).sum()), len(starts)
 
 
 def drop_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row, its text without the repeated bytes; of a character that a cut splits, the rest goes too."""
-    spans = repeated_spans(documents(docs, id_col, text_col).select("sid", "text"), width).withColumnsRenamed({"sid": "__llm_to", "spans": "__llm_spans"})
-    both = docs.withColumn("__llm_key", doc_key(id_col, text_col)).join(spans, F.col("__llm_key") == F.col("__llm_to"), "left")
+    """Every row, its text without the repeated bytes; a character that the end of a removed run splits stays whole."""
+    spans = repeated_spans(documents(docs, id_col, text_col).select("sid", "text"), width)
+    both = keyed(docs, id_col, text_col).select("sid", "body", "row").join(spans, "sid", "left")
 
     @F.pandas_udf("string")
     def rest(text, found):
         import pandas as pd
 
-        return pd.Series([t if t is None or f is None else cut(t.encode(), list(f), width)[0].decode(errors="ignore") for t, f in zip(text, found, strict=True)], dtype=object)
+        return pd.Series([t if t is None or f is None else cut(t.encode(), list(f), width, whole=True)[0].decode() for t, f in zip(text, found, strict=True)], dtype=object)
 
-    return both.withColumn(text_col, F.when(F.col("__llm_spans").isNull(), F.col(text_col)).otherwise(rest(text_col, "__llm_spans"))).drop("__llm_key", "__llm_to", "__llm_spans")
+    left = F.when(F.col("spans").isNull(), F.col("body")).otherwise(rest("body", "spans"))
+    return both.select(*[(left if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
