@@ -22,14 +22,21 @@ SPACE = " \t\n\x0b\x0c\r"
 
 
 def doc_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A never-null long that names a document: its id, or for a null id a number above 2**62 from its text.
+    """A never-null long that names a document: its id, or for a null id a number from 2**62 on from its text.
 
-    Rows without an id so order after all others, and equal texts without an id are one document.
+    Equal texts without an id are one document.  An id may be any long, so nothing reads this number as "no id":
+    where that matters, the null itself decides (``missing``, or a null ``doc_id`` beside the number).
     """
     by_text = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
     return F.coalesce(F.col(id_col).cast("long"), by_text)
 
 
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``sid``, ``missing`` (no id), ``body`` (the text) and ``row`` (the whole row): a caller's column names stay inside
+    ``row``, so none can clash with a working column; ``select("row.*")`` gives them back."""
+    return docs.select(doc_key(id_col, text_col).alias("sid"), F.col(id_col).isNull().alias("missing"), F.col(text_col).alias("body"), F.struct("*").alias("row"))
+
+
 _shipped: set[str] = set()
 
 

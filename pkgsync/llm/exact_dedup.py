@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, settle
+from .common import documents, keyed, settle
 
 #: Runs that exchange with each other in a round; the salts over which a group's rows are spread in the last join.
 FAN, SALTS = 8, 16
@@ -57,7 +57,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     An empty table gives no rows; extra columns are left out.
     """
     return (group_rows(docs, id_col, text_col, rounds)
-            .select("doc_id", F.when(F.col("keep_sid") < F.lit(2**62), F.col("keep_sid")).alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256")))
+            .select("doc_id", F.when(~F.col("keep_missing"), F.col("keep_sid")).alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256")))
 
 
 def group_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None) -> DataFrame:
@@ -67,16 +67,18 @@ def group_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rounds = 1
         while FAN**rounds < n_runs:
             rounds += 1
-    best = F.struct((-F.col("n_chars")).alias("most"), F.col("sid"))
+    missing = F.col("doc_id").isNull()
+    best = F.struct((-F.col("n_chars")).alias("most"), missing.alias("missing"), F.col("sid"))
     leaves = (rows.withColumn("run", F.pmod(F.spark_partition_id(), F.lit(FAN**rounds)).cast("long"))
               .groupBy("run", *KEY).agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("n")))
-    groups = merge_runs(leaves, rounds).where("n > 1").select(*KEY, F.col("best.sid").alias("keep_sid"), F.col("n").alias("group_size"))
+    groups = merge_runs(leaves, rounds).where("n > 1").select(*KEY, F.col("best.sid").alias("keep_sid"), F.col("best.missing").alias("keep_missing"), F.col("n").alias("group_size"))
     # a group's rows are spread over salts, and the one row of the group is repeated for each
     salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = rows.withColumn("salt", F.pmod(F.hash("sid"), F.lit(SALTS))).join(salted, [*KEY, "salt"], "left")
-    return joined.select("sid", "doc_id", "digest", "check", F.coalesce("keep_sid", "sid").alias("keep_sid"),
+    keep_sid, keep_missing = F.coalesce("keep_sid", "sid"), F.coalesce("keep_missing", missing)
+    return joined.select("sid", "doc_id", "digest", "check", keep_sid.alias("keep_sid"), keep_missing.alias("keep_missing"),
                          F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-                         (F.coalesce("keep_sid", "sid") == F.col("sid")).alias("kept"))
+                         ((keep_sid == F.col("sid")) & (keep_missing == missing)).alias("kept"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,15 +86,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A row is told by its id and the digest of its text, as one id may stand for several texts.
     """
-    from .common import doc_key
-
-    rows = group_rows(docs, id_col, text_col).withColumnsRenamed({"sid": "__llm_sid", "digest": "__llm_digest"})
-    key = ["__llm_sid", "__llm_digest"]
+    rows = group_rows(docs, id_col, text_col).withColumn("missing", F.col("doc_id").isNull())
+    key = ["sid", "missing", "digest"]
     # only rows of groups with copies can go
     lost = rows.where(~F.col("kept")).select(*key).distinct()
     twice = rows.where("kept and group_size > 1").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
-    keyed = docs.withColumns({"__llm_sid": doc_key(id_col, text_col),
-                              "__llm_digest": F.sha2(normalised(F.coalesce(F.col(text_col), F.lit(""))), 256)})
-    stay = keyed.join(lost, key, "left_anti")
+    whole = keyed(docs, id_col, text_col)
+    own = whole.select("sid", "missing", F.sha2(normalised(F.coalesce("body", F.lit(""))), 256).alias("digest"), "row")
+    stay = own.join(lost, key, "left_anti")
     repeated = stay.join(twice, key, "left_semi").dropDuplicates(key)
-    return stay.join(twice, key, "left_anti").unionByName(repeated).drop(*key)
+    return stay.join(twice, key, "left_anti").unionByName(repeated).select("row.*")

@@ -166,7 +166,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 
     One row per input row: ``doc_id``, ``n_words``, ``n_removed``, ``spans`` (maximal removed stretches of words, as
     start and end), ``kept`` (the words that stay, joined by a space) and ``kept_sha256``.  Null text has no words;
-    shorter documents are left alone; a repeat within one document doesn't count.  Rows without an id stand last, in
+    shorter documents are left alone; a repeat within one document doesn't count.  Rows without an id stand where ids from 2**62 on would, in
     an order of their texts.  Rows that repeat an id are one document: equal ones get the same result, and a window
     of either that stands in an earlier document is removed at that place in both.  An empty table gives no rows;
     extra columns are left out.

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, documents, settle
+from .common import documents, keyed, settle
 from .components import components
 
 #: Tokens in more prefixes than this are frequent; index entries of more classes than SMALL are large.
@@ -92,9 +92,9 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 def class_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """For (sid, text): ``sid``, ``n``, ``cls`` (hash of the set), ``sketch``, ``tokens`` (the longest prefix; a task
+    """For (sid, missing, text): ``sid``, ``missing``, ``n``, ``cls`` (hash of the set), ``sketch``, ``tokens`` (the longest prefix; a task
     gives it once for a class, so copies send nothing more)."""
-    fields = pa.schema([("sid", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary()), ("tokens", pa.list_(pa.int64()))])
+    fields = pa.schema([("sid", pa.int64()), ("missing", pa.bool_()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary()), ("tokens", pa.list_(pa.int64()))])
     least = links_from(percent)
 
     def run(batches):
@@ -111,9 +111,9 @@ def class_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 given.add(classes[-1])
                 prefixes.append(s[:max(prefix_length(n, c, percent) for c in size_classes(n, percent))].view(np.int64) if new else np.empty(0, np.int64))
             tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(p) for p in prefixes])), pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([b["sid"], pa.array(ns, pa.int32()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), tokens], schema=fields)
+            yield pa.RecordBatch.from_arrays([b["sid"], b["missing"], pa.array(ns, pa.int32()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), tokens], schema=fields)
 
-    return docs.mapInArrow(run, "sid long, n int, cls long, sketch binary, tokens array<long>")
+    return docs.mapInArrow(run, "sid long, missing boolean, n int, cls long, sketch binary, tokens array<long>")
 
 
 def links_from(percent: int) -> int:
@@ -463,34 +463,36 @@ def linked_classes(docs: DataFrame, members: DataFrame, index: DataFrame, info:
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents linked by a Jaccard similarity of at least ``percent`` / 100 of their shingle sets.
 
-    One row per input row: ``sid`` (see ``doc_key``), ``doc_id``, ``n_shingles``, ``component`` (the smallest sid that
-    links reach, its own included).  Words are split at \\x20 and \\x09-\\x0D, A-Z in lower case; fewer than ``size``
+    One row per input row: ``sid`` (see ``doc_key``), ``missing`` (no id), ``doc_id``, ``n_shingles``, ``component`` (the
+    sid of the first document that links reach, its own included), ``component_missing`` and ``component_id`` (null
+    where that document has no id).  Words are split at \\x20 and \\x09-\\x0D, A-Z in lower case; fewer than ``size``
     words make one shingle; texts without words (also null) have none and link with nothing.  Rows without an id
     stand for themselves (or with equal texts) and come last in the order of ids; repeated rows have equal sets and
     so one component.  An empty table gives no rows; extra columns are left out.  Shingles and sets are told apart
     by 64-bit hashes.
     """
     own = documents(docs, id_col, text_col)
-    heavy = settle(class_rows(own.select("sid", "text"), size, percent))
+    heavy = settle(class_rows(own.select("sid", F.col("doc_id").isNull().alias("missing"), "text"), size, percent))
     base = settle(heavy.drop("tokens"))
     index = settle(signatures(heavy.where(F.size("tokens") > 0), percent))
     del heavy  # the prefixes go with the next checkpoint
-    members = base.where("n > 0").select("sid", "cls")
+    members = base.where("n > 0").select("sid", "missing", "cls")
     info = base.where(F.col("n") >= links_from(percent)).groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     labels = linked_classes(own.select("sid", "text"), members, index, info, size, percent)
-    first = members.groupBy("cls").agg(F.min("sid").alias("least"))
+    first = members.groupBy("cls").agg(F.min(F.struct("missing", "sid")).alias("least"))
     named = first.join(labels, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cls"))
     # the smallest document of each component, given back to its classes; then to the documents, copies salted
     least = named.groupBy("label").agg(F.min("least").alias("component"))
     of_class = named.join(least, "label").select("cls", "component", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("salt"))
-    rows = base.select("sid", "n", "cls", F.pmod(F.hash("sid"), F.lit(8)).alias("salt"))
+    rows = base.select("sid", "missing", "n", "cls", F.pmod(F.hash("sid"), F.lit(8)).alias("salt"))
     out = rows.join(of_class, ["cls", "salt"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("sid"))
-    return out.select("sid", F.when(F.col("sid") < F.lit(2**62), F.col("sid")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), component.alias("component"))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.struct("missing", "sid"))
+    named = out.select("sid", "missing", F.col("n").cast("long").alias("n_shingles"), component.alias("of"))
+    return named.select("sid", "missing", F.when(~F.col("missing"), F.col("sid")).alias("doc_id"), "n_shingles", F.col("of.sid").alias("component"),
+                        F.col("of.missing").alias("component_missing"), F.when(~F.col("of.missing"), F.col("of.sid")).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the smallest id of each component, with all its columns."""
-    lost = near_duplicates(docs, size, percent, id_col, text_col).where("sid <> component").select(F.col("sid").alias("__llm_lost")).distinct()
-    keyed = docs.withColumn("__llm_key", doc_key(id_col, text_col))
-    return keyed.join(lost, F.col("__llm_key") == F.col("__llm_lost"), "left_anti").drop("__llm_key")
+    lost = near_duplicates(docs, size, percent, id_col, text_col).where("sid <> component OR missing <> component_missing").select("sid", "missing").distinct()
+    return keyed(docs, id_col, text_col).select("sid", "missing", "row").join(lost, ["sid", "missing"], "left_anti").select("row.*")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, settle
+from .common import documents, keyed, settle
 from .label_model import LabelModel
 
 SYMBOLS = "#*$%&|<>"
@@ -118,8 +118,5 @@ def posterior_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def drop_low_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that are kept, with all their columns."""
-    from .common import doc_key
-
-    lost = posterior_quality(docs, id_col, text_col).groupBy("sid").agg(F.max("kept").alias("any")).where(~F.col("any")).select(F.col("sid").alias("__llm_lost"))
-    keyed = docs.withColumn("__llm_key", doc_key(id_col, text_col))
-    return keyed.join(lost, F.col("__llm_key") == F.col("__llm_lost"), "left_anti").drop("__llm_key")
+    lost = posterior_quality(docs, id_col, text_col).groupBy("sid").agg(F.max("kept").alias("any")).where(~F.col("any")).select("sid")
+    return keyed(docs, id_col, text_col).select("sid", "row").join(lost, "sid", "left_anti").select("row.*")

@@ -43,8 +43,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90)
-    return found.select("doc_id", "n_shingles", F.when(F.col("component") < F.lit(2**62), F.col("component")).alias("component_id"))
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,8 +75,8 @@ def brute_components(rows, size, percent):
                 label = [b if x == a else x for x in label]
     least = {}
     for (i, _), x in zip(rows, label, strict=True):
-        least[x] = min(least.get(x, 2**62), 2**62 if i is None else i)
-    return [(i, len(s), (None if i is None else i) if not s else None if least[x] == 2**62 else least[x]) for (i, _), s, x in zip(rows, sets, label, strict=True)]
+        least[x] = min(least.get(x, 2**64), 2**64 if i is None else i)
+    return [(i, len(s), i if not s else None if least[x] == 2**64 else least[x]) for (i, _), s, x in zip(rows, sets, label, strict=True)]
 
 
 def near_copies(seed):
@@ -94,7 +94,7 @@ def test_jaccard_join(spark, docs, rows, empty, monkeypatch):
     from conftest import frame
 
     def check(frame, rows, size, percent):
-        got = [(r.doc_id, r.n_shingles, r.component if r.component < 2**62 else None) for r in jaccard_join.near_duplicates(frame, size, percent).collect()]
+        got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(frame, size, percent).collect()]
         assert Counter(got) == Counter(brute_components(rows, size, percent))
 
     check(docs, rows, 3, 90)
