@@ -254,6 +254,20 @@ LEFT JOIN (SELECT DISTINCT repository, package FROM fx_ledger_packages) l ON p.r
 )
 oracle("tgt_repositories", "SELECT DISTINCT repository AS name FROM fx_target", "fx_target")
 oracle("tgt_versions", "SELECT repository, format, namespace, package, version, status FROM fx_target", "fx_target")
+oracle("target_pages", "SELECT repository, format, namespace, package, version, status FROM fx_target", "fx_target")
+oracle(
+    "target_page_rejects",
+    """SELECT page || '/' || kind AS page, repository, CASE kind WHEN 'cut' THEN 'malformed' WHEN 'blank' THEN 'empty' ELSE 'repeated' END AS reason,
+       CAST(CASE kind WHEN 'blank' THEN 1 WHEN 'cut' THEN strlen(doc) - 2 ELSE strlen(doc) END AS BIGINT) AS length,
+       CASE kind WHEN 'cut' THEN left(doc, length(doc) - 2) END AS _corrupt_record
+FROM (SELECT *, CASE length(page) % 3 WHEN 0 THEN 'repeated' WHEN 1 THEN 'cut' ELSE 'blank' END AS kind
+      FROM (SELECT repository, concat_ws('/', repository, format, namespace, package, CAST(n AS VARCHAR)) AS page,
+                   '{"format":"' || format || '","namespace":"' || namespace || '","package":"' || package || '","versions":['
+                   || string_agg('{"version":"' || version || '","status":"' || status || '"}', ',' ORDER BY version) || ']}' AS doc
+            FROM (SELECT *, (row_number() OVER (PARTITION BY repository, format, namespace, package ORDER BY version) - 1) // 20 AS n FROM fx_target)
+            GROUP BY repository, format, namespace, package, n))""",
+    "fx_target",
+)
 oracle(
     "npm_documents",
     """SELECT doc_id, repository, package, version, json_extract_string(j, '$.name') AS doc_name,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import filters as C
@@ -26,6 +26,7 @@ from .operators.ledger_store import LedgerStore
 from .plans import migration as M
 from .session import apply_conf, local_dir, scratch_path
 from .sources import dumps as DU
+from .sources import pages as PG
 from .sources.fixtures import Fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +151,40 @@ def q_tgt_versions(spark, sf_dir):
     return DU.read_target_versions(spark, path)
 
 
+def _target_pages(c: Ctx):
+    """Pages of 20 versions of a package as a crawl leaves them: some are fetched twice, some also cut off or blank."""
+    name = ["repository", "format", "namespace", "package"]
+    at = F.row_number().over(Window.partitionBy(*name).orderBy("version")) - 1
+    v = F.array_sort(F.collect_list(F.struct("version", "status"))).alias("versions")
+    n = (F.col("at") / 20).cast("int")
+    whole = c.fx_target.withColumn("at", at).groupBy(*name, n.alias("n")).agg(v)
+    doc = F.to_json(F.struct("format", "namespace", "package", "versions"))
+    page = F.concat_ws("/", *name, F.col("n").cast("string"))
+    size = F.length(page)
+    kind = F.explode(F.array(F.lit("a"), F.when(size % 3 == 0, "repeated").when(size % 3 == 1, "cut").otherwise("blank")))
+    pages = whole.select(page.alias("p"), "repository", doc.alias("whole"), kind.alias("kind"))
+    return pages.select(F.concat_ws("/", "p", "kind").alias("page"), "repository",
+                        F.when(F.col("kind") == "cut", F.expr("left(whole, length(whole) - 2)")).when(F.col("kind") == "blank", " ").otherwise(F.col("whole")).alias("doc"))
+
+
+def _stored_target_pages(spark, sf_dir):
+    path = scratch_path(spark, "target-pages")
+    _target_pages(_ctx(spark, sf_dir)).write.parquet(path)
+    return PG.target_versions(spark.read.parquet(path))
+
+
+@query("target_pages")
+def q_target_pages(spark, sf_dir):
+    """Version states read from a crawl's pages; damaged and repeated pages change nothing."""
+    return _stored_target_pages(spark, sf_dir).rows
+
+
+@query("target_page_rejects")
+def q_target_page_rejects(spark, sf_dir):
+    """The side table of pages that are cut off, blank or repeated."""
+    return _stored_target_pages(spark, sf_dir).rejects.select("page", "repository", "reason", "length", "_corrupt_record")
+
+
 @query("npm_documents")
 def q_npm_documents(spark, sf_dir):
     """Npm metadata parsed; name, number of versions, wanted version present."""
