@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed, partitions_for, settle, unpacked
+
 #: Positions handled at a time: bounds the memory of a very long text.
 BLOCK = 1 << 20
 #: Runs of one k-gram beyond this many are searched by single windows, which spread over the shards.
@@ -146,12 +148,12 @@ def pieces(docs: DataFrame, found: DataFrame, width: int, symbols, within: bool)
     hot = wanted.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > HOT).select(F.col("key").alias("hot_key"))
     wanted = wanted.join(hot, F.col("key") == F.col("hot_key"), "left")
     lists = wanted.groupBy("sid").agg(F.collect_list(F.struct("first", "n", "key", F.col("hot_key").isNotNull().alias("hot"))).alias("spans")).withColumnRenamed("sid", "to")
-    texts = docs.join(lists, F.col("sid") == F.col("to")).select("sid", "text", "spans")
+    texts = packed(docs).join(lists, F.col("sid") == F.col("to")).select("sid", "packed", "spans")
 
     def run(batches):
         for b in batches:
             rows, windows = [], {}
-            for sid, text, spans in zip(b["sid"].to_pylist(), b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
+            for sid, text, spans in zip(b["sid"].to_pylist(), unpacked(b), b["spans"].to_pylist(), strict=True):
                 _, raw, size = symbols(text)
                 for s in spans:
                     first, n = s["first"], s["n"]
@@ -217,8 +219,6 @@ def joined_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.n
 
 def repeated_windows(docs: DataFrame, width: int, k: int, symbols, within: bool, search: Callable, partition_mb: float, shard_mb: float, bytes_each: int) -> DataFrame:
     """All repeated windows of (sid, text): ``sid`` and ``spans``, a list of (first, n) of neighbouring window starts."""
-    from .common import partitions_for, settle
-
     found = settle(marks(docs, width, k, symbols, within, partitions_for(docs, partition_mb)))
     size = found.where(~F.col("copy")).agg(F.sum((F.col("n") + width).cast("long") * bytes_each).alias("n")).first()["n"] or 0
     given = pieces(docs, found, width, symbols, within)

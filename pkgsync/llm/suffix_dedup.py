@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import joined_spans, repeated_windows
-from .common import documents, keyed
+from .common import documents, keyed, packed, unpacked
 
 WIDTH, GRAM = 100, 32
 #: Suffixes of a batch; a level holds batches in powers of two.
@@ -137,12 +137,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     """
     own = documents(docs, id_col, text_col)
     spans = repeated_spans(own.select("sid", "text"), width, gram).withColumnRenamed("sid", "to")
-    both = own.join(spans, F.col("sid") == F.col("to"), "left").select("doc_id", "text", "spans")
+    both = packed(own).join(spans, F.col("sid") == F.col("to"), "left").select("doc_id", "packed", "spans")
 
     def run(batches):
         for b in batches:
             rows = []
-            for doc_id, text, found in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
+            for doc_id, text, found in zip(b["doc_id"].to_pylist(), unpacked(b), b["spans"].to_pylist(), strict=True):
                 raw = text.encode()
                 kept, removed, count = cut(raw, found, width)
                 rows.append((doc_id, len(raw), removed, count, kept, hashlib.sha256(kept).hexdigest()))
