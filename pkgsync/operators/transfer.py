@@ -87,7 +87,10 @@ def _fs(path: str):
     from pyarrow import fs as pafs
 
     if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+        scheme, colon, rest = path.partition(":")
+        if colon + rest[:1] == ":/" and rest[:2] != "//":  # file:/x, as Spark writes it
+            rest = "//" + rest
+        return pafs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)  # the cluster's names of one store
     return pafs.LocalFileSystem(), path
 
 
@@ -114,6 +117,7 @@ def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | No
     """
     from pyarrow import fs as pafs
 
+    tmp = None
     try:
         sfs, spath = _fs(src)
         dfs, dpath = _fs(dst)
@@ -146,6 +150,11 @@ def _copy_one(src: str, dst: str) -> tuple[int | None, str | None, str, str | No
         dfs.move(tmp, dpath)
         return n, src_sum[1], "copied", None
     except Exception as e:  # one bad file must not fail the whole task
+        try:
+            if tmp:
+                dfs.delete_file(tmp)
+        except Exception:  # not written yet, or the file system is gone
+            pass
         return None, None, "error", f"{type(e).__name__}: {e}"
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import ledger as LG
+from ..operators import ranged as RG
 from ..operators import reconcile as R
 from ..operators import transfer as TR
 from ..operators.ledger_store import LedgerStore
@@ -185,9 +186,10 @@ def migrate(spark: SparkSession, inputs: M.Inputs, *, work_root: str, run_id: st
 
     # a restarted run overwrites its own results; finished copies then read "skipped"
     files = M.plan_files(plan_df, inputs.inventory)
-    copies = written("copies", TR.copy_artifacts(files.select(
+    copies = written("copies", RG.copy_artifacts(files.select(
         _join_path(src_root, F.col("repository"), F.col("uri")).alias("src_path"),
-        _join_path(dst_root, F.col("repository"), F.col("uri")).alias("dst_path"), *LG.VER_KEY), keep=LG.VER_KEY))
+        _join_path(dst_root, F.col("repository"), F.col("uri")).alias("dst_path"), F.col("size_bytes").alias("length"), *LG.VER_KEY),
+        f"{base}/ranges", keep=LG.VER_KEY))
     metadata = written("metadata", TR.copy_artifacts(metadata_plan(plan_df, files, copy_responses(copies), src_root, dst_root), keep=LG.VER_KEY))
     result.copies, result.metadata = f"{base}/copies", f"{base}/metadata"
 

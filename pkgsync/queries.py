@@ -18,13 +18,14 @@ from .functions import paths as P
 from .operators import documents as DOC
 from .operators import inventory as INV
 from .operators import ledger as LG
+from .operators import ranged as RG
 from .operators import reconcile as R
 from .operators import requests as RQ
 from .operators import transfer as TR
 from .operators.joins import bounded_broadcast
 from .operators.ledger_store import LedgerStore
 from .plans import migration as M
-from .session import apply_conf, local_dir, scratch_path
+from .session import apply_conf, scratch_path
 from .sources import dumps as DU
 from .sources import pages as PG
 from .sources.fixtures import Fixtures
@@ -198,32 +199,31 @@ def q_npm_documents(spark, sf_dir):
     )
 
 
-def _write_documents_as_files(spark, c: Ctx) -> str:
-    """Artifact files for A8/A9: one file per document (text + newline) under
-    ``doc_id=<id>/`` on the shared scratch root."""
-    root = scratch_path(spark, "artifacts")
-    c.fx.table("documents").select("doc_id", "text").write.partitionBy("doc_id").text(root)
-    return root
+def _document_paths(spark, c: Ctx):
+    """Artifact files for A8/A9, one per document (text + newline) on the shared scratch root, as the path table that the
+    writing tasks returned: ``doc_id``, ``path``, ``length``."""
+    root, table = scratch_path(spark, "artifacts"), scratch_path(spark, "artifact-paths")
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
+    rows = c.fx.table("documents").select(F.concat(F.lit("doc-"), F.col("doc_id"), F.lit(".txt")).alias("name"), text.cast("binary").alias("content"))
+    RG.write_artifacts(rows, root).write.parquet(table)
+    return spark.read.parquet(table).select(F.regexp_extract("name", r"^doc-(.*)\.txt$", 1).cast("bigint").alias("doc_id"), "path", "length")
 
 
 @query("artifact_checksums")
 def q_artifact_checksums(spark, sf_dir):
-    """Artifact bytes read with binaryFile; SHA-256 and length per file."""
-    c = _ctx(spark, sf_dir)
-    root = _write_documents_as_files(spark, c)
-    arts = TR.read_artifacts(spark, root, with_content=True, glob="*.txt")
-    return TR.checksums(arts).select(F.col("doc_id").cast("bigint").alias("doc_id"), "length", "sha256")
+    """Artifact bytes read by the path table; SHA-256 and length per file on the JVM."""
+    paths = _document_paths(spark, _ctx(spark, sf_dir))
+    read = RG.read_contents(paths).select("path", F.octet_length("content").cast("bigint").alias("length"), F.sha2("content", 256).alias("sha256"))
+    return paths.select("doc_id", "path").join(read, "path").select("doc_id", "length", "sha256")
 
 
 @query("artifact_checksums_streamed")
 def q_artifact_checksums_streamed(spark, sf_dir):
-    """A8 for large artifacts: paths listed without content, bytes hashed in chunks in tasks."""
-    c = _ctx(spark, sf_dir)
-    root = _write_documents_as_files(spark, c)
-    paths = TR.read_artifacts(spark, root, glob="*.txt").select("path")
-    out = TR.streaming_checksums(paths)
-    doc_id = F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint")
-    return out.select(doc_id.alias("doc_id"), "length", "sha256")
+    """A8 for large artifacts: bytes hashed in chunks in tasks, by the path table."""
+    paths = _document_paths(spark, _ctx(spark, sf_dir))
+    out = TR.streaming_checksums(paths.select("path"))
+    local = F.regexp_replace("path", "^file:", "")
+    return paths.select("doc_id", local.alias("path")).join(out, "path").select("doc_id", out["length"], "sha256")
 
 
 @query("copy_artifacts")
@@ -231,18 +231,12 @@ def q_copy_artifacts(spark, sf_dir):
     """Copy every artifact file to a second root; one row per file.
 
     ``ok`` is true for ``copied`` and ``skipped`` alike, so the result is the same
-    however often the DataFrame is evaluated (a second evaluation finds the
-    files in place and skips them); length and SHA-256 are of the bytes copied."""
-    c = _ctx(spark, sf_dir)
-    root = _write_documents_as_files(spark, c)
-    dst_root = scratch_path(spark, "copied")
-    arts = TR.read_artifacts(spark, root, glob="*.txt")
-    src = F.regexp_replace(F.col("path"), "^file:", "")
-    rel = F.substring_index(F.col("path"), "/", -2)
-    plan = arts.select(src.alias("src_path"), F.concat(F.lit(local_dir(dst_root) + "/"), rel).alias("dst_path"))
-    out = TR.copy_artifacts(plan)
-    doc_id = F.regexp_extract("dst_path", r"doc_id=(\d+)", 1).cast("bigint")
-    return out.select(doc_id.alias("doc_id"), "length", "sha256", F.col("status").isin("copied", "skipped").alias("ok"))
+    however often the DataFrame is evaluated; length and SHA-256 are of the bytes copied."""
+    paths = _document_paths(spark, _ctx(spark, sf_dir))
+    dst = F.concat(F.lit(scratch_path(spark, "copied") + "/"), F.substring_index("path", "/", -2))
+    plan = paths.select(F.col("path").alias("src_path"), dst.alias("dst_path"), "length", F.col("doc_id").cast("string").alias("doc_id"))
+    out = RG.copy_artifacts(plan, scratch_path(spark, "copy-parts"), keep=["doc_id"])
+    return out.select(F.col("doc_id").cast("bigint").alias("doc_id"), "length", "sha256", F.col("status").isin("copied", "skipped").alias("ok"))
 
 
 @query("ledger_clean")
