@@ -220,16 +220,19 @@ def _result(pdf, out, keep):
         "sha256": [o[1] for o in out], "status": [o[2] for o in out], "error": [o[3] for o in out], **{k: pdf[k].values for k in keep}})
 
 
-def copy_artifacts(plan: DataFrame, work: str, keep: list[str] | tuple = (), part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
+def copy_artifacts(plan: DataFrame, work: str, keep: list[str] | tuple = (), part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES,
+                   cost: int | None = None) -> DataFrame:
     """Copy ``src_path`` to ``dst_path`` (each destination once) for rows with ``length``, the source's listed size or null.
 
     One row per file, as ``transfer.copy_artifacts`` gives it, and ``n_parts``.  ``sha256`` of a file copied in ranges is
     that of its ranges' SHA-256 digests in order.  The rows of the ranges are stored at ``work`` (a shared folder) before
     any file is committed; evaluating the result again commits nothing anew.  ``keep``: string columns carried along.
+    ``cost``: the bytes of all files, and FILE_COST for each, where the caller knows them; otherwise they are summed first.
     """
     spark, keep = plan.sparkSession, list(keep)
     parts = copy_parts(plan, keep, part_bytes)
-    cost = parts.agg(F.sum(F.coalesce("size", F.lit(0)) + F.lit(FILE_COST)).alias("n")).first()["n"] or 0
+    if cost is None:
+        cost = parts.agg(F.sum(F.coalesce("size", F.lit(0)) + F.lit(FILE_COST)).alias("n")).first()["n"] or 0
     tasks = max(1, -(-int(cost) // task_bytes), min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(cost) // FILE_COST))
 
     def run(batches):

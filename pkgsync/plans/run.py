@@ -186,10 +186,11 @@ def migrate(spark: SparkSession, inputs: M.Inputs, *, work_root: str, run_id: st
 
     # a restarted run overwrites its own results; finished copies then read "skipped"
     files = M.plan_files(plan_df, inputs.inventory)
+    cost = R.to_copy(plan_df).agg(F.sum(F.col("copy_bytes") + F.col("n_files") * RG.FILE_COST).alias("n")).first()["n"]
     copies = written("copies", RG.copy_artifacts(files.select(
         _join_path(src_root, F.col("repository"), F.col("uri")).alias("src_path"),
         _join_path(dst_root, F.col("repository"), F.col("uri")).alias("dst_path"), F.col("size_bytes").alias("length"), *LG.VER_KEY),
-        f"{base}/ranges", keep=LG.VER_KEY))
+        f"{base}/ranges", keep=LG.VER_KEY, cost=cost or 0))
     metadata = written("metadata", TR.copy_artifacts(metadata_plan(plan_df, files, copy_responses(copies), src_root, dst_root), keep=LG.VER_KEY))
     result.copies, result.metadata = f"{base}/copies", f"{base}/metadata"
 
