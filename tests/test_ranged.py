@@ -137,3 +137,28 @@ def test_tries_are_bounded(monkeypatch):
     with pytest.raises(FileNotFoundError):
         RG.tried(fails(9, FileNotFoundError("x")))
     assert len(calls) == 1
+
+
+def test_workers_need_no_package(tmp_path):
+    """As in transfer: the task functions, the module that they use included, are pickled by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    src = tmp_path / "s.bin"
+    src.write_bytes(b"abcdef")
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps((RG._copy_range, RG._commit)))
+    code = (
+        "import pickle, sys; "
+        f"copy, commit = pickle.loads(open({str(blob)!r}, 'rb').read()); "
+        "assert 'pkgsync' not in sys.modules; "
+        f"s, d = {str(src)!r}, {str(tmp_path / 'd.bin')!r}; "
+        "o = [copy(s, d, 6, a, 3) for a in (0, 3)]; "
+        "print(commit(s, d, 6, [{'start': a, 'size': 3, 'sha256': x[1], 'status': x[2], 'error': x[3]} for a, x in zip((0, 3), o)])[2])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=60)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert res.stdout.strip() == "copied" and (tmp_path / "d.bin").read_bytes() == b"abcdef"
