@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack),
 ]
 
-#: The label model, the suffix arrays and the packing can't be written in SQL; tests hold them against brute force.
+#: The label model and the packing can't be written in SQL; tests hold the operators, stage by stage, against brute force or labels.
 ORACLE_SQL = None
 
 
