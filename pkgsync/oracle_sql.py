@@ -73,10 +73,10 @@ FROM {src} v LEFT JOIN {tgt} t
  AND v.target_package = t.target_package AND v.version = t.version"""
 
 
-def _plan(src: str, ledger: bool = True) -> str:
+def _plan(src: str, ledger: bool = True, led: str = "led_pub") -> str:
     forb = f"(regexp_matches(s.package, {FORBIDDEN}) OR regexp_matches(s.version, {FORBIDDEN}))"
     if ledger:
-        join = "LEFT JOIN led_pub l ON s.repository = l.repository AND s.package = l.package AND s.version = l.version"
+        join = f"LEFT JOIN {led} l ON s.repository = l.repository AND s.package = l.package AND s.version = l.version"
         lp = "l.repository IS NOT NULL"
     else:
         join, lp = "", "false"
@@ -193,6 +193,8 @@ FROM (SELECT DISTINCT repository, package FROM pkgs)""",
     ),
 }
 
+CTES |= {f"{n}_all": (CTES[n][0].replace(src, f"{src}_all"), (f"{src}_all",)) for n, src in (("tgt", "fx_target"), ("led_pub", "fx_ledger_versions"))}
+
 
 def _closure(names) -> list[str]:
     order: list[str] = []
@@ -252,8 +254,8 @@ LEFT JOIN (SELECT DISTINCT repository, package FROM pkgs) s ON p.repository = s.
 LEFT JOIN (SELECT DISTINCT repository, package FROM fx_ledger_packages) l ON p.repository = l.repository AND p.package = l.package""",
     "parsed", "pkgs", "fx_ledger_packages",
 )
-oracle("tgt_repositories", "SELECT DISTINCT repository AS name FROM fx_target", "fx_target")
-oracle("tgt_versions", "SELECT repository, format, namespace, package, version, status FROM fx_target", "fx_target")
+oracle("tgt_repositories", "SELECT DISTINCT repository AS name FROM fx_target_all", "fx_target_all")
+oracle("tgt_versions", "SELECT repository, format, namespace, package, version, status FROM fx_target_all", "fx_target_all")
 oracle("target_pages", "SELECT repository, format, namespace, package, version, status FROM fx_target", "fx_target")
 oracle(
     "target_page_rejects",
@@ -400,8 +402,8 @@ FROM fx_ledger_versions""",
 )
 oracle(
     "repository_package",
-    "SELECT repository, package, repository || '/' || package AS repository_package FROM fx_ledger_packages",
-    "fx_ledger_packages",
+    "SELECT repository, package, repository || '/' || package AS repository_package FROM fx_ledger_packages_all",
+    "fx_ledger_packages_all",
 )
 oracle(
     "error_text",
@@ -643,11 +645,11 @@ FROM documents""",
 oracle(
     "ledger_refresh",
     """SELECT repository,
-       CASE WHEN repository IN (SELECT repository FROM fx_scope) THEN 0 ELSE 1 END AS all_versions_fetched,
-       CASE WHEN repository IN (SELECT repository FROM fx_scope) THEN 0 ELSE all_versions_published END AS all_versions_published,
+       CASE WHEN repository IN (SELECT repository FROM fx_requests) THEN 0 ELSE 1 END AS all_versions_fetched,
+       CASE WHEN repository IN (SELECT repository FROM fx_requests) THEN 0 ELSE all_versions_published END AS all_versions_published,
        publish_failed
-FROM fx_ledger_repositories""",
-    "fx_ledger_repositories", "fx_scope",
+FROM fx_ledger_repositories_all""",
+    "fx_ledger_repositories_all", "fx_requests",
 )
 LED_PK = ("led_pk", """SELECT * FROM fx_ledger_packages
 UNION ALL
@@ -730,9 +732,9 @@ oracle(
 )
 oracle(
     "known_versions",
-    """SELECT * FROM vers0 v WHERE EXISTS (SELECT 1 FROM fx_ledger_versions l
+    """SELECT * FROM vers0 v WHERE EXISTS (SELECT 1 FROM fx_ledger_versions_all l
    WHERE l.repository = v.repository AND l.package = v.package AND l.version = v.version)""",
-    "vers0", "fx_ledger_versions",
+    "vers0", "fx_ledger_versions_all",
 )
 oracle(
     "known_repositories",
@@ -743,9 +745,9 @@ oracle("failed_repositories", "SELECT repository FROM fx_ledger_repositories WHE
 oracle("fetched_packages", "SELECT repository, package FROM fx_ledger_packages WHERE all_versions_fetched = 1", "fx_ledger_packages")
 oracle(
     "fetched_repositories",
-    """SELECT repository FROM fx_ledger_repositories
-WHERE repository IN (SELECT repository FROM fx_scope) OR all_versions_fetched = 1""",
-    "fx_ledger_repositories", "fx_scope",
+    """SELECT repository FROM fx_ledger_repositories_all
+WHERE repository IN (SELECT repository FROM fx_requests) OR all_versions_fetched = 1""",
+    "fx_ledger_repositories_all", "fx_requests",
 )
 oracle(
     "open_repositories",
@@ -753,8 +755,8 @@ oracle(
   (SELECT repository FROM fx_ledger_repositories WHERE publish_failed = 0 OR all_versions_published = 1)""",
     "scope_reps", "fx_ledger_repositories",
 )
-oracle("ledger_packages", "SELECT DISTINCT repository, package FROM fx_ledger_packages", "fx_ledger_packages")
-oracle("ledger_versions", f"SELECT DISTINCT {VER} FROM fx_ledger_versions", "fx_ledger_versions")
+oracle("ledger_packages", "SELECT DISTINCT repository, package FROM fx_ledger_packages_all", "fx_ledger_packages_all")
+oracle("ledger_versions", f"SELECT DISTINCT {VER} FROM fx_ledger_versions_all", "fx_ledger_versions_all")
 oracle(
     "published_packages",
     """SELECT repository, package FROM fx_ledger_packages
@@ -811,13 +813,13 @@ oracle(
     *RQ_NEEDS, extra=RQ_CTES,
 )
 REPO_CTES = (
-    ("rp_inv", "SELECT * FROM inv_scope WHERE repository IN (SELECT repository FROM fx_scope)"),
+    ("rp_inv", "SELECT * FROM inv_scope WHERE repository IN (SELECT repository FROM fx_requests)"),
     ("rp_vers", _vers("rp_inv")),
     ("rp_vcoord", _vcoord("rp_vers")),
-    ("rp_state", _state("rp_vcoord")),
-    ("rp_plan", _plan("rp_state")),
+    ("rp_state", _state("rp_vcoord", "tgt_all")),
+    ("rp_plan", _plan("rp_state", led="led_pub_all")),
 )
-oracle("repository_plan", f"SELECT {PLAN_COLS} FROM rp_plan", "inv_scope", "fx_scope", "tgt", "led_pub", extra=REPO_CTES)
+oracle("repository_plan", f"SELECT {PLAN_COLS} FROM rp_plan", "inv_scope", "fx_requests", "tgt_all", "led_pub_all", extra=REPO_CTES)
 PC_CTES = (
     ("tgt_fresh", """SELECT repository, format AS package_type, namespace AS target_namespace, package AS target_package, version,
        bool_or(status = 'Published') AS target_published

@@ -72,15 +72,16 @@ class Ctx:
     def scoped(self) -> DataFrame:
         return M.in_scope(self.inventory(), self.fx.fx_repositories)
 
-    def inputs(self, with_ledger: bool = True) -> M.Inputs:
-        fx = self.fx
+    def inputs(self, with_ledger: bool = True, whole: bool = False) -> M.Inputs:
+        """``whole``: target and ledger with every repository."""
+        fx, end = self.fx, "_all" if whole else ""
         return M.Inputs(
             inventory=self.inventory(),
             repositories=fx.fx_repositories,
-            target_versions=fx.fx_target,
-            ledger_versions=fx.fx_ledger_versions if with_ledger else None,
-            ledger_packages=fx.fx_ledger_packages if with_ledger else None,
-            ledger_repositories=fx.fx_ledger_repositories if with_ledger else None,
+            target_versions=fx[f"fx_target{end}"],
+            ledger_versions=fx[f"fx_ledger_versions{end}"] if with_ledger else None,
+            ledger_packages=fx[f"fx_ledger_packages{end}"] if with_ledger else None,
+            ledger_repositories=fx[f"fx_ledger_repositories{end}"] if with_ledger else None,
         )
 
     def plan(self) -> DataFrame:
@@ -137,7 +138,7 @@ def q_requests_found(spark, sf_dir):
 def q_tgt_repositories(spark, sf_dir):
     """A5: target repository list documents parsed (every page)."""
     c = _ctx(spark, sf_dir)
-    docs = c.fx_target.select("repository").distinct().select(
+    docs = c.fx_target_all.select("repository").distinct().select(
         F.to_json(F.struct(F.array(F.struct(F.col("repository").alias("name"),
                                             F.lit("dom").alias("domainName"))).alias("repositories"))).alias("doc"))
     return DU.parse_target_repositories(docs)
@@ -148,7 +149,7 @@ def q_tgt_versions(spark, sf_dir):
     """Target version states written as JSON Lines and read back as one bulk table."""
     c = _ctx(spark, sf_dir)
     path = scratch_path(spark, "target")
-    DU.write_target_versions(c.fx_target, path)
+    DU.write_target_versions(c.fx_target_all, path)
     return DU.read_target_versions(spark, path)
 
 
@@ -405,7 +406,7 @@ def q_entity_keys(spark, sf_dir):
 @query("repository_package")
 def q_repository_package(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return c.fx_ledger_packages.select("repository", "package", P.repository_package("repository", "package").alias("repository_package"))
+    return c.fx_ledger_packages_all.select("repository", "package", P.repository_package("repository", "package").alias("repository_package"))
 
 
 @query("error_text")
@@ -708,9 +709,10 @@ def q_npm_attachment(spark, sf_dir):
 
 @query("ledger_refresh")
 def q_ledger_refresh(spark, sf_dir):
-    """Refresh the repositories in scope."""
+    """Refresh the repositories named in requests."""
     c = _ctx(spark, sf_dir)
-    return LG.refresh_repositories(LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_ledger_repositories), c.fx_scope)
+    led = c.fx_ledger_repositories_all
+    return LG.refresh_repositories(LG.mark_repositories_fetched(led, led), c.fx_requests.select("repository"))
 
 
 @query("ledger_mark_fetched")
@@ -782,7 +784,7 @@ def q_known_packages(spark, sf_dir):
 @query("known_versions")
 def q_known_versions(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    return LG.known(INV.versions(c.scoped()), c.fx_ledger_versions, LG.VER_KEY)
+    return LG.known(INV.versions(c.scoped()), c.fx_ledger_versions_all, LG.VER_KEY)
 
 
 @query("known_repositories")
@@ -804,7 +806,7 @@ def q_fetched_packages(spark, sf_dir):
 @query("fetched_repositories")
 def q_fetched_repositories(spark, sf_dir):
     c = _ctx(spark, sf_dir)
-    led = LG.mark_repositories_fetched(c.fx_ledger_repositories, c.fx_scope)
+    led = LG.mark_repositories_fetched(c.fx_ledger_repositories_all, c.fx_requests.select("repository"))
     return LG.with_flag(led, "all_versions_fetched").select("repository")
 
 
@@ -819,12 +821,12 @@ def q_open_repositories(spark, sf_dir):
 
 @query("ledger_packages")
 def q_ledger_packages(spark, sf_dir):
-    return _ctx(spark, sf_dir).fx_ledger_packages.select("repository", "package").distinct()
+    return _ctx(spark, sf_dir).fx_ledger_packages_all.select("repository", "package").distinct()
 
 
 @query("ledger_versions")
 def q_ledger_versions(spark, sf_dir):
-    return _ctx(spark, sf_dir).fx_ledger_versions.select("repository", "package", "version").distinct()
+    return _ctx(spark, sf_dir).fx_ledger_versions_all.select("repository", "package", "version").distinct()
 
 
 @query("published_packages")
@@ -871,9 +873,9 @@ def q_request_links(spark, sf_dir):
 
 @query("repository_plan")
 def q_repository_plan(spark, sf_dir):
-    """L4: plan for named repositories (here a table of names)."""
+    """L4: plan for the repositories named in requests (a table of names)."""
     c = _ctx(spark, sf_dir)
-    return M.plan(c.inputs(), scope=c.fx_scope).select(*PLAN_COLS)
+    return M.plan(c.inputs(whole=True), scope=c.fx_requests.select("repository").distinct()).select(*PLAN_COLS)
 
 
 @query("post_check")

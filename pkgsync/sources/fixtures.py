@@ -12,7 +12,8 @@ metadata) name a version, so that whole-package requests are of known packages.
 The target lacks one repository and the ledger another; the ledger has two
 repositories all published and one of them marked so, some packages fetched or
 done, and only some repositories with a failure.  ``fx_scope`` names a third of
-the repositories, ``fx_fresh_target`` is the target after a run.
+the repositories, ``fx_fresh_target`` is the target after a run.  The tables
+named ``..._all`` lack no repository.
 """
 
 from __future__ import annotations
@@ -188,6 +189,14 @@ FROM fx_base WHERE t = 1
     ),
 }
 
+# Target and ledger whole, with every repository, for the queries that return these tables or plan what requests name.
+FIXTURES |= {
+    "fx_target_all": (FIXTURES["fx_target"][0].replace(" AND repository <> 'repo-8'", ""), ("fx_base",)),
+    "fx_ledger_versions_all": (FIXTURES["fx_ledger_versions"][0].replace(" AND repository <> 'repo-12'", ""), ("fx_base",)),
+    **{f"{n}_all": (FIXTURES[n][0].replace("fx_ledger_versions", "fx_ledger_versions_all"), ("fx_ledger_versions_all",))
+       for n in ("fx_ledger_packages", "fx_ledger_repositories")},
+}
+
 
 def closure(names) -> list[str]:
     """Fixture names plus their dependencies, in build order."""
