@@ -45,10 +45,8 @@ def path_segment_count(uri: ColumnOrName) -> Column:
 def path_package(uri: ColumnOrName) -> Column:
     """maven/pypi package = path minus its last two segments; needs > 2 segments."""
     stripped = strip_leading_slash(uri)
-    return F.when(
-        path_segment_count(uri) > 2,
-        F.regexp_replace(stripped, r"/[^/]*/[^/]*$", ""),
-    )
+    last_two = F.substring_index(stripped, "/", -2)
+    return F.when(path_segment_count(uri) > 2, F.left(stripped, F.length(stripped) - F.length(last_two) - 1))
 
 
 def npm_version_from_file(file_name: ColumnOrName, package: ColumnOrName) -> Column:
@@ -77,7 +75,7 @@ def maven_namespace(package: ColumnOrName) -> Column:
     the last one, so ``foo/bar/foo`` became ``bar/foo``).
     """
     p = _c(package)
-    return F.when(p.contains("/"), F.regexp_replace(p, r"/[^/]*$", "")).otherwise(_lit(""))
+    return F.when(p.contains("/"), F.left(p, F.length(p) - F.length(F.substring_index(p, "/", -1)) - 1)).otherwise(_lit(""))
 
 
 def target_namespace(package_type: ColumnOrName, package: ColumnOrName) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import filters as C
 from ..functions import paths as P
 from .joins import bounded_broadcast
+from .once import evaluated_once
 
 INVENTORY_COLUMNS = ("repository", "package_type", "uri", "size_bytes", "file_name", "package", "version", "copy", "slot")
 # A file's slot, by a hash of its path: a key to spread the files of one version (one bit each of a long).
@@ -61,13 +62,13 @@ def derive_coordinates(files: DataFrame, match: str = "contains") -> DataFrame:
     mp_pkg = F.when(~C.is_maven_metadata(uri), P.path_package(uri))
     package = F.when(t == "npm", npm_pkg).when(t.isin("maven", "pypi"), mp_pkg)
 
-    out = files.withColumn("file_name", file_name).withColumn("package", package)
+    out = evaluated_once(files, file_name=file_name, package=package)
     pkg = F.col("package")
     version = (
         F.when((t == "npm") & pkg.isNotNull(), P.npm_version_from_file("file_name", pkg))
         .when(t.isin("maven", "pypi") & pkg.isNotNull() & C.is_discoverable(uri, match), P.path_version(uri))
     )
-    out = out.withColumn("version", version)
+    out = evaluated_once(out, version=version)
     v = F.col("version")
     copy = (
         F.when(t == "npm", v.isNotNull())

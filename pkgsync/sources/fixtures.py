@@ -197,6 +197,23 @@ FIXTURES |= {
        for n in ("fx_ledger_packages", "fx_ledger_repositories")},
 }
 
+# On Spark the names that only depend on a part are made once per part, not once per line; the rows are the same.
+SPARK_TEXT = {
+    "fx_base": """
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag,
+       concat('repo-', CAST((l.l_suppkey * 7 + l.l_linenumber) % 25 AS STRING)) AS repository,
+       ((l.l_suppkey * 7 + l.l_linenumber) % 25) % 4 AS t,
+       p.grp, p.scope, p.name,
+       concat(CAST(l.l_linenumber AS STRING), '.', CAST(l.l_orderkey % 5 AS STRING), '.', CAST(l.l_partkey % 3 AS STRING),
+              CASE WHEN l.l_orderkey % 23 = 0 THEN '+b1' WHEN l.l_orderkey % 19 = 0 THEN '-beta-2' ELSE '' END) AS version,
+       CAST(floor(l.l_extendedprice) AS BIGINT) AS size_bytes
+FROM lineitem l JOIN (
+  SELECT p_partkey, concat('com/', lower(p_type)) AS grp, lower(replace(p_brand, '#', '')) AS scope,
+         concat(replace(p_name, ' ', CASE WHEN p_partkey % 5 = 0 THEN '_' ELSE '-' END), '-', CAST(p_partkey AS STRING)) AS name
+  FROM part) p ON l.l_partkey = p.p_partkey
+""",
+}
+
 
 def closure(names) -> list[str]:
     """Fixture names plus their dependencies, in build order."""
@@ -258,7 +275,7 @@ class Fixtures:
             self._register_base()
             for n in closure([name]):
                 if n not in self._frames:
-                    df = self.spark.sql(self._sql(FIXTURES[n][0]))
+                    df = self.spark.sql(self._sql(SPARK_TEXT.get(n, FIXTURES[n][0])))
                     df.createOrReplaceTempView(self._view(n))
                     self._frames[n] = df
         return self._frames[name]
