@@ -16,6 +16,7 @@ from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
 from ..operators.joins import bounded_broadcast
+from ..session import scratch_path
 
 DRYRUN_HOST = "dryrun-endpoint.invalid"
 
@@ -193,30 +194,35 @@ def require_valid_requests(inputs: Inputs, requests: DataFrame) -> None:
 VERSION_KEY = ["repository", "package", "version"]
 
 
-def version_facts(inv: DataFrame, ledger_versions: DataFrame | None = None, named: DataFrame | None = None) -> DataFrame:
+PACKAGE_FLAGS = ["package_in_ledger", "fetched", "done", "whole"]
+
+
+def version_facts(inv: DataFrame, ledger_versions: DataFrame | None = None, *more: DataFrame) -> DataFrame:
     """What is known of each (repository, package, version), by one aggregate over the rows of all sides.
 
-    Files (``in_source``, ``n_files``, ``copy_bytes``, ``slots``), ledger rows (``in_ledger``, ``ledger_published``) and
-    versions that requests name (``named``) are put under one another and grouped once: one shuffle, files combined
-    before it, no join between the sides.  Files without a version have a row with version NULL, which tells that the
-    source knows the package.
+    Files (``in_source``, ``n_files``, ``copy_bytes``, ``slots``) and ledger rows (``in_ledger``, ``ledger_published``) are
+    put under one another and grouped once: one shuffle, files combined before it, no join between the sides.  Files
+    without a version have a row with version NULL, which tells that the source knows the package.  ``more``: rows with
+    the key and any of the flags ``named`` and ``PACKAGE_FLAGS``, those of whole packages with version NULL.
     """
+    flags = ["named", *PACKAGE_FLAGS] if more else []
     no, yes, key = F.lit(False), F.lit(True), [F.col(c) for c in VERSION_KEY]
 
-    def side(df, copy=no, size=F.lit(None).cast("bigint"), slot=F.lit(None).cast("tinyint"), source=no, ledger=no, published=no, by_name=no):
+    def side(df, copy=no, size=F.lit(None).cast("bigint"), slot=F.lit(None).cast("tinyint"), source=no, ledger=no, published=no):
         return df.select(*key, copy.alias("copy"), size.alias("size_bytes"), slot.alias("slot"), source.alias("in_source"),
-                         ledger.alias("in_ledger"), published.alias("ledger_published"), by_name.alias("named"))
+                         ledger.alias("in_ledger"), published.alias("ledger_published"),
+                         *[(F.col(f) if f in df.columns else no).alias(f) for f in flags])
 
     rows = side(INV.with_slot(inv).where(F.col("package").isNotNull()), F.col("copy"), F.col("size_bytes"), F.col("slot"), source=yes)
     if ledger_versions is not None:
         rows = rows.unionByName(side(ledger_versions, ledger=yes, published=F.coalesce(F.col("published") == 1, no)))
-    if named is not None:
-        rows = rows.unionByName(side(named, by_name=yes))
+    for df in more:
+        rows = rows.unionByName(side(df))
     return rows.groupBy(*VERSION_KEY).agg(
         F.count_if("copy").cast("bigint").alias("n_files"),
         F.coalesce(F.sum(F.when(F.col("copy"), F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
         INV.slots_of().alias("slots"),
-        *[F.bool_or(c).alias(c) for c in ("in_source", "in_ledger", "ledger_published", "named")],
+        *[F.bool_or(c).alias(c) for c in ("in_source", "in_ledger", "ledger_published", *flags)],
     )
 
 
@@ -228,29 +234,30 @@ def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) ->
     (D7).  All versions of a package are those of the ledger where it has fetched them all (K6) and none where it has
     published them all (K12), else those of the listing.
 
-    One aggregate gives the versions (``version_facts``), one over its rows, the ledger's packages and the entries gives
-    what holds for a package; the first one's shuffle is reused.  Nothing is hinted or counted beforehand.
+    One aggregate over files, ledger rows, the ledger's packages and the entries gives the versions (``version_facts``),
+    one over its rows gives what holds for a package; the first one's rows are stored on the shared scratch root, since
+    Spark would work them out again for the second.  Nothing is hinted or counted beforehand.
     """
     from ..operators import requests as RQ
 
     if strict:
         require_valid_requests(inputs, requests)
     scope = bounded_broadcast(scope_repositories(inputs.repositories))
-    parsed = RQ.parse_requests(requests)
-    one = parsed.where(F.col("kind") == "one_version")
-    facts = version_facts(in_scope(inputs.inventory, inputs.repositories, scope_df=scope), inputs.ledger_versions, one.select(*VERSION_KEY))
-
-    no = F.lit(False)
-
-    def about(df, source=no, ledger=no, fetched=no, done=no, whole=no):
-        return df.select("repository", "package", source.alias("_source"), ledger.alias("_ledger"), fetched.alias("_fetched"), done.alias("_done"), whole.alias("_whole"))
-
-    packages = about(facts, source=F.col("in_source")).unionByName(about(parsed.where(F.col("kind") == "all_versions"), whole=F.lit(True)))
+    no, kind = F.lit(False), F.col("kind")
+    entries = RQ.parse_requests(requests).where(kind.isin("one_version", "all_versions"))
+    more = [entries.select(*VERSION_KEY, (kind == "one_version").alias("named"), (kind == "all_versions").alias("whole"))]
     if inputs.ledger_packages is not None:
-        packages = packages.unionByName(about(inputs.ledger_packages, ledger=F.lit(True), fetched=F.coalesce(F.col("all_versions_fetched") == 1, no),
-                                              done=F.coalesce(F.col("all_versions_published") == 1, no)))
-    packages = packages.groupBy("repository", "package").agg(*[F.bool_or(c).alias(c) for c in ("_source", "_ledger", "_fetched", "_done", "_whole")])
-    found = facts.where(F.col("version").isNotNull()).join(packages.where("_source or _ledger"), ["repository", "package"], "inner")
+        more.append(inputs.ledger_packages.select(
+            "repository", "package", F.lit(None).cast("string").alias("version"), F.lit(True).alias("package_in_ledger"),
+            F.coalesce(F.col("all_versions_fetched") == 1, no).alias("fetched"), F.coalesce(F.col("all_versions_published") == 1, no).alias("done")))
+    facts = version_facts(in_scope(inputs.inventory, inputs.repositories, scope_df=scope), inputs.ledger_versions, *more)
+    stored = scratch_path(facts.sparkSession, "version-facts")
+    facts.write.parquet(stored)
+    facts = facts.sparkSession.read.schema(facts.schema).parquet(stored)
+
+    packages = facts.groupBy("repository", "package").agg(F.bool_or("in_source").alias("_source"), *[F.bool_or(f).alias(f"_{f}") for f in PACKAGE_FLAGS])
+    known = packages.where("_source or _package_in_ledger")
+    found = facts.drop(*PACKAGE_FLAGS).where(F.col("version").isNotNull()).join(known, ["repository", "package"], "inner")
     by_package = F.col("_whole") & ~F.col("_done") & F.when(F.col("_fetched"), F.col("in_ledger")).otherwise(F.col("in_source"))
     wanted = found.withColumn("by_package", by_package).withColumnRenamed("named", "by_name").where("by_name or by_package")
     rows = wanted.join(scope, "repository", "inner").select(
