@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text as JT
 from ..functions import paths as P
+from .once import evaluated_once
 
 # As in json_text: the functions of this module that run in Python workers are pickled by value.
 try:
@@ -66,7 +67,7 @@ def tarball_url(endpoint_col: str = "endpoint") -> F.Column:
 
 def with_publish_parts(docs: DataFrame, col: str = "metadata", endpoint_col: str = "endpoint") -> DataFrame:
     """``_parts``: the edited text of each document (``json_text.publish_parts``), one pass over each text."""
-    return docs.withColumn("_parts", F.pandas_udf(_publish_parts, PARTS_SCHEMA)(col, "version", tarball_url(endpoint_col)))
+    return evaluated_once(docs, _parts=F.pandas_udf(_publish_parts, PARTS_SCHEMA)(col, "version", tarball_url(endpoint_col)))
 
 
 def npm_single_version(docs: DataFrame, endpoint_col: str = "endpoint") -> DataFrame:
