@@ -23,7 +23,7 @@ def _lit(s: str) -> Column:
 
 def basename(c: ColumnOrName) -> Column:
     """B1: last path segment."""
-    return F.split_part(_c(c), _lit("/"), F.lit(-1))
+    return F.substring_index(_c(c), "/", -1)
 
 
 def strip_leading_slash(c: ColumnOrName) -> Column:
@@ -33,7 +33,7 @@ def strip_leading_slash(c: ColumnOrName) -> Column:
 
 def npm_package_from_path(uri: ColumnOrName) -> Column:
     """B2: npm package = path without its leading '/', text before '/-/'."""
-    return F.split_part(strip_leading_slash(uri), _lit("/-/"), F.lit(1))
+    return F.substring_index(strip_leading_slash(uri), "/-/", 1)
 
 
 def path_segment_count(uri: ColumnOrName) -> Column:
@@ -46,7 +46,8 @@ def path_package(uri: ColumnOrName) -> Column:
     """maven/pypi package = path minus its last two segments; needs > 2 segments."""
     stripped = strip_leading_slash(uri)
     last_two = F.substring_index(stripped, "/", -2)
-    return F.when(path_segment_count(uri) > 2, F.left(stripped, F.length(stripped) - F.length(last_two) - 1))
+    longer = F.octet_length(last_two) < F.octet_length(stripped)
+    return F.when(longer, F.left(stripped, F.length(stripped) - F.length(last_two) - 1))
 
 
 def npm_version_from_file(file_name: ColumnOrName, package: ColumnOrName) -> Column:
@@ -65,7 +66,8 @@ def npm_version_from_file(file_name: ColumnOrName, package: ColumnOrName) -> Col
 
 def path_version(uri: ColumnOrName) -> Column:
     """maven/pypi version = the segment before the file name."""
-    return F.split_part(_c(uri), _lit("/"), F.lit(-2))
+    # The slash before it gives a path of one segment an empty one, as splitting does.
+    return F.substring_index(F.substring_index(F.concat(_lit("/"), _c(uri)), "/", -2), "/", 1)
 
 
 def maven_namespace(package: ColumnOrName) -> Column:
@@ -81,7 +83,7 @@ def maven_namespace(package: ColumnOrName) -> Column:
 def target_namespace(package_type: ColumnOrName, package: ColumnOrName) -> Column:
     """B7 (namespace part): npm scope without '@'; maven dotted group; pypi ''."""
     t, p = _c(package_type), _c(package)
-    npm_ns = F.when(p.contains("/"), F.replace(F.split_part(p, _lit("/"), F.lit(1)), _lit("@"), _lit(""))).otherwise(_lit(""))
+    npm_ns = F.when(p.contains("/"), F.replace(F.substring_index(p, "/", 1), _lit("@"), _lit(""))).otherwise(_lit(""))
     return (
         F.when(t == "npm", npm_ns)
         .when(t == "maven", F.replace(maven_namespace(p), _lit("/"), _lit(".")))

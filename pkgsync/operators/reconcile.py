@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import filters as C
-from .inventory import catalogue, with_target_coordinates
-from .joins import bounded_broadcast
+from .inventory import VERSION_KEY, catalogue, with_target_coordinates
+from .joins import KEY_HASH, bounded_broadcast, hashed
+from .once import evaluated_once
 from .ranking import index_within
 
 # Version state codes (fixed values of the source tool).
@@ -84,18 +85,15 @@ def target_state_table(target_versions: DataFrame) -> DataFrame:
     The pre-aggregation is on the join key itself, so the join reuses its
     partitioning (no extra exchange) and duplicate target rows cannot fan out.
     """
-    return (
-        target_versions.select(
-            "repository",
-            F.col("format").alias("package_type"),
-            F.coalesce("namespace", F.lit("")).alias("target_namespace"),
-            F.col("package").alias("target_package"),
-            "version",
-            (F.col("status") == PUBLISHED_STATUS).alias("_published"),
-        )
-        .groupBy(*TARGET_KEY)
-        .agg(F.bool_or("_published").alias("target_published"))
+    states = target_versions.select(
+        "repository",
+        F.col("format").alias("package_type"),
+        F.coalesce("namespace", F.lit("")).alias("target_namespace"),
+        F.col("package").alias("target_package"),
+        "version",
+        (F.col("status") == PUBLISHED_STATUS).alias("_published"),
     )
+    return hashed(states, TARGET_KEY).groupBy(KEY_HASH, *TARGET_KEY).agg(F.bool_or("_published").alias("target_published"))
 
 
 def version_state(versions: DataFrame, target_versions: DataFrame) -> DataFrame:
@@ -105,9 +103,9 @@ def version_state(versions: DataFrame, target_versions: DataFrame) -> DataFrame:
     ``state`` is the name.  Left join on the five-column key (sort-merge at scale;
     the key includes the version, so no single key is hot).
     """
-    v = with_target_coordinates(versions)
+    v = hashed(evaluated_once(with_target_coordinates(versions), **{c: F.col(c) for c in ("namespace", "target_namespace", "target_package")}), TARGET_KEY)
     tgt = target_state_table(target_versions)
-    j = v.join(tgt, list(TARGET_KEY), "left")
+    j = v.join(tgt, [KEY_HASH, *TARGET_KEY], "left").drop(KEY_HASH)
     code = (
         F.when(F.col("target_published").isNull(), F.lit(STATE_MISSING))
         .when(F.col("target_published"), F.lit(STATE_PUBLISHED))
@@ -119,12 +117,12 @@ def version_state(versions: DataFrame, target_versions: DataFrame) -> DataFrame:
 
 def published_in_ledger(ledger_versions: DataFrame) -> DataFrame:
     """Version keys the ledger marks published."""
-    return ledger_versions.where(F.col("published") == 1).select("repository", "package", "version").distinct()
+    return ledger_versions.where(F.col("published") == 1).select(*VERSION_KEY).distinct()
 
 
 def pending_versions(versions: DataFrame, ledger_versions: DataFrame) -> DataFrame:
     """Versions not yet published according to the ledger (left anti join)."""
-    return versions.join(published_in_ledger(ledger_versions), ["repository", "package", "version"], "left_anti")
+    return versions.join(published_in_ledger(ledger_versions), list(VERSION_KEY), "left_anti")
 
 
 # --- decisions ----------------------------------------------------------------------
@@ -141,9 +139,10 @@ def mark_ledger_published(versions: DataFrame, ledger_versions: DataFrame | None
     """
     if ledger_versions is None:
         return versions.withColumn("ledger_published", F.lit(False))
-    led = published_in_ledger(ledger_versions).withColumn("_led", F.lit(True))
-    out = versions.join(led, ["repository", "package", "version"], "left")
-    return out.withColumn("ledger_published", F.coalesce("_led", F.lit(False))).drop("_led")
+    key = [KEY_HASH, *VERSION_KEY]
+    led = hashed(ledger_versions.where(F.col("published") == 1), VERSION_KEY).select(*key).distinct().withColumn("_led", F.lit(True))
+    out = (versions if KEY_HASH in versions.columns else hashed(versions, VERSION_KEY)).join(led, key, "left")
+    return out.withColumn("ledger_published", F.coalesce("_led", F.lit(False))).drop("_led", KEY_HASH)
 
 
 def decide(state: DataFrame, ledger_versions: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from ..functions import filters as C
 from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import KEY_HASH, bounded_broadcast, hashed
 from ..session import scratch_path
 
 DRYRUN_HOST = "dryrun-endpoint.invalid"
@@ -69,9 +69,9 @@ def versions_with_stats(inv: DataFrame, types: DataFrame | None = None) -> DataF
     With ``types`` (repository -> package_type, one row per repository,
     already size-checked for broadcast by the caller) the
     aggregation key is exactly (repository, package, version) -- the ledger's
-    key -- so the ledger join that follows reuses this partitioning instead of
-    re-shuffling every version; the type comes back through a broadcast join,
-    which keeps the partitioning.  Without it the type is a grouping key.
+    key, behind its hash (``KEY_HASH``, kept) -- so the ledger join that follows
+    reuses this partitioning instead of re-shuffling every version; the type
+    comes back through a broadcast join, which keeps the partitioning.  Without it the type is a grouping key.
     """
     copy = F.col("copy")
     stats = [
@@ -82,9 +82,9 @@ def versions_with_stats(inv: DataFrame, types: DataFrame | None = None) -> DataF
     v = INV.with_slot(inv).where(F.col("version").isNotNull())
     if types is None:
         return v.groupBy("repository", "package_type", "package", "version").agg(*stats)
-    agg = v.groupBy("repository", "package", "version").agg(*stats)
+    agg = hashed(v, VERSION_KEY).groupBy(KEY_HASH, *VERSION_KEY).agg(*stats)
     return agg.join(types.select("repository", "package_type"), "repository", "inner").select(
-        "repository", "package_type", "package", "version", "n_files", "copy_bytes", "slots")
+        KEY_HASH, "repository", "package_type", "package", "version", "n_files", "copy_bytes", "slots")
 
 
 def with_endpoint(df: DataFrame, endpoints: DataFrame | None, host: str = DRYRUN_HOST) -> DataFrame:
@@ -279,12 +279,13 @@ def request_links(plan_df: DataFrame, requests: DataFrame) -> DataFrame:
 
 # --- resume (L7) ---------------------------------------------------------------------------
 
+def _package_flags() -> list[F.Column]:
+    return [F.bool_or(F.col("all_versions_fetched") == 1).alias("fetched"), F.bool_or(F.col("all_versions_published") == 1).alias("done")]
+
+
 def package_flags(ledger_packages: DataFrame) -> DataFrame:
     """One row per ledger package: ``fetched`` (K6) and ``done``."""
-    return ledger_packages.groupBy("repository", "package").agg(
-        F.bool_or(F.col("all_versions_fetched") == 1).alias("fetched"),
-        F.bool_or(F.col("all_versions_published") == 1).alias("done"),
-    )
+    return ledger_packages.groupBy("repository", "package").agg(*_package_flags())
 
 
 def sourced_versions(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFrame:
@@ -298,7 +299,9 @@ def sourced_versions(inputs: Inputs, inv: DataFrame, scope: DataFrame) -> DataFr
     rows = facts.join(scope.select("repository", "package_type"), "repository", "inner")
     if inputs.ledger_packages is None or inputs.ledger_versions is None:
         return rows.where("in_source").withColumn("source", F.lit("listing")).withColumn("done", F.lit(False))
-    rows = rows.join(package_flags(inputs.ledger_packages).withColumn("_known", F.lit(True)), ["repository", "package"], "left")
+    keys = ["repository", "package"]
+    flags = hashed(inputs.ledger_packages, keys).groupBy(KEY_HASH, *keys).agg(*_package_flags(), F.lit(True).alias("_known"))
+    rows = hashed(rows, keys).join(flags, [KEY_HASH, *keys], "left").drop(KEY_HASH)
     if inputs.ledger_repositories is not None:
         listed = inputs.ledger_repositories.where(F.col("all_versions_fetched") == 1).select("repository").distinct().withColumn("_listed", F.lit(True))
         rows = rows.join(bounded_broadcast(listed), "repository", "left").where(F.col("_known") | F.col("_listed").isNull())
