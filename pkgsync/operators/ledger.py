@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions import filters as C
 from ..functions import paths as P
-from .joins import bounded_broadcast
+from .joins import KEY_HASH, bounded_broadcast, hashed
 
 REPO_KEY = ["repository"]
 PKG_KEY = ["repository", "package"]
@@ -109,8 +109,8 @@ def add_repositories(ledger: DataFrame, repositories: DataFrame) -> DataFrame:
 def add_packages(ledger: DataFrame, packages: DataFrame) -> DataFrame:
     """New package root rows with flags 0."""
     new = (
-        packages.select(*PKG_KEY).distinct()
-        .join(ledger.select(*PKG_KEY), PKG_KEY, "left_anti")
+        hashed(packages.select(*PKG_KEY), PKG_KEY).distinct()
+        .join(hashed(ledger.select(*PKG_KEY), PKG_KEY), [KEY_HASH, *PKG_KEY], "left_anti")
         .select(*PKG_KEY, F.lit(0).alias("all_versions_fetched"), F.lit(0).alias("all_versions_published"))
     )
     return ledger.unionByName(new)
@@ -119,8 +119,8 @@ def add_packages(ledger: DataFrame, packages: DataFrame) -> DataFrame:
 def add_versions(ledger: DataFrame, versions: DataFrame) -> DataFrame:
     """New version rows, not published, not failed, no error."""
     new = (
-        versions.select(*VER_KEY).distinct()
-        .join(ledger.select(*VER_KEY), VER_KEY, "left_anti")
+        hashed(versions.select(*VER_KEY), VER_KEY).distinct()
+        .join(hashed(ledger.select(*VER_KEY), VER_KEY), [KEY_HASH, *VER_KEY], "left_anti")
         .select(*VER_KEY, F.lit(0).alias("published"), F.lit(0).alias("publish_failed"), F.lit("").alias("publish_error"))
     )
     return ledger.unionByName(new)
@@ -133,10 +133,10 @@ def set_flag(table: DataFrame, keys: list[str], which: DataFrame, flag: str, val
 
     Left join to the distinct keys + CASE; rows and columns otherwise unchanged.
     """
-    hit = which.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    hit = hashed(which.select(*keys), keys).distinct().withColumn("_hit", F.lit(True))
     cols = [F.when(F.col("_hit"), F.lit(value)).otherwise(F.col(flag)).cast("int").alias(flag) if c == flag else F.col(c)
             for c in table.columns]
-    return table.join(hit, keys, "left").select(*cols)
+    return hashed(table, keys).join(hit, [KEY_HASH, *keys], "left").select(*cols)
 
 
 def refresh_repositories(ledger_repositories: DataFrame, repositories: DataFrame) -> DataFrame:
