@@ -8,16 +8,18 @@ before is not closed again, and groups go on where the piece before left them.
 
 Tasks gather documents into chunks of about ``CHUNK`` characters.  The distinct segments of a chunk (``segments``) are
 encoded once and lie one after another in its two lists, so a chunk with one long text is cut like any other.  A chunk
-is one row of a table: what its documents count by themselves, its streams of segments, its id pairs and how many of
-its documents hold each.  The corpus-wide counts are sums over chunks, so a pair that every document holds is one row
-in each chunk; counts go back to each chunk once.
+is a few rows of a table: its id pairs and how many of its documents hold each, and, compressed and cut into blocks, what
+its documents count by themselves and its streams of segments.  No row is large, whatever the texts.  The corpus-wide
+counts are sums over chunks, so a pair that every document holds is one row in each chunk; counts go back to each chunk
+once, and meet its blocks in partitions of a few chunks each, however many there are.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,13 @@ from .segments import segments
 
 #: Characters of text in a chunk (a longer text is a chunk of its own), ends in a piece, segments given to a library at a time.
 CHUNK, PIECE, RUN = 3_000_000, 65_536, 20_000
-CHUNKS = ("chunk long, doc_ids binary, doc_nulls binary, own binary, hashes array<string>, groups array<string>, stream binary, "
-          "stream_ends binary, links binary, link_ends binary, codes array<long>, holders array<long>")
-CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.binary()), ("doc_nulls", pa.binary()), ("own", pa.binary()),
-                          ("hashes", pa.list_(pa.string())), ("groups", pa.list_(pa.string())), ("stream", pa.binary()),
-                          ("stream_ends", pa.binary()), ("links", pa.binary()), ("link_ends", pa.binary()),
-                          ("codes", pa.list_(pa.int64())), ("holders", pa.list_(pa.int64()))])
+#: Bytes of a chunk in one row, chunks that a task finishes.
+BLOCK, TOGETHER = 1 << 18, 4
+CHUNKS = "chunk long, block int, bytes binary, codes array<long>, holders array<long>"
+CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("block", pa.int32()), ("bytes", pa.binary()), ("codes", pa.list_(pa.int64())),
+                          ("holders", pa.list_(pa.int64()))])
+INSIDE = pa.schema([*((c, pa.binary()) for c in ("doc_ids", "doc_nulls", "own", "stream", "stream_ends", "links", "n_links")),
+                    ("hashes", pa.list_(pa.string())), ("groups", pa.list_(pa.string()))])
 
 
 def merge_path(a: np.ndarray, b: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
@@ -106,19 +109,22 @@ class Pair:
         self.size_a, self.size_b = np.array([len(x) for x in self.bytes_a]), np.array([len(x) for x in self.bytes_b])
         self.word_a, self.word_b = [str(k) for k in range(len(self.bytes_a))], [str(k) for k in range(len(self.bytes_b))]
 
-    def encode(self, some: list[str]) -> tuple[list, list, np.ndarray]:
-        """Ids by A and B of segments, each after a space, and which of them don't spell their bytes (these get no ids)."""
-        ids_a, ids_b = [], []
+    def encode(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids by A and B of segments, each after a space, how many each has, and which don't spell their bytes (these get no ids)."""
+        flat_a, flat_b, n_a, n_b, bad = [], [], np.zeros(len(some), np.int64), np.zeros(len(some), np.int64), np.zeros(len(some), bool)
         for s in range(0, len(some), RUN):
             run = some[s:s + RUN]
-            ids_a += [e.ids for e in self.a.encode_batch_fast([" " + w for w in run], add_special_tokens=False)]
-            ids_b += self.b.encode(run, num_threads=1)
-        bad = np.zeros(len(some), bool)
-        for k, w in enumerate(some):
-            whole = (" " + w).encode()
-            if b"".join([self.bytes_a[i] for i in ids_a[k]]) != whole or b"".join([self.bytes_b[i] for i in ids_b[k]]) != whole:
-                bad[k], ids_a[k], ids_b[k] = True, [], []
-        return ids_a, ids_b, bad
+            ids_a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in run], add_special_tokens=False)]
+            ids_b = self.b.encode(run, num_threads=1)
+            for k, w in enumerate(run):
+                whole = (" " + w).encode()
+                if b"".join([self.bytes_a[i] for i in ids_a[k]]) != whole or b"".join([self.bytes_b[i] for i in ids_b[k]]) != whole:
+                    bad[s + k], ids_a[k], ids_b[k] = True, [], []
+            for ids, n, flat in ((ids_a, n_a, flat_a), (ids_b, n_b, flat_b)):
+                n[s:s + RUN] = [len(x) for x in ids]
+                flat.append(np.fromiter(chain.from_iterable(ids), np.int64, n[s:s + RUN].sum()))
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *flat_a]), np.concatenate([none, *flat_b]), n_a, n_b, bad
 
 
 @lru_cache(maxsize=2)
@@ -153,20 +159,20 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def aligned_chunk(number: int, docs: list[tuple], pair: Pair, with_groups: bool = False, piece: int = PIECE) -> dict:
-    """One row of the table of chunks for documents (id, text)."""
+    """What the table of chunks holds of documents (id, text)."""
     numbers = Numbers()
     streams = [np.concatenate([np.fromiter(map(numbers.__getitem__, some), np.uint32, len(some)) for some in segments(t)]) if t else np.empty(0, np.uint32)
                for _, t in docs]
-    ids_a, ids_b, bad = pair.encode(list(numbers))
+    some = list(numbers)
     del numbers
-    n_a, n_b = np.array([len(x) for x in ids_a], np.int64), np.array([len(x) for x in ids_b], np.int64)
-    flat_a, flat_b = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum()), np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
-    del ids_a, ids_b
+    flat_a, flat_b, n_a, n_b, bad = pair.encode(some)
+    del some
     of_a, of_b, group_a, group_b = align_ends(ends(pair.size_a[flat_a]), ends(pair.size_b[flat_b]), piece)
     segment_a = np.repeat(np.arange(len(n_a)), n_a)
     shown, n_groups = spelt(flat_a, flat_b, group_a, group_b, segment_a, len(n_a), pair)
-    codes, links = np.unique(flat_a[of_a] << 16 | flat_b[of_b], return_inverse=True)
-    segment = segment_a[of_a]
+    code, segment = flat_a[of_a] << 16 | flat_b[of_b], segment_a[of_a]
+    del flat_a, flat_b, of_a, of_b, group_a, group_b, segment_a
+    codes, links = np.unique(code, return_inverse=True)
     links = links[np.argsort(segment, kind="stable")].astype(np.uint32)
     n_links = np.bincount(segment, minlength=len(n_a))
 
@@ -184,19 +190,24 @@ def aligned_chunk(number: int, docs: list[tuple], pair: Pair, with_groups: bool
                 written.append(text)
         hashes.append(digest.hexdigest() if len(s) else "")
         groups.append("".join(written) if with_groups else None)
-    # each document's distinct segments, then its distinct pairs
-    key = np.unique(np.repeat(np.arange(len(docs)), [len(s) for s in streams]) * max(len(n_a), 1) + stream)
-    doc, each = key // max(len(n_a), 1), key % max(len(n_a), 1)
-    at = spread((np.cumsum(n_links) - n_links)[each], n_links[each])
-    held = np.unique(np.repeat(doc, n_links[each]) * max(len(codes), 1) + links[at]) % max(len(codes), 1)
-    holders = np.bincount(held, minlength=len(codes))
+    # each document's distinct segments, then its distinct pairs, for a run of documents at a time
+    before, holders, s = np.cumsum(n_links) - n_links, np.zeros(len(codes), np.int64), 0
+    starts = np.concatenate([[0], stops])
+    while s < len(docs):
+        e = max(s + 1, int(np.searchsorted(stops, starts[s] + RUN, "right")))
+        key = np.unique(np.repeat(np.arange(e - s), np.diff(starts[s:e + 1])) * max(len(n_a), 1) + stream[starts[s]:starts[e]])
+        doc, each = key // max(len(n_a), 1), key % max(len(n_a), 1)
+        at = spread(before[each], n_links[each])
+        held = np.unique(np.repeat(doc, n_links[each]) * max(len(codes), 1) + links[at]) % max(len(codes), 1)
+        holders += np.bincount(held, minlength=len(codes))
+        s = e
     used = holders > 0  # pairs of documents without tokens are held by none
     places = np.cumsum(used) - 1
     links = np.where(used[links], places[links], 0).astype(np.uint32)
     return {"chunk": number, "doc_ids": np.array([x or 0 for x, _ in docs], "<i8").tobytes(),
             "doc_nulls": np.array([x is None for x, _ in docs], np.uint8).tobytes(), "own": own.astype("<i8").tobytes(), "hashes": hashes,
             "groups": groups, "stream": stream.astype("<u4").tobytes(), "stream_ends": stops.astype("<i8").tobytes(),
-            "links": links.astype("<u4").tobytes(), "link_ends": np.cumsum(n_links).astype("<i8").tobytes(), "codes": codes[used], "holders": holders[used]}
+            "links": links.astype("<u4").tobytes(), "n_links": n_links.astype("<u4").tobytes(), "codes": codes[used], "holders": holders[used]}
 
 
 def spelt(flat_a, flat_b, group_a, group_b, segment_a, n: int, pair: Pair) -> tuple[list[str], np.ndarray]:
@@ -204,17 +215,30 @@ def spelt(flat_a, flat_b, group_a, group_b, segment_a, n: int, pair: Pair) -> tu
     a, b = list(map(pair.word_a.__getitem__, flat_a.tolist())), list(map(pair.word_b.__getitem__, flat_b.tolist()))
     starts_a = np.flatnonzero(np.diff(group_a, prepend=-1))
     stops_a, stops_b = np.append(starts_a[1:], len(a)).tolist(), np.append(np.flatnonzero(np.diff(group_b)) + 1, len(b)).tolist()
-    texts, i, j = [], 0, 0
-    for x, y in zip(stops_a, stops_b, strict=False):
-        texts.append((a[i] if x == i + 1 else ",".join(a[i:x])) + "|" + (b[j] if y == j + 1 else ",".join(b[j:y])))
-        i, j = x, y
-    n_groups = np.bincount(segment_a[starts_a], minlength=n) if len(starts_a) else np.zeros(n, np.int64)
-    stops = np.cumsum(n_groups).tolist()
-    return [";".join(texts[s:e]) if e > s + 1 else texts[s] if e > s else "" for s, e in zip([0, *stops], stops, strict=False)], n_groups
+
+    def texts():
+        i, j = 0, 0
+        for x, y in zip(stops_a, stops_b, strict=False):
+            yield (a[i] if x == i + 1 else ",".join(a[i:x])) + "|" + (b[j] if y == j + 1 else ",".join(b[j:y]))
+            i, j = x, y
+
+    n_groups, each = np.bincount(segment_a[starts_a], minlength=n) if len(starts_a) else np.zeros(n, np.int64), texts()
+    return [";".join(islice(each, k)) for k in n_groups.tolist()], n_groups
+
+
+def chunk_rows(row: dict, block: int = BLOCK) -> pa.RecordBatch:
+    """The rows of one chunk: blocks of its bytes, the first with its pairs."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, INSIDE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(pa.RecordBatch.from_pylist([row], INSIDE))
+    whole = sink.getvalue()
+    rows = [{"chunk": row["chunk"], "block": k, "bytes": whole[at:at + block].to_pybytes()} for k, at in enumerate(range(0, whole.size, block))]
+    rows[0] |= {"codes": row["codes"], "holders": row["holders"]}
+    return pa.RecordBatch.from_pylist(rows, CHUNK_SCHEMA)
 
 
 def write_chunks(docs: DataFrame, out: str, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
-                 with_groups: bool = False, chunk: int = CHUNK) -> None:
+                 with_groups: bool = False, chunk: int = CHUNK, block: int = BLOCK) -> None:
     """Align every document and write the table of chunks at ``out``."""
 
     def run(batches):
@@ -226,10 +250,10 @@ def write_chunks(docs: DataFrame, out: str, path_a: str, path_b: str, id_col: st
                 held.append((doc_id, text.as_py()))
                 size += len(held[-1][1])
                 if size >= chunk:
-                    yield pa.RecordBatch.from_pylist([aligned_chunk(number, held, pair, with_groups)], schema=CHUNK_SCHEMA)
+                    yield chunk_rows(aligned_chunk(number, held, pair, with_groups), block)
                     held, size, number = [], 0, number + 1
         if held:
-            yield pa.RecordBatch.from_pylist([aligned_chunk(number, held, pair, with_groups)], schema=CHUNK_SCHEMA)
+            yield chunk_rows(aligned_chunk(number, held, pair, with_groups), block)
 
     (documents(docs, id_col, text_col).select("doc_id", "text").mapInArrow(run, CHUNKS)
      .write.option("compression", "zstd").parquet(out))
@@ -262,34 +286,49 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     out = scratch_path(spark, "aligned")
     write_chunks(docs, out, path_a, path_b, id_col, text_col, with_groups)
     chunks = spark.read.schema(CHUNKS).parquet(out)
-    told = F.struct("code", (F.col("n") * 2 + F.col("best").cast("long")).alias("told"))
-    counts = (held_pairs(chunks).select("chunk", F.col("codes").alias("code")).join(pair_counts(chunks), "code")
-              .groupBy("chunk").agg(F.collect_list(told).alias("known")))
-    columns = ["doc_ids", "doc_nulls", "own", "hashes", *(["groups"] if with_groups else []), "stream", "stream_ends", "links", "link_ends"]
+    told = held_pairs(chunks).select("chunk", F.col("codes").alias("code")).join(pair_counts(chunks), "code").select(
+        "chunk", F.lit(-1).alias("block"), "code", (F.col("n") * 2 + F.col("best").cast("long")).alias("told"))
+    tasks = -(-chunks.where("block = 0").count() // TOGETHER)
+    rows = (chunks.select("chunk", "block", "bytes").unionByName(told, allowMissingColumns=True)
+            .repartition(max(1, tasks), "chunk").sortWithinPartitions("chunk", "block"))
     fields = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
     def finish(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                yield finished_chunk({c: b[c][k] for c in b.schema.names}, with_groups)
+        for rows in each_chunk(batches):
+            yield finished_chunk(rows, with_groups)
+
+    return rows.mapInArrow(finish, fields + (", groups string" if with_groups else ""))
+
+
+def each_chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one chunk after another; they lie together."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        chunk = b["chunk"].to_numpy()
+        for s, e in pairwise([0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]):
+            if held and s < e and held[0]["chunk"][0].as_py() != chunk[s]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if s < e:
+                held.append(b.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
 
-    return (chunks.select("chunk", *columns).join(counts, "chunk", "left").drop("chunk")
-            .mapInArrow(finish, fields + (", groups string" if with_groups else "")))
 
+def finished_chunk(rows: pa.Table, with_groups: bool) -> pa.RecordBatch:
+    inside = pa.ipc.open_stream(b"".join(x for x in rows["bytes"].to_pylist() if x is not None)).read_next_batch()
 
-def finished_chunk(row: dict, with_groups: bool) -> pa.RecordBatch:
     def ints(name, kind="<i8"):
-        return np.frombuffer(row[name].as_buffer(), kind)
+        return np.frombuffer(inside[name][0].as_buffer(), kind)
 
-    known = row["known"].values
-    code, told = (known.field("code").to_numpy(), known.field("told").to_numpy()) if known is not None else (np.empty(0, np.int64),) * 2
+    code, told = (rows[c].drop_null().to_numpy() for c in ("code", "told"))
     told = told[np.argsort(code)]  # the chunk's links are places in its sorted pairs
-    links, link_ends, stream, stops = ints("links", "<u4"), ints("link_ends"), ints("stream", "<u4"), ints("stream_ends")
+    links, link_ends, stream, stops = ints("links", "<u4"), np.cumsum(ints("n_links", "<u4"), dtype=np.int64), ints("stream", "<u4"), ints("stream_ends")
     if len(told) == 0:
         links, link_ends = links[:0], np.zeros_like(link_ends)
     n, best = sums(told[links] >> 1, link_ends), sums(told[links] & 1, link_ends)
     own = ints("own").reshape(-1, 4)
     columns = [pa.array(ints("doc_ids"), mask=ints("doc_nulls", np.uint8).astype(bool)), *(pa.array(own[:, k]) for k in range(4)),
-               pa.array(sums(best[stream], stops)), pa.array(sums(n[stream], stops)), row["hashes"].values]
+               pa.array(sums(best[stream], stops)), pa.array(sums(n[stream], stops)), inside["hashes"][0].values]
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    return pa.RecordBatch.from_arrays(columns + ([row["groups"].values] if with_groups else []), names=names + (["groups"] if with_groups else []))
+    return pa.RecordBatch.from_arrays(columns + ([inside["groups"][0].values] if with_groups else []), names=names + (["groups"] if with_groups else []))
