@@ -88,9 +88,9 @@ def with_slot(inv: DataFrame) -> DataFrame:
     return inv if "slot" in inv.columns else inv.withColumn("slot", slot())
 
 
-def slots_of(copy: str = "copy") -> F.Column:
+def slots_of(copy: str | F.Column = "copy") -> F.Column:
     """Aggregate: the slots that a version's files to copy fall into, as the bits of a long."""
-    return F.coalesce(F.bit_or(F.when(F.col(copy), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").cast("int")))), F.lit(0).cast("bigint"))
+    return F.coalesce(F.bit_or(F.when(F.col(copy) if isinstance(copy, str) else copy, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").cast("int")))), F.lit(0).cast("bigint"))
 
 
 def inventory(files: DataFrame, repositories: DataFrame | None = None, match: str = "contains") -> DataFrame:

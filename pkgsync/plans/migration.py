@@ -7,8 +7,9 @@ Scope: ``None`` = every supported LOCAL repository, or a list or table of reposi
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import filters as C
@@ -16,7 +17,7 @@ from ..functions import paths as P
 from ..operators import inventory as INV
 from ..operators import reconcile as R
 from ..operators.joins import KEY_HASH, bounded_broadcast, hashed
-from ..session import scratch_path
+from ..session import stored
 
 DRYRUN_HOST = "dryrun-endpoint.invalid"
 
@@ -197,51 +198,50 @@ VERSION_KEY = ["repository", "package", "version"]
 PACKAGE_FLAGS = ["package_in_ledger", "fetched", "done", "whole"]
 
 
-def version_facts(inv: DataFrame, ledger_versions: DataFrame | None = None, *more: DataFrame) -> DataFrame:
+def version_facts(inv: DataFrame, ledger_versions: DataFrame | None = None, *more: DataFrame, together: list[str] | None = None) -> DataFrame:
     """What is known of each (repository, package, version), by one aggregate over the rows of all sides.
 
     Files (``in_source``, ``n_files``, ``copy_bytes``, ``slots``) and ledger rows (``in_ledger``, ``ledger_published``) are
     put under one another and grouped once: one shuffle, files combined before it, no join between the sides.  Files
     without a version have a row with version NULL, which tells that the source knows the package.  ``more``: rows with
     the key and any of the flags ``named`` and ``PACKAGE_FLAGS``, those of whole packages with version NULL.
+    ``together``: columns of the key whose rows are brought together by that shuffle, so that a step by these columns
+    needs no other; then files are combined after it.  A row carries its flags as the bits of one number.
     """
-    flags = ["named", *PACKAGE_FLAGS] if more else []
-    no, yes, key = F.lit(False), F.lit(True), [F.col(c) for c in VERSION_KEY]
+    flags = ["copy", "in_source", "in_ledger", "ledger_published", *(["named", *PACKAGE_FLAGS] if more else [])]
 
-    def side(df, copy=no, size=F.lit(None).cast("bigint"), slot=F.lit(None).cast("tinyint"), source=no, ledger=no, published=no):
-        return df.select(*key, copy.alias("copy"), size.alias("size_bytes"), slot.alias("slot"), source.alias("in_source"),
-                         ledger.alias("in_ledger"), published.alias("ledger_published"),
-                         *[(F.col(f) if f in df.columns else no).alias(f) for f in flags])
+    def side(df, size=F.lit(None), slot=F.lit(None), **known):
+        bits = [F.when(known[f], F.lit(1 << k)).otherwise(F.lit(0)) for k, f in enumerate(flags) if f in known]
+        return df.select(*VERSION_KEY, size.cast("bigint").alias("size_bytes"), slot.cast("tinyint").alias("slot"),
+                         reduce(lambda a, b: a.bitwiseOR(b), bits).alias("marks"))
 
-    rows = side(INV.with_slot(inv).where(F.col("package").isNotNull()), F.col("copy"), F.col("size_bytes"), F.col("slot"), source=yes)
+    yes, copy = F.lit(True), F.col("copy")
+    rows = side(INV.with_slot(inv).where(F.col("package").isNotNull()), F.when(copy, F.col("size_bytes")), F.when(copy, F.col("slot")), copy=copy, in_source=yes)
     if ledger_versions is not None:
-        rows = rows.unionByName(side(ledger_versions, ledger=yes, published=F.coalesce(F.col("published") == 1, no)))
+        rows = rows.unionByName(side(ledger_versions, in_ledger=yes, ledger_published=F.col("published") == 1))
     for df in more:
-        rows = rows.unionByName(side(df))
-    return rows.groupBy(*VERSION_KEY).agg(
-        F.count_if("copy").cast("bigint").alias("n_files"),
-        F.coalesce(F.sum(F.when(F.col("copy"), F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("copy_bytes"),
-        INV.slots_of().alias("slots"),
-        *[F.bool_or(c).alias(c) for c in ("in_source", "in_ledger", "ledger_published", *flags)],
+        rows = rows.unionByName(side(df, **{f: F.col(f) for f in flags if f in df.columns}))
+    if together:
+        rows = rows.repartition(*together)
+    copy = F.getbit("marks", F.lit(0)) == 1
+    facts = rows.groupBy(*VERSION_KEY).agg(
+        F.count_if(copy).cast("bigint").alias("n_files"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint").alias("copy_bytes"),
+        INV.slots_of(copy).alias("slots"),
+        F.bit_or("marks").alias("marks"),
     )
+    return facts.select(*VERSION_KEY, "n_files", "copy_bytes", "slots",
+                        *[(F.getbit("marks", F.lit(k)) == 1).alias(f) for k, f in enumerate(flags) if f != "copy"])
 
 
-def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) -> DataFrame:
-    """L2: plan for user requests (B17 -> D7 -> versions -> L1), each version once however many requests ask for it.
-
-    ``by_name`` / ``by_package`` tell whether some entry names the version or asks for all versions of its package;
-    ``request_links`` leads from requests to versions.  An entry counts when the ledger or the source knows its package
-    (D7).  All versions of a package are those of the ledger where it has fetched them all (K6) and none where it has
-    published them all (K12), else those of the listing.
+def wanted_versions(inputs: Inputs, requests: DataFrame) -> DataFrame:
+    """The versions that ``requested_plan`` plans, with their facts.
 
-    One aggregate over files, ledger rows, the ledger's packages and the entries gives the versions (``version_facts``),
-    one over its rows gives what holds for a package; the first one's rows are stored on the shared scratch root, since
-    Spark would work them out again for the second.  Nothing is hinted or counted beforehand.
+    The rows of files, ledger, the ledger's packages and the entries travel once, to the task of their package: there
+    they are grouped to versions (``version_facts``), and windows over the package tell what holds for it.
     """
     from ..operators import requests as RQ
 
-    if strict:
-        require_valid_requests(inputs, requests)
     scope = bounded_broadcast(scope_repositories(inputs.repositories))
     no, kind = F.lit(False), F.col("kind")
     entries = RQ.parse_requests(requests).where(kind.isin("one_version", "all_versions"))
@@ -250,18 +250,32 @@ def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) ->
         more.append(inputs.ledger_packages.select(
             "repository", "package", F.lit(None).cast("string").alias("version"), F.lit(True).alias("package_in_ledger"),
             F.coalesce(F.col("all_versions_fetched") == 1, no).alias("fetched"), F.coalesce(F.col("all_versions_published") == 1, no).alias("done")))
-    facts = version_facts(in_scope(inputs.inventory, inputs.repositories, scope_df=scope), inputs.ledger_versions, *more)
-    stored = scratch_path(facts.sparkSession, "version-facts")
-    facts.write.parquet(stored)
-    facts = facts.sparkSession.read.schema(facts.schema).parquet(stored)
-
-    packages = facts.groupBy("repository", "package").agg(F.bool_or("in_source").alias("_source"), *[F.bool_or(f).alias(f"_{f}") for f in PACKAGE_FLAGS])
-    known = packages.where("_source or _package_in_ledger")
-    found = facts.drop(*PACKAGE_FLAGS).where(F.col("version").isNotNull()).join(known, ["repository", "package"], "inner")
+    package = ["repository", "package"]
+    facts = version_facts(in_scope(inputs.inventory, inputs.repositories, scope_df=scope), inputs.ledger_versions, *more, together=package)
+    same = Window.partitionBy(KEY_HASH, *package)
+    facts = hashed(facts.where(F.col("package").isNotNull()), package).select(
+        "*", *[F.bool_or(f).over(same).alias(f"_{f}") for f in ("in_source", *PACKAGE_FLAGS)])
     by_package = F.col("_whole") & ~F.col("_done") & F.when(F.col("_fetched"), F.col("in_ledger")).otherwise(F.col("in_source"))
-    wanted = found.withColumn("by_package", by_package).withColumnRenamed("named", "by_name").where("by_name or by_package")
-    rows = wanted.join(scope, "repository", "inner").select(
+    wanted = (facts.where("version is not null and (_in_source or _package_in_ledger)")
+              .withColumn("by_package", by_package).withColumnRenamed("named", "by_name").where("by_name or by_package"))
+    return wanted.join(scope, "repository", "inner").select(
         *VERSION_KEY, "package_type", "n_files", "copy_bytes", "slots", "ledger_published", "by_name", "by_package")
+
+
+def requested_plan(inputs: Inputs, requests: DataFrame, strict: bool = False) -> DataFrame:
+    """L2: plan for user requests (B17 -> D7 -> versions -> L1), each version once however many requests ask for it.
+
+    ``by_name`` / ``by_package`` tell whether some entry names the version or asks for all versions of its package;
+    ``request_links`` leads from requests to versions.  An entry counts when the ledger or the source knows its package
+    (D7).  All versions of a package are those of the ledger where it has fetched them all (K6) and none where it has
+    published them all (K12), else those of the listing.
+
+    The versions (``wanted_versions``) are stored on the shared scratch root before they meet the target, so that the
+    shuffle files behind them are gone by then.  Nothing is hinted or counted beforehand.
+    """
+    if strict:
+        require_valid_requests(inputs, requests)
+    rows = stored(wanted_versions(inputs, requests), "requested-versions")
     return R.decide(R.version_state(rows, inputs.target_versions))
 
 

@@ -862,6 +862,7 @@ REQUESTED_COLS = [*PLAN_COLS, "by_name", "by_package"]
 @query("requested_plan")
 def q_requested_plan(spark, sf_dir):
     c = _ctx(spark, sf_dir)
+    c.fx.store("fx_base")  # files, target, ledger and requests are all made of it
     return M.requested_plan(c.inputs(), c.fx_requests).select(*REQUESTED_COLS)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; all are plain Spark SQL confs.
 SCALE_CONF = {
@@ -22,6 +22,10 @@ SCALE_CONF = {
 }
 
 
+# Removes a query's shuffle files at its end.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pkgsync") -> SparkSession:
     """Session for tests and the local bench (UI off, AQE on)."""
     builder = (
@@ -88,6 +92,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}pkgsync-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` worked out once, on the scratch root, and read from there.
+
+    The shuffle files behind it are removed as soon as it is written, not when the driver's garbage happens to be
+    collected: a job in stored steps holds the shuffle files of one step, not of all.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FILE_CLEANUP, None)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(FILE_CLEANUP)
+        else:
+            spark.conf.set(FILE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_dir(path: str) -> str:
     """Strip a ``file:`` scheme so Python code inside tasks can open the path."""
     if path.startswith("file://"):

@@ -23,6 +23,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import stored
+
 # Base tables each fixture reads.
 BASE_TABLES = ("nation", "lineitem", "part", "documents")
 
@@ -280,6 +282,13 @@ class Fixtures:
                     self._frames[n] = df
         return self._frames[name]
 
+    def store(self, name: str) -> None:
+        """Work the table out once for all fixtures that are asked for from now on, not once for each of them."""
+        frame = self[name]
+        if f"{name}_stored" not in self._frames:
+            self._frames[name] = self._frames[f"{name}_stored"] = stored(frame, name.replace("_", "-"))
+            self._frames[name].createOrReplaceTempView(self._view(name))
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
             return self[name]

@@ -1,10 +1,13 @@
 """Costly columns are worked out once per row, and stored rows are not worked out again."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from pkgsync.functions import paths as P
 from pkgsync.operators import inventory as INV
 from pkgsync.plans import migration as M
+from pkgsync.session import FILE_CLEANUP, stored
 from pkgsync.sources import pages as PG
 from pkgsync.sources.fixtures import FIXTURES, Fixtures
 
@@ -62,3 +65,43 @@ def test_package_and_namespace_of_paths_as_the_patterns_gave_them(spark):
     old_namespace = F.when(F.col("u").contains("/"), F.regexp_replace("u", r"/[^/]*$", "")).otherwise("")
     for r in df.select("u", P.path_package("u").alias("p"), old_package.alias("op"), P.maven_namespace("u").alias("n"), old_namespace.alias("on")).collect():
         assert (r.p, r.n) == (r.op, r.on), r.u
+
+
+def test_rows_of_requested_packages_travel_once(spark):
+    files = spark.createDataFrame([("r", f"/a/b/p{k % 3}/1.{k}/p-1.{k}.jar", 5) for k in range(9)] + [(None, "/a/b/p0/1.0/p.jar", 1)], "repository string, uri string, size_bytes long")
+    catalogue = spark.createDataFrame([("r", "LOCAL", "Maven")], "repo_key string, repo_type string, package_type string")
+    versions = spark.createDataFrame([("r", "a/b/p1", "1.4", 1), ("r", "a/b/p2", "9", None), ("r", None, "1", 1)], "repository string, package string, version string, published int")
+    packages = spark.createDataFrame([("r", "a/b/p2", 1, 0), ("r", None, 1, 1)], "repository string, package string, all_versions_fetched int, all_versions_published int")
+    requests = spark.createDataFrame([(1, "r", "a/b/p0 a/b/p1:1.4 a/b/p1:1.4"), (2, "r", "a/b/p2 a/b/none a/b/none:1"), (3, None, "a/b/p0")], "request_id long, repository string, packages string")
+    inputs = M.Inputs(INV.inventory(files, catalogue), catalogue, None, versions, packages)
+    wanted = M.wanted_versions(inputs, requests)
+    assert wanted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1  # files, ledger, packages and entries, to their package's task
+    got = sorted((r.package, r.version, r.n_files, r.copy_bytes, r.ledger_published, r.by_name, r.by_package) for r in wanted.collect())
+    assert got == [("a/b/p0", "1.0", 1, 5, False, False, True), ("a/b/p0", "1.3", 1, 5, False, False, True), ("a/b/p0", "1.6", 1, 5, False, False, True),
+                   ("a/b/p1", "1.4", 1, 5, True, True, False), ("a/b/p2", "9", 0, 0, False, False, True)]
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {b for b in blocks.split() if b.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert stored(rows, "rows").exceptAll(rows).count() == 0 and spark.conf.get(FILE_CLEANUP) == "false"
+    before |= shuffled()  # those of the comparison
+    stored(rows, "rows")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+
+
+def test_a_stored_base_gives_the_same_fixtures(spark):
+    plain, fx = Fixtures(spark, SF), Fixtures(spark, SF)
+    fx.store("fx_base")
+    fx.store("fx_base")
+    for name in ("fx_files", "fx_target", "fx_ledger_packages", "fx_requests"):
+        assert fx[name].schema == plain[name].schema
+        assert fx[name].exceptAll(plain[name]).count() == 0 == plain[name].exceptAll(fx[name]).count()
+        assert "lineitem" not in "".join(fx[name].inputFiles())
