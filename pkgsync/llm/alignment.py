@@ -8,10 +8,11 @@ before is not closed again, and groups go on where the piece before left them.
 
 Tasks gather documents into chunks of about ``CHUNK`` characters.  The distinct segments of a chunk (``segments``) are
 encoded once and lie one after another in its two lists, so a chunk with one long text is cut like any other.  A chunk
-is a few rows of a table: its id pairs and how many of its documents hold each, and, compressed and cut into blocks, what
-its documents count by themselves and its streams of segments.  No row is large, whatever the texts.  The corpus-wide
-counts are sums over chunks, so a pair that every document holds is one row in each chunk; counts go back to each chunk
-once, and meet its blocks in partitions of a few chunks each, however many there are.
+is a row of a table: its id pairs and how many of its documents hold each, and, compressed, what its documents count by
+themselves and its streams of segments.  The corpus-wide counts are sums over chunks, so a pair that every document holds
+is one row in each chunk.  The pairs of the corpus, as many as overlaps of two vocabularies, are sent to the tasks, which
+finish chunks where these are stored; beyond ``MOST`` pairs, or with a chunk cut into several rows for its size, counts and
+chunks meet in partitions of a few chunks each.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from .segments import segments
 
 #: Characters of text in a chunk (a longer text is a chunk of its own), ends in a piece, segments given to a library at a time.
 CHUNK, PIECE, RUN = 3_000_000, 65_536, 20_000
-#: Bytes of a chunk in one row, chunks that a task finishes.
-BLOCK, TOGETHER = 1 << 18, 4
+#: Bytes of a chunk in one row, rows that are written and read at once, pairs that tasks are sent, chunks that meet in a partition.
+BLOCK, ROWS, MOST, TOGETHER = 1 << 26, 2, 1_000_000, 4
 CHUNKS = "chunk long, block int, bytes binary, codes array<long>, holders array<long>"
 CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("block", pa.int32()), ("bytes", pa.binary()), ("codes", pa.list_(pa.int64())),
                           ("holders", pa.list_(pa.int64()))])
@@ -256,7 +257,7 @@ def write_chunks(docs: DataFrame, out: str, path_a: str, path_b: str, id_col: st
             yield chunk_rows(aligned_chunk(number, held, pair, with_groups), block)
 
     (documents(docs, id_col, text_col).select("doc_id", "text").mapInArrow(run, CHUNKS)
-     .write.option("compression", "zstd").parquet(out))
+     .write.option("compression", "zstd").option("parquet.block.row.count.limit", ROWS).parquet(out))
 
 
 def held_pairs(chunks: DataFrame) -> DataFrame:
@@ -286,18 +287,32 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     out = scratch_path(spark, "aligned")
     write_chunks(docs, out, path_a, path_b, id_col, text_col, with_groups)
     chunks = spark.read.schema(CHUNKS).parquet(out)
-    told = held_pairs(chunks).select("chunk", F.col("codes").alias("code")).join(pair_counts(chunks), "code").select(
-        "chunk", F.lit(-1).alias("block"), "code", (F.col("n") * 2 + F.col("best").cast("long")).alias("told"))
+    counts = pair_counts(chunks).select("code", (F.col("n") * 2 + F.col("best").cast("long")).alias("told"))
+    fields = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string" + (", groups string" if with_groups else "")
+    known = counts.limit(MOST + 1).toArrow()
+    if known.num_rows <= MOST and chunks.where("block > 0").isEmpty():
+        order = np.argsort(known["code"].to_numpy())
+        shared = spark.sparkContext.broadcast(tuple(known[c].to_numpy()[order] for c in ("code", "told")))
+
+        def finish(batches):
+            code, told = shared.value
+            for b in batches:
+                for k in range(b.num_rows):
+                    yield finished_chunk(b["bytes"][k].as_buffer(), told[np.searchsorted(code, b["codes"][k].values.to_numpy())], with_groups)
+
+        return chunks.select("bytes", "codes").mapInArrow(finish, fields)
+
+    told = held_pairs(chunks).select("chunk", F.col("codes").alias("code")).join(counts, "code").select("chunk", F.lit(-1).alias("block"), "code", "told")
     tasks = -(-chunks.where("block = 0").count() // TOGETHER)
     rows = (chunks.select("chunk", "block", "bytes").unionByName(told, allowMissingColumns=True)
             .repartition(max(1, tasks), "chunk").sortWithinPartitions("chunk", "block"))
-    fields = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
-    def finish(batches):
+    def finish_together(batches):
         for rows in each_chunk(batches):
-            yield finished_chunk(rows, with_groups)
+            code, told = (rows[c].drop_null().to_numpy() for c in ("code", "told"))
+            yield finished_chunk(b"".join(x for x in rows["bytes"].to_pylist() if x is not None), told[np.argsort(code)], with_groups)
 
-    return rows.mapInArrow(finish, fields + (", groups string" if with_groups else ""))
+    return rows.mapInArrow(finish_together, fields)
 
 
 def each_chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -315,14 +330,13 @@ def each_chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def finished_chunk(rows: pa.Table, with_groups: bool) -> pa.RecordBatch:
-    inside = pa.ipc.open_stream(b"".join(x for x in rows["bytes"].to_pylist() if x is not None)).read_next_batch()
+def finished_chunk(whole: bytes | pa.Buffer, told: np.ndarray, with_groups: bool) -> pa.RecordBatch:
+    """The rows of a chunk's documents; ``told`` of its sorted pairs, in whose places its links are."""
+    inside = pa.ipc.open_stream(whole).read_next_batch()
 
     def ints(name, kind="<i8"):
         return np.frombuffer(inside[name][0].as_buffer(), kind)
 
-    code, told = (rows[c].drop_null().to_numpy() for c in ("code", "told"))
-    told = told[np.argsort(code)]  # the chunk's links are places in its sorted pairs
     links, link_ends, stream, stops = ints("links", "<u4"), np.cumsum(ints("n_links", "<u4"), dtype=np.int64), ints("stream", "<u4"), ints("stream_ends")
     if len(told) == 0:
         links, link_ends = links[:0], np.zeros_like(link_ends)

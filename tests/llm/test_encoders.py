@@ -165,23 +165,28 @@ def test_counts_go_over_all_chunks(spark, docs, rows, pair):
     assert all(best == (n == max(m for (a2, _), m in counts.items() if a2 == a)) for (a, _), (n, best) in got.items())
 
 
-def test_a_chunk_is_many_small_rows(spark, docs, rows):
+def test_a_large_chunk_is_many_rows(spark, docs, rows):
     from pkgsync.session import scratch_path
 
     out = scratch_path(spark, "chunks")
     alignment.write_chunks(docs, out, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), block=1000)
     table = spark.read.schema(alignment.CHUNKS).parquet(out)
-    assert table.toArrow()["bytes"].type == "binary" and table.selectExpr("max(length(bytes))").first()[0] == 1000
+    assert table.selectExpr("max(length(bytes))").first()[0] == 1000
     assert table.where("block > 0 and codes is not null").count() == 0 < table.where("block > 10").count()
-    batches = table.selectExpr("chunk", "block", "bytes", "cast(null as long) code", "cast(null as long) told").orderBy("chunk", "block").toArrow().to_batches(7)
-    found = [i for t in alignment.each_chunk(batches) for i in alignment.finished_chunk(t, False)["doc_id"].to_pylist()]
+    batches = table.orderBy("chunk", "block").toArrow().to_batches(7)
+    none = np.empty(0, np.int64)
+    found = [i for t in alignment.each_chunk(batches) for i in alignment.finished_chunk(b"".join(t["bytes"].to_pylist()), none, False)["doc_id"].to_pylist()]
     assert Counter(found) == Counter(i for i, _ in rows)
 
 
-def test_tasks_finish_a_few_chunks_each(spark, rows, monkeypatch):
+def test_chunks_are_finished_where_they_are_stored_or_a_few_to_a_task(spark, rows, monkeypatch):
     paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
-    docs = spark.createDataFrame([(i, t) for i, t in rows if t], "doc_id long, text string").repartition(7)
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").repartition(7)
+    out = alignment.align(docs, *paths, with_groups=True)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()  # no chunk travels
+    want = Counter(map(tuple, out.collect()))
+    monkeypatch.setattr(alignment, "MOST", 0)
     monkeypatch.setattr(alignment, "TOGETHER", 1)
-    out = alignment.align(docs, *paths)
+    out = alignment.align(docs, *paths, with_groups=True)
     assert out.rdd.getNumPartitions() == 7  # a chunk of each partition of the documents
-    assert out.count() == docs.count()
+    assert Counter(map(tuple, out.collect())) == want
